@@ -1,0 +1,205 @@
+"""Laps, telemetry and drivers seen in the given tables.
+
+The tables hold no racing data, so each operator runs over a projection of ``lineitem``:
+a ship year is an event, a supplier a driver, six days of the year a lap. Every column is
+computed from its own row, so a projection shuffles nothing, keeps every row and lets
+filters and column pruning through to the Parquet scan.
+
+Telemetry channels are whole numbers or eighths, and the strategy report's lap times
+decimals: their sums are the same in whatever order they are added.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+EVENT = "concat('GP ', year(l_shipdate)) AS event"
+SESSION = "CASE WHEN l_linestatus = 'F' THEN 'Race' ELSE 'Practice 1' END AS session"
+DRIVER = "concat('D', l_suppkey) AS driver"
+KEYS = [EVENT, SESSION, DRIVER]
+
+LAP = "CAST(1 + (dayofyear(l_shipdate) - 1) DIV 6 AS INT) AS lap"
+TOTAL_LAPS = "61 AS total_laps"
+COMPOUND = """
+    CASE WHEN l_partkey % 16 = 0 THEN 'INTERMEDIATE'
+         WHEN l_partkey % 16 = 1 THEN 'WET'
+         WHEN l_partkey % 16 = 2 THEN ''
+         WHEN l_returnflag = 'A' THEN 'SOFT'
+         WHEN l_returnflag = 'N' THEN 'MEDIUM'
+         ELSE 'HARD' END AS compound
+"""
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def stint_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned laps of the strategy report."""
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        *KEYS,
+        LAP,
+        TOTAL_LAPS,
+        COMPOUND,
+        "CASE WHEN l_quantity = 50 THEN 0 ELSE CAST(l_extendedprice AS DECIMAL(18, 2)) END "
+        "AS lap_time",
+        "CAST(l_linenumber % (2 + l_suppkey % 7) AS INT) AS stint",
+    )
+
+
+def wear_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned laps of the wear reports."""
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        *KEYS,
+        LAP,
+        TOTAL_LAPS,
+        COMPOUND,
+        "CASE WHEN l_quantity = 50 THEN 0.0D ELSE l_extendedprice / 1000.0D END AS lap_time",
+        "CAST((l_orderkey + l_linenumber) % 24 AS INT) AS tyre_age",
+        "CASE WHEN l_linenumber = 7 THEN 'True' ELSE 'None' END AS pit_out",
+    )
+
+
+def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned telemetry samples."""
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        *KEYS,
+        "l_quantity - 25 + round(l_tax * 100) / 8.0D AS acc_y",
+        "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS brake",
+        "CAST(floor(l_extendedprice / 8.0D) AS DOUBLE) AS rpm",
+        "l_quantity * 6 AS speed",
+        "l_discount * 1000 AS throttle",
+        "CASE WHEN l_discount = 0.1D THEN 'None' ELSE '0.5' END AS rel_distance",
+    )
+
+
+def drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The driver table; the suppliers of nation 3 are missing from it."""
+    suppliers = table(spark, sf_dir, "supplier").filter("s_nationkey <> 3")
+    nations = table(spark, sf_dir, "nation")
+    return suppliers.join(nations, suppliers.s_nationkey == nations.n_nationkey).selectExpr(
+        "concat('D', s_suppkey) AS driverName",
+        "n_name AS team",
+        "CAST(s_suppkey AS STRING) AS driverNumber",
+        "s_name AS firstName",
+        "CAST(s_nationkey AS STRING) AS lastName",
+    )
+
+
+def lap_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lap table as it comes from a file: text with gaps, blanks and bad numbers."""
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "concat('GP ', year(l_shipdate)) AS event",
+        "CASE WHEN l_linestatus = 'F' THEN ' Race ' ELSE 'Practice 1' END AS sessionType",
+        "CASE WHEN l_tax = 0.05D THEN 'n/a' ELSE '61' END AS totalLaps",
+        "concat('T', l_suppkey % 10) AS team",
+        "concat('D', l_suppkey) AS driverCode",
+        "CAST(l_suppkey AS STRING) AS driverNumber",
+        "CASE WHEN l_quantity = 1 THEN NULL WHEN l_quantity = 2 THEN '1.5' "
+        "ELSE CAST(1 + (dayofyear(l_shipdate) - 1) DIV 6 AS STRING) END AS lap",
+        "CASE WHEN l_quantity = 50 THEN 'None' WHEN l_quantity = 49 THEN NULL "
+        "WHEN l_quantity = 48 THEN 'NaN' WHEN l_quantity = 47 THEN 'fast' "
+        "WHEN l_quantity = 46 THEN '-1.25' "
+        "ELSE CAST(CAST(l_extendedprice AS DECIMAL(18, 2)) AS STRING) END AS lapTime",
+        "CASE WHEN l_linenumber = 7 THEN 'True' WHEN l_linenumber = 6 THEN NULL "
+        "ELSE 'None' END AS pitOut",
+        "CASE WHEN l_partkey % 16 = 2 THEN 'None' WHEN l_partkey % 16 = 3 THEN NULL "
+        "WHEN l_returnflag = 'A' THEN 'SOFT' WHEN l_returnflag = 'N' THEN ' MEDIUM' "
+        "ELSE 'HARD' END AS tyreCompound",
+        "CASE WHEN l_quantity = 30 THEN NULL WHEN l_quantity = 31 THEN 'None' "
+        "ELSE CAST((l_orderkey + l_linenumber) % 24 AS STRING) END AS tyreAgeLaps",
+        "CASE WHEN l_quantity = 32 THEN NULL WHEN l_quantity = 33 THEN 'None' "
+        "ELSE CAST(l_linenumber AS STRING) END AS stintNumber",
+    )
+
+
+def telemetry_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The telemetry table as text, likewise."""
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "concat('GP ', year(l_shipdate)) AS event",
+        "CASE WHEN l_linestatus = 'F' THEN 'Race' ELSE 'Practice 1' END AS sessionType",
+        "concat(' D', l_suppkey) AS driverName",
+        "CASE WHEN l_quantity = 1 THEN 'None' ELSE CAST(CAST(l_quantity AS INT) AS STRING) END "
+        "AS acc_y",
+        "CASE WHEN l_quantity = 2 THEN '1.0' WHEN l_returnflag = 'R' THEN '1' ELSE '0' END "
+        "AS brake",
+        "CASE WHEN l_quantity = 3 THEN NULL "
+        "ELSE CAST(CAST(l_extendedprice AS DECIMAL(18, 2)) AS STRING) END AS rpm",
+        "CAST(CAST(l_quantity AS INT) * 6 AS STRING) AS speed",
+        "CASE WHEN l_quantity = 4 THEN 'x' ELSE '50' END AS throttle",
+        "CASE WHEN l_discount = 0.1D THEN 'None' WHEN l_discount = 0.09D THEN NULL "
+        "ELSE '0.5' END AS rel_distance",
+    )
+
+
+def result_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Official results as text, one per order."""
+    return table(spark, sf_dir, "orders").selectExpr(
+        "concat('GP ', year(o_orderdate)) AS event",
+        "concat('D', o_custkey) AS driverCode",
+        "CASE WHEN o_orderstatus = 'P' THEN 'DNF' ELSE CAST(o_orderkey AS STRING) END "
+        "AS finalPosition",
+        "CASE WHEN o_orderpriority = '1-URGENT' THEN NULL "
+        "ELSE CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS STRING) END AS totalTime",
+    )
+
+
+def telemetry_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One telemetry document per line item, of as many samples as its line number.
+
+    ``speed`` is one sample short, and the documents of returned items lack ``drs``.
+    """
+    items = "transform(sequence(1, l_linenumber), i -> "
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "struct("
+        "CASE WHEN l_quantity = 50 THEN concat_ws('-', year(l_shipdate), 'GP', 'Race') "
+        "ELSE concat_ws('-', year(l_shipdate), 'GP', 'Race', concat('D', l_suppkey), "
+        "l_orderkey) END AS dataKey, "
+        f"{items} CAST(l_partkey * i AS STRING)) AS acc_y, "
+        f"{items} IF(i % 3 = 0, 'None', CAST(l_partkey + i AS STRING))) AS rpm, "
+        "slice(transform(sequence(1, l_linenumber), i -> CAST(l_suppkey + i AS STRING)), 1, "
+        "l_linenumber - 1) AS speed, "
+        "CASE WHEN l_returnflag <> 'R' THEN "
+        f"{items} CAST(i AS STRING)) END AS drs"
+        ") AS tel"
+    )
+
+
+def lap_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One lap document per line item, with its file's path and without weather arrays."""
+    items = "transform(sequence(1, l_linenumber), i -> "
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "split(concat('file:///season/', 'Grand%20Prix%20', year(l_shipdate), '/', "
+        "CASE WHEN l_linestatus = 'F' THEN 'Race' ELSE 'Practice%201' END, '/D', l_suppkey, "
+        "'/laptimes.json'), '/') AS full_file_uri",
+        f"{items} concat('D', l_suppkey)) AS drv",
+        f"{items} CAST(i AS STRING)) AS lap",
+        f"{items} IF(i = 4, 'None', CAST(l_partkey * i AS STRING))) AS time",
+        f"{items} IF(i = 5, 'None', CAST(i + 1 AS STRING))) AS life",
+        f"{items} IF(i = 6, '1.0', CAST(l_orderkey % 5 AS STRING))) AS stint",
+        "slice(transform(sequence(1, l_linenumber), i -> l_returnflag), 1, "
+        "l_linenumber - 1) AS compound",
+    )
+
+
+def driver_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One driver list per customer: the customer and, for some, a reserve driver."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        "slice(array("
+        "named_struct('driver', concat('D', c_custkey), 'team', c_mktsegment, "
+        "'dn', CAST(c_custkey AS STRING), 'fn', c_name, 'ln', CAST(c_nationkey AS STRING)), "
+        "named_struct('driver', concat('R', c_custkey), 'team', c_mktsegment, "
+        "'dn', CAST(NULL AS STRING), 'fn', 'Reserve', 'ln', c_name)), "
+        "1, IF(c_acctbal > 0, 2, 1)) AS drivers"
+    )
+
+
+def lap_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lap documents with their event and session as columns, for writing to files."""
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "concat('Grand Prix ', year(l_shipdate)) AS event",
+        "CASE WHEN l_linestatus = 'F' THEN 'Race' ELSE 'Practice 1' END AS session",
+        "array(CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING)) AS lap",
+        "array(concat('D', l_suppkey), concat('D', l_suppkey)) AS drv",
+        "array(CAST(CAST(l_extendedprice AS DECIMAL(18, 2)) AS STRING), 'None') AS time",
+    )

@@ -1,0 +1,318 @@
+"""The registered queries: each operator and report over the given tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from checks import proxies
+from stintlab import schemas
+from stintlab.functions.labels import pit_strategy
+from stintlab.functions.text import path_segment
+from stintlab.functions.timing import fuel_corrected
+from stintlab.operators.driving import (
+    driving_stats,
+    driving_stats_prototype,
+    event_baselines,
+    styles_prototype,
+)
+from stintlab.operators.filters import representative, timed_race_laps, valid_telemetry, worn_laps
+from stintlab.operators.medians import upper_medians
+from stintlab.operators.ranking import positions_by_range, race_positions, top_rows
+from stintlab.operators.reshape import driver_rows, lap_rows, telemetry_rows
+from stintlab.operators.stints import race_totals, stint_summary, strategy_profile
+from stintlab.operators.wear import paced_laps, with_style, with_tyre_state
+from stintlab.plans.strategy import all_teams, one_team_per_driver, pit_strategy_report
+from stintlab.plans.wear import (
+    OUTPUT_ORDER,
+    driver_styles,
+    prototype_medians,
+    wear_report,
+    wear_report_prototype,
+)
+from stintlab.sinks import write_csv
+from stintlab.sources.cleaning import (
+    clean_results,
+    clean_stint_laps,
+    clean_telemetry,
+    clean_wear_laps,
+)
+from stintlab.sources.documents import read_documents
+from stintlab.sources.tables import read_drivers, read_laps, read_table
+from stintlab.staging import new_path, settle
+
+DRIVER = ["event", "driver"]
+LAP_VALUES = ["compound", "lap", "tyre_age"]
+
+
+def _strategy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pit_strategy_report(proxies.stint_laps(spark, sf_dir), proxies.drivers(spark, sf_dir))
+
+
+def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    profile = strategy_profile(timed_race_laps(proxies.stint_laps(spark, sf_dir)))
+    return profile.select(
+        *DRIVER,
+        "num_stints",
+        F.round("avg_lap", 4).alias("avg_lap"),
+        F.round("lap_variance", 0).alias("lap_variance"),
+        "avg_stint_length",
+        F.array_join("compounds", ">").alias("compounds"),
+    )
+
+
+def _totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return race_totals(timed_race_laps(proxies.stint_laps(spark, sf_dir)))
+
+
+def _as_double(df: DataFrame) -> DataFrame:
+    return df.withColumn("total_time", F.col("total_time").cast("double"))
+
+
+def _race_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_double(_totals(spark, sf_dir))
+
+
+def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_double(race_positions(settle(_totals(spark, sf_dir)))).drop("last_lap")
+
+
+def _positions_by_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_double(positions_by_range(settle(_totals(spark, sf_dir)))).drop("last_lap")
+
+
+def _stints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stint_summary(timed_race_laps(proxies.stint_laps(spark, sf_dir)))
+
+
+def _strategy_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    profile = strategy_profile(timed_race_laps(proxies.stint_laps(spark, sf_dir)))
+    return profile.select(
+        *DRIVER,
+        F.size(F.array_distinct("compounds")).alias("distinct_compounds"),
+        pit_strategy(F.col("compounds"), F.col("avg_stint_length")).alias("strategy"),
+    )
+
+
+def _driver_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Race totals with team: drivers listed twice count once, unknown ones vanish."""
+    listed = proxies.drivers(spark, sf_dir)
+    second = listed.filter("driverNumber < '5'").withColumn("team", F.lit("NATION_0"))
+    teams = one_team_per_driver(listed.unionByName(second))
+    return _race_totals(spark, sf_dir).join(teams, "driver")
+
+
+def _driver_teams_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As above, but one row per entry of the driver table."""
+    listed = proxies.drivers(spark, sf_dir)
+    second = listed.filter("driverNumber < '5'").withColumn("team", F.lit("NATION_0"))
+    return _race_totals(spark, sf_dir).join(all_teams(listed.unionByName(second)), "driver")
+
+
+def _driving_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return driving_stats(valid_telemetry(proxies.telemetry(spark, sf_dir)))
+
+
+def _event_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    means = event_baselines(_driving_stats(spark, sf_dir))
+    return means.select("event", *[F.round(c, 6).alias(c) for c in ["acc_y", "brake", "rpm"]])
+
+
+def _driving_style(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return driver_styles(proxies.telemetry(spark, sf_dir))
+
+
+def _driving_stats_prototype(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return driving_stats_prototype(
+        valid_telemetry(proxies.telemetry(spark, sf_dir), race_only=False)
+    )
+
+
+def _driving_style_prototype(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return styles_prototype(settle(_driving_stats_prototype(spark, sf_dir)))
+
+
+def _tyre_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    laps = with_tyre_state(worn_laps(proxies.wear_laps(spark, sf_dir)))
+    return laps.select(*DRIVER, *LAP_VALUES, "state")
+
+
+def _tyre_states_prototype(spark: SparkSession, sf_dir: str) -> DataFrame:
+    laps = with_tyre_state(worn_laps(proxies.wear_laps(spark, sf_dir), False), warm_up=False)
+    return laps.select(*DRIVER, *LAP_VALUES, "state")
+
+
+def _fuel_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    laps = with_tyre_state(worn_laps(proxies.wear_laps(spark, sf_dir)))
+    laps = laps.filter(representative(F.col("state")))
+    args = F.col("lap_time"), F.col("lap"), F.col("total_laps")
+    return laps.select(
+        *DRIVER,
+        "lap",
+        "state",
+        fuel_corrected(*args).alias("pace"),
+        fuel_corrected(*args, add=True).alias("prototype_pace"),
+    )
+
+
+def _styled_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    styles = settle(driver_styles(proxies.telemetry(spark, sf_dir)))
+    laps = paced_laps(worn_laps(proxies.wear_laps(spark, sf_dir)), DRIVER)
+    return with_style(laps, styles, DRIVER)
+
+
+def _state_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    laps = paced_laps(worn_laps(proxies.wear_laps(spark, sf_dir)), ["event"])
+    medians = upper_medians(laps, ["event", "compound", "state"], "pace")
+    return medians.withColumn("mean", F.round("mean", 4))
+
+
+def _state_medians_prototype(spark: SparkSession, sf_dir: str) -> DataFrame:
+    medians = prototype_medians(
+        proxies.telemetry(spark, sf_dir), proxies.wear_laps(spark, sf_dir)
+    )
+    return medians.withColumn("mean", F.round("mean", 4))
+
+
+def _wear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wear_report(proxies.telemetry(spark, sf_dir), proxies.wear_laps(spark, sf_dir))
+
+
+def _wear_prototype(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wear_report_prototype(
+        proxies.telemetry(spark, sf_dir), proxies.wear_laps(spark, sf_dir)
+    )
+
+
+def _clean_stint_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_stint_laps(proxies.lap_text(spark, sf_dir))
+
+
+def _timed_race_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timed_race_laps(_clean_stint_laps(spark, sf_dir))
+
+
+def _clean_wear_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_wear_laps(proxies.lap_text(spark, sf_dir))
+
+
+def _worn_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return worn_laps(_clean_wear_laps(spark, sf_dir))
+
+
+def _clean_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return valid_telemetry(clean_telemetry(proxies.telemetry_text(spark, sf_dir)))
+
+
+def _clean_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_results(proxies.result_text(spark, sf_dir))
+
+
+def _telemetry_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return telemetry_rows(proxies.telemetry_docs(spark, sf_dir))
+
+
+def _laps_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lap_rows(proxies.lap_docs(spark, sf_dir))
+
+
+def _drivers_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return driver_rows(proxies.driver_docs(spark, sf_dir))
+
+
+def _path_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = proxies.table(spark, sf_dir, "pages").select("page_id", F.split("url", "/").alias("u"))
+    return pages.select(
+        "page_id", *[path_segment("u", -i).alias(f"segment_{i}") for i in range(1, 6)]
+    )
+
+
+def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lap text written to CSV files and read back, NULL filling the columns not written."""
+    laps = proxies.lap_text(spark, sf_dir)
+    path = new_path(spark)
+    write_csv(laps, path)
+    return read_laps(spark, path, present=laps.columns)
+
+
+def _drivers_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark)
+    write_csv(proxies.drivers(spark, sf_dir), path)
+    return read_drivers(spark, path)
+
+
+def _report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wear report as one sorted CSV file, read back as text."""
+    report = _wear(spark, sf_dir)
+    path = new_path(spark)
+    write_csv(report, path, mode="overwrite", order_by=OUTPUT_ORDER, single_file=True)
+    return read_table(spark, path, report.columns)
+
+
+def _json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lap documents written under event and session folders, read back by path."""
+    path = new_path(spark)
+    proxies.lap_lines(spark, sf_dir).write.partitionBy("event", "session").json(path)
+    docs = read_documents(
+        spark,
+        f"{path}/*/*/*.json",
+        schemas.lap_document(["lap", "drv", "time"]),
+        multi_line=False,
+        with_path=True,
+    )
+    return docs.select(
+        path_segment("full_file_uri", -3).alias("event"),
+        path_segment("full_file_uri", -2).alias("session"),
+        F.array_join("lap", ",").alias("lap"),
+        F.array_join("drv", ",").alias("drv"),
+        F.array_join("time", ",").alias("time"),
+    )
+
+
+def _top_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    laps = _styled_laps(spark, sf_dir)
+    columns = ["event", "driver", "style", "compound", "state", "pace"]
+    return top_rows(laps.select(columns), columns)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "pit_strategy_report": _strategy,
+    "strategy_profile": _profile,
+    "race_totals": _race_totals,
+    "race_positions": _positions,
+    "race_positions_by_range": _positions_by_range,
+    "stint_summary": _stints,
+    "strategy_labels": _strategy_labels,
+    "driver_team_lookup": _driver_teams,
+    "driver_team_lookup_all": _driver_teams_all,
+    "driving_stats": _driving_stats,
+    "event_baselines": _event_baselines,
+    "driving_style": _driving_style,
+    "driving_stats_prototype": _driving_stats_prototype,
+    "driving_style_prototype": _driving_style_prototype,
+    "tyre_state_laps": _tyre_states,
+    "tyre_state_prototype": _tyre_states_prototype,
+    "fuel_corrected_laps": _fuel_corrected,
+    "styled_laps": _styled_laps,
+    "state_medians": _state_medians,
+    "state_medians_prototype": _state_medians_prototype,
+    "wear_report": _wear,
+    "wear_report_prototype": _wear_prototype,
+    "clean_stint_laps": _clean_stint_laps,
+    "timed_race_laps": _timed_race_laps,
+    "clean_wear_laps": _clean_wear_laps,
+    "worn_laps": _worn_laps,
+    "clean_telemetry": _clean_telemetry,
+    "clean_results": _clean_results,
+    "telemetry_explode": _telemetry_explode,
+    "laps_explode": _laps_explode,
+    "drivers_explode": _drivers_explode,
+    "path_segments": _path_segments,
+    "csv_scan_roundtrip": _csv_roundtrip,
+    "drivers_csv_roundtrip": _drivers_csv_roundtrip,
+    "report_csv_roundtrip": _report_csv,
+    "json_scan": _json_scan,
+    "top_laps": _top_laps,
+}
