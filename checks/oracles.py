@@ -264,8 +264,8 @@ _TELEMETRY_ROWS = f"""WITH {_INDEXED}
 SELECT CAST(year(l_shipdate) AS VARCHAR) AS year, 'GP' AS event, 'Race' AS "sessionType",
     CASE WHEN l_quantity <> 50 THEN 'D' || l_suppkey END AS "driverName",
     CASE WHEN l_quantity <> 50 THEN CAST(l_orderkey AS VARCHAR) END AS "lapNumber",
-    CAST(l_partkey * i AS VARCHAR) AS acc_y,
-    CASE WHEN i % 3 = 0 THEN 'None' ELSE CAST(l_partkey + i AS VARCHAR) END AS rpm,
+    CAST(l_partkey + i AS VARCHAR) AS acc_y,
+    CASE WHEN i = 1 THEN 'None' ELSE CAST(l_orderkey + i - 1 AS VARCHAR) END AS rpm,
     CASE WHEN i < l_linenumber THEN CAST(l_suppkey + i AS VARCHAR) END AS speed,
     CAST(i AS VARCHAR) AS drs
 FROM indexed WHERE l_returnflag <> 'R'"""
@@ -284,10 +284,10 @@ _LAP_ROWS = f"""WITH {_INDEXED}
 SELECT 'Grand Prix ' || year(l_shipdate) AS event,
     CASE WHEN l_linestatus = 'F' THEN 'Race' ELSE 'Practice 1' END AS "sessionType",
     l_linenumber AS "totalLaps", 'D' || l_suppkey AS "driverCode", CAST(i AS INTEGER) AS lap,
-    CASE WHEN i = 4 THEN 'None' ELSE CAST(l_partkey * i AS VARCHAR) END AS "lapTime",
+    CASE WHEN i = 1 THEN 'None' ELSE CAST(l_partkey + i - 1 AS VARCHAR) END AS "lapTime",
     CASE WHEN i < l_linenumber THEN l_returnflag END AS "tyreCompound",
-    CASE WHEN i <> 5 THEN CAST(i + 1 AS INTEGER) END AS "tyreAgeLaps",
-    CASE WHEN i <> 6 THEN CAST(l_orderkey % 5 AS INTEGER) END AS "stintNumber",
+    CASE WHEN i <> 1 THEN CAST(i AS INTEGER) END AS "tyreAgeLaps",
+    CAST(l_suppkey + i AS INTEGER) AS "stintNumber",
     {_LAP_ROWS_ABSENT}
 FROM indexed"""
 
@@ -352,8 +352,7 @@ ORACLES: dict[str, str] = {
                     AS avg_square
             FROM laps GROUP BY event, driver)
         SELECT t.event, t.driver, coalesce(s.num_stints, 0) AS num_stints,
-            round(t.avg_lap, 4) AS avg_lap,
-            round(t.avg_square - t.avg_lap * t.avg_lap, 0) AS lap_variance,
+            t.avg_lap, round(t.avg_square - t.avg_lap * t.avg_lap, 2) AS lap_variance,
             s.avg_stint_length, coalesce(s.compounds, '') AS compounds
         FROM times t LEFT JOIN strategies s ON s.event = t.event AND s.driver = t.driver""",
     "race_totals": f"WITH {_STINT_LAPS} SELECT event, driver, total_time, last_lap FROM totals",

@@ -20,14 +20,12 @@ KEYS = [EVENT, SESSION, DRIVER]
 
 LAP = "CAST(1 + (dayofyear(l_shipdate) - 1) DIV 6 AS INT) AS lap"
 TOTAL_LAPS = "61 AS total_laps"
-COMPOUND = """
-    CASE WHEN l_partkey % 16 = 0 THEN 'INTERMEDIATE'
-         WHEN l_partkey % 16 = 1 THEN 'WET'
-         WHEN l_partkey % 16 = 2 THEN ''
-         WHEN l_returnflag = 'A' THEN 'SOFT'
-         WHEN l_returnflag = 'N' THEN 'MEDIUM'
-         ELSE 'HARD' END AS compound
-"""
+# Constant tables rather than CASE: filters repeat these expressions at every mention.
+COMPOUND = (
+    "coalesce(try_element_at(map(0, 'INTERMEDIATE', 1, 'WET', 2, ''), "
+    "CAST(l_partkey % 16 AS INT)), "
+    "try_element_at(map('A', 'SOFT', 'N', 'MEDIUM', 'R', 'HARD'), l_returnflag)) AS compound"
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -144,41 +142,49 @@ def result_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _numbers(first: str) -> str:
+    """As many numbers from ``first`` + 1 as the line number, as texts."""
+    return f"CAST(sequence({first} + 1, {first} + l_linenumber) AS ARRAY<STRING>)"
+
+
+def _none_first(first: str) -> str:
+    """``None`` and then the numbers from ``first`` + 1, of the same length."""
+    return f"slice(concat(array('None'), {_numbers(first)}), 1, l_linenumber)"
+
+
+def _one_short(array: str) -> str:
+    return f"slice({array}, 1, l_linenumber - 1)"
+
+
 def telemetry_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One telemetry document per line item, of as many samples as its line number.
 
     ``speed`` is one sample short, and the documents of returned items lack ``drs``.
     """
-    items = "transform(sequence(1, l_linenumber), i -> "
     return table(spark, sf_dir, "lineitem").selectExpr(
-        "struct("
-        "CASE WHEN l_quantity = 50 THEN concat_ws('-', year(l_shipdate), 'GP', 'Race') "
-        "ELSE concat_ws('-', year(l_shipdate), 'GP', 'Race', concat('D', l_suppkey), "
-        "l_orderkey) END AS dataKey, "
-        f"{items} CAST(l_partkey * i AS STRING)) AS acc_y, "
-        f"{items} IF(i % 3 = 0, 'None', CAST(l_partkey + i AS STRING))) AS rpm, "
-        "slice(transform(sequence(1, l_linenumber), i -> CAST(l_suppkey + i AS STRING)), 1, "
-        "l_linenumber - 1) AS speed, "
-        "CASE WHEN l_returnflag <> 'R' THEN "
-        f"{items} CAST(i AS STRING)) END AS drs"
+        "named_struct("
+        "'dataKey', concat_ws('-', year(l_shipdate), 'GP', 'Race', "
+        "IF(l_quantity = 50, NULL, concat('D', l_suppkey, '-', l_orderkey))), "
+        f"'acc_y', {_numbers('l_partkey')}, "
+        f"'rpm', {_none_first('l_orderkey')}, "
+        f"'speed', {_one_short(_numbers('l_suppkey'))}, "
+        f"'drs', IF(l_returnflag = 'R', NULL, {_numbers('0')})"
         ") AS tel"
     )
 
 
 def lap_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One lap document per line item, with its file's path and without weather arrays."""
-    items = "transform(sequence(1, l_linenumber), i -> "
     return table(spark, sf_dir, "lineitem").selectExpr(
         "split(concat('file:///season/', 'Grand%20Prix%20', year(l_shipdate), '/', "
-        "CASE WHEN l_linestatus = 'F' THEN 'Race' ELSE 'Practice%201' END, '/D', l_suppkey, "
+        "IF(l_linestatus = 'F', 'Race', 'Practice%201'), '/D', l_suppkey, "
         "'/laptimes.json'), '/') AS full_file_uri",
-        f"{items} concat('D', l_suppkey)) AS drv",
-        f"{items} CAST(i AS STRING)) AS lap",
-        f"{items} IF(i = 4, 'None', CAST(l_partkey * i AS STRING))) AS time",
-        f"{items} IF(i = 5, 'None', CAST(i + 1 AS STRING))) AS life",
-        f"{items} IF(i = 6, '1.0', CAST(l_orderkey % 5 AS STRING))) AS stint",
-        "slice(transform(sequence(1, l_linenumber), i -> l_returnflag), 1, "
-        "l_linenumber - 1) AS compound",
+        "array_repeat(concat('D', l_suppkey), l_linenumber) AS drv",
+        f"{_numbers('0')} AS lap",
+        f"{_none_first('l_partkey')} AS time",
+        f"{_none_first('1')} AS life",
+        f"{_numbers('l_suppkey')} AS stint",
+        f"{_one_short('array_repeat(l_returnflag, l_linenumber)')} AS compound",
     )
 
 

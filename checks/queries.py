@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from checks import proxies
 from stintlab import schemas
-from stintlab.functions.labels import pit_strategy
+from stintlab.functions.labels import pit_strategy, wear_state
 from stintlab.functions.text import path_segment
 from stintlab.functions.timing import fuel_corrected
 from stintlab.operators.driving import (
@@ -18,7 +18,12 @@ from stintlab.operators.driving import (
     event_baselines,
     styles_prototype,
 )
-from stintlab.operators.filters import representative, timed_race_laps, valid_telemetry, worn_laps
+from stintlab.operators.filters import (
+    representative_laps,
+    timed_race_laps,
+    valid_telemetry,
+    worn_laps,
+)
 from stintlab.operators.medians import upper_medians
 from stintlab.operators.ranking import positions_by_range, race_positions, top_rows
 from stintlab.operators.reshape import driver_rows, lap_rows, telemetry_rows
@@ -56,8 +61,8 @@ def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.select(
         *DRIVER,
         "num_stints",
-        F.round("avg_lap", 4).alias("avg_lap"),
-        F.round("lap_variance", 0).alias("lap_variance"),
+        "avg_lap",
+        F.round("lap_variance", 2).alias("lap_variance"),
         "avg_stint_length",
         F.array_join("compounds", ">").alias("compounds"),
     )
@@ -145,13 +150,12 @@ def _tyre_states_prototype(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fuel_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    laps = with_tyre_state(worn_laps(proxies.wear_laps(spark, sf_dir)))
-    laps = laps.filter(representative(F.col("state")))
+    laps = representative_laps(worn_laps(proxies.wear_laps(spark, sf_dir)))
     args = F.col("lap_time"), F.col("lap"), F.col("total_laps")
     return laps.select(
         *DRIVER,
         "lap",
-        "state",
+        wear_state(F.col("compound"), F.col("lap"), F.col("tyre_age")).alias("state"),
         fuel_corrected(*args).alias("pace"),
         fuel_corrected(*args, add=True).alias("prototype_pace"),
     )
@@ -190,8 +194,16 @@ def _clean_stint_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_stint_laps(proxies.lap_text(spark, sf_dir))
 
 
+def _lap_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lap text written to CSV files and read back, NULL filling the columns not written."""
+    laps = proxies.lap_text(spark, sf_dir)
+    path = new_path(spark)
+    write_csv(laps, path)
+    return read_laps(spark, path, present=laps.columns)
+
+
 def _timed_race_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return timed_race_laps(_clean_stint_laps(spark, sf_dir))
+    return timed_race_laps(clean_stint_laps(_lap_file(spark, sf_dir)))
 
 
 def _clean_wear_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,7 +211,7 @@ def _clean_wear_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _worn_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return worn_laps(_clean_wear_laps(spark, sf_dir))
+    return worn_laps(clean_wear_laps(_lap_file(spark, sf_dir)))
 
 
 def _clean_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,14 +241,6 @@ def _path_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lap text written to CSV files and read back, NULL filling the columns not written."""
-    laps = proxies.lap_text(spark, sf_dir)
-    path = new_path(spark)
-    write_csv(laps, path)
-    return read_laps(spark, path, present=laps.columns)
-
-
 def _drivers_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark)
     write_csv(proxies.drivers(spark, sf_dir), path)
@@ -310,7 +314,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "laps_explode": _laps_explode,
     "drivers_explode": _drivers_explode,
     "path_segments": _path_segments,
-    "csv_scan_roundtrip": _csv_roundtrip,
+    "csv_scan_roundtrip": _lap_file,
     "drivers_csv_roundtrip": _drivers_csv_roundtrip,
     "report_csv_roundtrip": _report_csv,
     "json_scan": _json_scan,

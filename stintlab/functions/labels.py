@@ -53,23 +53,31 @@ def driving_style(score: Column) -> Column:
     )
 
 
-def _window(limits: dict[str, int], compound: Column) -> Column:
-    choice = F
-    for name, laps in limits.items():
-        choice = choice.when(compound == name, laps)
-    return choice.otherwise(OTHER_WINDOW)
+def _table(limits: dict[str, int]) -> Column:
+    return F.create_map(*[F.lit(v) for pair in limits.items() for v in pair])
 
 
-def tyre_state(compound: Column, lap: Column, age: Column, warm_up: bool = True) -> Column:
-    """DROP, OPTIMAL or DEGRADED for one lap.
+def unusable(compound: Column, age: Column, warm_up: bool = True) -> Column:
+    """Laps that say nothing about tyre wear.
 
-    Out-laps (age 1) are dropped. With ``warm_up`` the slower-warming hard and medium
-    tyres lose every lap up to age 2 as well.
+    These are out-laps (age 1) and, with ``warm_up``, every lap up to age 2 on the
+    slower-warming hard and medium tyres.
     """
-    unusable = age == 1
-    if warm_up:
-        unusable = unusable | ((age <= 2) & compound.isin("HARD", "MEDIUM"))
-    limit = F.when(lap <= EARLY_LAPS, _window(EARLY_WINDOW, compound)).otherwise(
-        _window(LATE_WINDOW, compound)
+    out_lap = age == 1
+    return out_lap | ((age <= 2) & compound.isin("HARD", "MEDIUM")) if warm_up else out_lap
+
+
+def wear_state(compound: Column, lap: Column, age: Column) -> Column:
+    """OPTIMAL while the tyre is within its best window, DEGRADED after it."""
+    # One lookup in a constant table keeps the generated code small: a filter is pushed
+    # below the columns it is made of, which repeats them at every mention.
+    table = F.when(lap <= EARLY_LAPS, _table(EARLY_WINDOW)).otherwise(_table(LATE_WINDOW))
+    limit = F.coalesce(F.try_element_at(table, compound), F.lit(OTHER_WINDOW))
+    return F.when(age <= limit, OPTIMAL).otherwise(DEGRADED)
+
+
+def tyre_state(compound: Column, lap: Column, age: Column, warm_up: bool = True) -> Column:
+    """DROP, OPTIMAL or DEGRADED for one lap."""
+    return F.when(unusable(compound, age, warm_up), DROP).otherwise(
+        wear_state(compound, lap, age)
     )
-    return F.when(unusable, DROP).when(age <= limit, OPTIMAL).otherwise(DEGRADED)

@@ -17,19 +17,21 @@ def tidy(name: str) -> Column:
 
 def label(name: str) -> Column:
     """Trimmed text with ``None`` read as empty."""
-    value = tidy(name)
-    return F.when(value == MISSING, "").otherwise(value)
+    return F.regexp_replace(tidy(name), f"^{MISSING}$", "")
 
 
 def number(name: str, kind: str) -> Column:
-    """The value as a number, or NULL where the text is not one."""
-    return tidy(name).try_cast(kind)
+    """The value as a number, or NULL where the text is not one. Blanks do not matter."""
+    return F.col(name).try_cast(kind)
 
 
 def number_or_zero(name: str, kind: str, none_is_zero: bool = False) -> Column:
-    """As :func:`number`, but an empty value (and optionally ``None``) is 0."""
-    value = label(name) if none_is_zero else tidy(name)
-    return F.when(value == "", F.lit(0).cast(kind)).otherwise(value.try_cast(kind))
+    """As :func:`number`, but an empty value (and optionally ``None``) is 0.
+
+    The text is only looked at where the cast fails.
+    """
+    gaps = ["", MISSING] if none_is_zero else [""]
+    return F.coalesce(number(name, kind), F.when(tidy(name).isin(gaps), F.lit(0).cast(kind)))
 
 
 def key_part(name: str, position: int, separator: str = "-") -> Column:

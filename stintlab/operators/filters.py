@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stintlab.functions.labels import DROP, WET_TYRES, exceeds
+from stintlab.functions.labels import WET_TYRES, exceeds, unusable
 from stintlab.functions.text import MISSING
 from stintlab.sources.cleaning import RACE
 
@@ -31,7 +31,13 @@ def valid_telemetry(telemetry: DataFrame, race_only: bool = True) -> DataFrame:
     return telemetry.filter(located & (F.col("session") == RACE) if race_only else located)
 
 
-def representative(state: Column, dry_only: bool = True) -> Column:
-    """Whether a labelled lap counts towards the pace comparison."""
-    counts = (state != DROP) & (F.col("pit_out") == MISSING) & (F.col("lap") > WARM_UP_LAPS)
-    return counts & ~F.col("compound").isin(WET_TYRES) if dry_only else counts
+def representative_laps(
+    laps: DataFrame, warm_up: bool = True, dry_only: bool = True
+) -> DataFrame:
+    """Laps that count towards the pace comparison."""
+    counts = (
+        ~unusable(F.col("compound"), F.col("tyre_age"), warm_up)
+        & (F.col("pit_out") == MISSING)
+        & (F.col("lap") > WARM_UP_LAPS)
+    )
+    return laps.filter(counts & ~F.col("compound").isin(WET_TYRES) if dry_only else counts)

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from stintlab.staging import settle
 
-# Width of the counting bins in units of the value: lap times come in milliseconds.
-BIN_WIDTH = 0.01
+# Width of the counting bins, in seconds: some hundred bins over the lap times of one group.
+BIN_WIDTH = 0.25
 
 
 def upper_medians(

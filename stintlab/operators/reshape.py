@@ -21,14 +21,24 @@ SESSION_SEGMENT = -3
 INTEGER_LAP_COLUMNS = {"lap", "stintNumber", "tyreAgeLaps"}
 
 
-def _rows(arrays: dict[str, str], pad_missing: bool) -> Column:
-    """Generator of one row per array position; ``arrays`` maps column to row name."""
+def _explode(
+    docs: DataFrame, keys: dict[str, Column], arrays: dict[str, str], pad_missing: bool
+) -> DataFrame:
+    """One row per array position; ``arrays`` maps each array's column to its row name.
+
+    The keys are worked out per document, below the explode. The arrays are zipped inside
+    it: Spark filters an exploded column for being non-empty, which would zip them anew.
+    """
 
     def items(name: str) -> Column:
         return F.coalesce(F.col(name), F.array()) if pad_missing else F.col(name)
 
-    zipped = F.arrays_zip(*[items(old).alias(new) for old, new in arrays.items()])
-    return F.inline(zipped)
+    keyed = docs.select(
+        *[c.alias(name) for name, c in keys.items()],
+        *[items(old).alias(f"{new}_items") for old, new in arrays.items()],
+    )
+    zipped = F.arrays_zip(*[F.col(f"{new}_items").alias(new) for new in arrays.values()])
+    return keyed.select(*keys, F.inline(zipped))
 
 
 def telemetry_rows(docs: DataFrame, pad_missing: bool = False) -> DataFrame:
@@ -38,8 +48,8 @@ def telemetry_rows(docs: DataFrame, pad_missing: bool = False) -> DataFrame:
     """
     tel = docs.select("tel.*")
     samples = {c: c for c in tel.columns if c != "dataKey"}
-    keys = [key_part("dataKey", i).alias(c) for i, c in enumerate(schemas.TELEMETRY_KEYS)]
-    return tel.select(*keys, _rows(samples, pad_missing))
+    keys = {name: key_part("dataKey", i) for i, name in enumerate(schemas.TELEMETRY_KEYS)}
+    return _explode(tel, keys, samples, pad_missing)
 
 
 def lap_rows(docs: DataFrame, pad_missing: bool = False) -> DataFrame:
@@ -50,12 +60,12 @@ def lap_rows(docs: DataFrame, pad_missing: bool = False) -> DataFrame:
     driver in this session. Arrays the documents do not have become NULL columns.
     """
     present = {old: new for old, new in schemas.LAP_FIELDS.items() if old in docs.columns}
-    rows = docs.select(
-        path_segment(PATH_COLUMN, EVENT_SEGMENT).alias("event"),
-        path_segment(PATH_COLUMN, SESSION_SEGMENT).alias("sessionType"),
-        F.size("lap").alias("totalLaps"),
-        _rows(present, pad_missing),
-    )
+    keys = {
+        "event": path_segment(PATH_COLUMN, EVENT_SEGMENT),
+        "sessionType": path_segment(PATH_COLUMN, SESSION_SEGMENT),
+        "totalLaps": F.size("lap"),
+    }
+    rows = _explode(docs, keys, present, pad_missing)
 
     def column(name: str) -> Column:
         if name not in rows.columns:

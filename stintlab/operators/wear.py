@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stintlab.functions.labels import DEGRADED, OPTIMAL, tyre_state
+from stintlab.functions.labels import DEGRADED, OPTIMAL, tyre_state, wear_state
 from stintlab.functions.timing import fuel_corrected
-from stintlab.operators.filters import representative
+from stintlab.operators.filters import representative_laps
 
 
 def with_tyre_state(laps: DataFrame, warm_up: bool = True) -> DataFrame:
@@ -26,9 +26,9 @@ def paced_laps(
 ) -> DataFrame:
     """Representative laps with tyre state and fuel-corrected pace. Needs no shuffle."""
     pace = fuel_corrected(F.col("lap_time"), F.col("lap"), F.col("total_laps"), add_fuel)
-    labelled = with_tyre_state(laps, warm_up)
-    return labelled.filter(representative(F.col("state"), dry_only)).select(
-        *keys, "compound", "state", pace.alias("pace")
+    state = wear_state(F.col("compound"), F.col("lap"), F.col("tyre_age"))
+    return representative_laps(laps, warm_up, dry_only).select(
+        *keys, "compound", state.alias("state"), pace.alias("pace")
     )
 
 
