@@ -1,0 +1,68 @@
+"""Exact upper medians against sorting."""
+
+from __future__ import annotations
+
+import math
+import random
+
+import pytest
+
+from stintlab.operators.medians import upper_medians
+
+
+def by_sorting(pairs):
+    groups = {}
+    for key, value in pairs:
+        groups.setdefault(key, []).append(value)
+    order = lambda v: (math.isnan(v), v)
+    return {k: (sorted(v, key=order)[len(v) // 2], len(v)) for k, v in groups.items()}
+
+
+def medians(spark, pairs, **options):
+    df = spark.createDataFrame(pairs, "k string, x double")
+    return {r["k"]: (r["median"], r["count"]) for r in
+            upper_medians(df, ["k"], "x", **options).collect()}
+
+
+@pytest.mark.parametrize(
+    ("values", "expected"),
+    [([0, 1], 1), ([0, 1, 2], 1), ([0, 1, 2, 3, 4, 5], 3), ([7], 7), ([4, 4, 4, 4], 4)],
+)
+def test_small_groups(spark, values, expected):
+    got = medians(spark, [("a", float(v)) for v in values])
+    assert got == {"a": (float(expected), len(values))}
+
+
+@pytest.mark.parametrize("bin_width", [0.001, 0.25, 1000.0])
+def test_any_bin_width_is_exact(spark, bin_width):
+    rng = random.Random(5)
+    pairs = [("hot", rng.gauss(90, 5)) for _ in range(3000)]
+    pairs += [(f"k{i % 40}", rng.choice([rng.uniform(-50, 50), 3.25])) for i in range(2000)]
+    assert medians(spark, pairs, bin_width=bin_width) == by_sorting(pairs)
+
+
+def test_one_value_fills_a_third_of_all_rows(spark):
+    rng = random.Random(6)
+    pairs = [("a", 88.125)] * 1000 + [("a", rng.uniform(60, 120)) for _ in range(2001)]
+    assert medians(spark, pairs) == by_sorting(pairs)
+
+
+def test_infinities_and_nan_sort_last(spark):
+    pairs = [("a", 1.0), ("a", math.inf), ("a", math.inf), ("b", -math.inf), ("b", 2.0),
+             ("b", 3.0), ("c", 1.0), ("c", 2.0), ("c", math.nan)]
+    assert medians(spark, pairs) == by_sorting(pairs)
+    got = medians(spark, [("d", 1.0), ("d", math.nan)])
+    assert math.isnan(got["d"][0])
+
+
+def test_mean(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", 6.0)], "k string, x double")
+    assert upper_medians(df, ["k"], "x").first()["mean"] == 3.0
+
+
+def test_same_without_broadcasts(spark, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    rng = random.Random(7)
+    pairs = [(f"k{i % 5}", rng.gauss(90, 5)) for i in range(1000)]
+    assert medians(spark, pairs) == by_sorting(pairs)

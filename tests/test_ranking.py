@@ -1,0 +1,61 @@
+"""Positions and top rows."""
+
+from __future__ import annotations
+
+import random
+
+from stintlab.operators.ranking import (
+    positions_by_range,
+    positions_by_window,
+    race_positions,
+    top_rows,
+)
+from stintlab.staging import settle
+from tests.conftest import rows
+
+
+def totals(spark):
+    """One event with most of the drivers, many of them level, and some small ones."""
+    rng = random.Random(3)
+    data = [("E0", f"D{i:05}", float(rng.choice([5400, 5400 + rng.randrange(900)])))
+            for i in range(3000)]
+    data += [(f"E{1 + i % 7}", f"D{i:05}", rng.uniform(5000, 6000)) for i in range(140)]
+    rng.shuffle(data)
+    return spark.createDataFrame(data, "event string, driver string, total_time double")
+
+
+def test_level_times_rank_by_driver(spark):
+    df = spark.createDataFrame(
+        [("E", "B", 10.0), ("E", "A", 10.0), ("E", "C", 9.0), ("F", "A", 50.0)],
+        "event string, driver string, total_time double",
+    )
+    got = {(r.event, r.driver): r.position for r in positions_by_window(df).collect()}
+    assert got == {("E", "C"): 1, ("E", "A"): 2, ("E", "B"): 3, ("F", "A"): 1}
+
+
+def test_range_positions_equal_window_positions(spark, setting):
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    setting("spark.sql.shuffle.partitions", "16")
+    df = settle(totals(spark))
+    ranged = positions_by_range(df)
+    assert rows(ranged) == rows(positions_by_window(df))
+    assert ranged.schema["position"].dataType.simpleString() == "int"
+
+
+def test_large_fields_take_the_range_way(spark):
+    df = settle(totals(spark))
+    wide = race_positions(df, rows_per_task=100)
+    assert "row_number" not in wide._jdf.queryExecution().toString()
+    assert rows(wide) == rows(race_positions(df))
+
+
+def test_no_rows(spark):
+    df = totals(spark).limit(0)
+    assert race_positions(df).count() == 0
+    assert positions_by_range(settle(df)).count() == 0
+
+
+def test_top_rows(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 1), ("b", 2), ("a", 9)], "k string, v int")
+    got = [tuple(r) for r in top_rows(df, ["k", "v"], 3).collect()]
+    assert got == [("b", 2), ("b", 1), ("a", 9)]
