@@ -1,0 +1,54 @@
+"""Every registered query against its SQL on an independent engine."""
+
+from __future__ import annotations
+
+import math
+from decimal import Decimal
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+
+SF = "/root/testdata/sf0.001"
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+@pytest.fixture(scope="module")
+def engine():
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
+    yield connection
+    connection.close()
+
+
+def plain(value):
+    if isinstance(value, Decimal):
+        value = float(value)
+    return "NaN" if isinstance(value, float) and math.isnan(value) else value
+
+
+def in_order(records):
+    return sorted(records, key=lambda r: [(v is None, str(v)) for v in r])
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_query_matches_sql(spark, engine, name):
+    df = contract.queries()[name](spark, SF)
+    columns = sorted(df.columns)
+    cursor = engine.execute(contract.oracle_sql()[name])
+    names = [d[0] for d in cursor.description]
+    assert sorted(names) == columns
+    places = [names.index(c) for c in columns]
+    expected = in_order(tuple(plain(r[i]) for i in places) for r in cursor.fetchall())
+    got = in_order(tuple(plain(r[c]) for c in columns) for r in df.collect())
+    assert got == expected
+    assert got
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() > 0
