@@ -205,6 +205,14 @@ styled AS (
 ),
 medians AS ({_medians("styled", "style, compound, state", "pace")})"""
 
+_STYLED_PROTOTYPE = f"""{_PROTOTYPE_STATS}, {_wear_laps(False, "TRUE")},
+styled AS (
+    SELECT w.event, w.session, w.driver, w.lap, w.total_laps, w.compound, w.lap_time,
+        w.tyre_age, CASE WHEN w.no_pit THEN 'None' ELSE 'True' END AS pit_out, s.style
+    FROM worn w JOIN styles s
+        ON s.event = w.event AND s.session = w.session AND s.driver = w.driver
+)"""
+
 # The text tables, as the proxies spell them.
 _LAP_TEXT = """
 lap_text AS (
@@ -432,8 +440,15 @@ ORACLES: dict[str, str] = {
             'D' || l_suppkey || ',D' || l_suppkey AS drv,
             CAST(CAST(l_extendedprice AS DECIMAL(18, 2)) AS VARCHAR) || ',None' AS time
         FROM lineitem""",
-    "top_laps": f"""WITH {_STYLED}
-        SELECT event, driver, style, compound, state, pace FROM styled
-        ORDER BY event DESC, driver DESC, style DESC, compound DESC, state DESC, pace DESC
-        LIMIT 50""",
+    "styled_laps_prototype": f"""WITH {_STYLED_PROTOTYPE}
+        SELECT event, session, driver, lap, total_laps, compound, lap_time, tyre_age, pit_out,
+            style FROM styled""",
+    "top_laps": f"""WITH {_STYLED_PROTOTYPE}
+        SELECT event, session, driver, style, lap_time, compound, tyre_age, lap, total_laps,
+            pit_out
+        FROM styled ORDER BY event DESC, session DESC, driver DESC, style DESC, lap_time DESC,
+            compound DESC, tyre_age DESC, lap DESC, total_laps DESC, pit_out DESC LIMIT 50""",
+    "top_groups": f"""WITH {_PROTOTYPE_MEDIANS}
+        SELECT style, compound, state, median, count FROM medians
+        ORDER BY style DESC, compound DESC, state DESC, median DESC, count DESC LIMIT 50""",
 }

@@ -34,6 +34,7 @@ from stintlab.plans.wear import (
     OUTPUT_ORDER,
     driver_styles,
     prototype_medians,
+    prototype_styles,
     wear_report,
     wear_report_prototype,
 )
@@ -275,12 +276,25 @@ def _json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _styled_laps_prototype(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sessions' laps joined with their drivers' styles on three keys."""
+    styles = settle(prototype_styles(proxies.telemetry(spark, sf_dir)))
+    laps = worn_laps(proxies.wear_laps(spark, sf_dir), race_only=False)
+    return with_style(laps, styles, ["event", "session", "driver"])
+
+
 def _top_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    laps = _styled_laps(spark, sf_dir)
-    columns = ["event", "driver", "style", "compound", "state", "pace"]
+    laps = _styled_laps_prototype(spark, sf_dir)
+    columns = ["event", "session", "driver", "style", "lap_time", "compound", "tyre_age", "lap",
+               "total_laps", "pit_out"]
     return top_rows(laps.select(columns), columns)
 
 
+def _top_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["style", "compound", "state", "median", "count"]
+    return top_rows(_state_medians_prototype(spark, sf_dir).select(columns), columns)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pit_strategy_report": _strategy,
     "strategy_profile": _profile,
@@ -318,5 +332,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drivers_csv_roundtrip": _drivers_csv_roundtrip,
     "report_csv_roundtrip": _report_csv,
     "json_scan": _json_scan,
+    "styled_laps_prototype": _styled_laps_prototype,
     "top_laps": _top_laps,
+    "top_groups": _top_groups,
 }

@@ -21,17 +21,17 @@ def label(name: str) -> Column:
 
 
 def number(name: str, kind: str) -> Column:
-    """The value as a number, or NULL where the text is not one. Blanks do not matter."""
-    return F.col(name).try_cast(kind)
+    """The text as a number, or NULL where it is not one. Blanks do not matter.
 
+    ``None`` is told apart first: every failing cast costs an exception.
+    """
+    return F.when(F.col(name) != MISSING, F.col(name)).try_cast(kind)
 
-def number_or_zero(name: str, kind: str, none_is_zero: bool = False) -> Column:
-    """As :func:`number`, but an empty value (and optionally ``None``) is 0.
 
-    The text is only looked at where the cast fails.
-    """
+def number_or_zero(name: str, kind: str, none_is_zero: bool = False) -> Column:
+    """As :func:`number`, but an empty value (and optionally ``None``) is 0."""
     gaps = ["", MISSING] if none_is_zero else [""]
-    return F.coalesce(number(name, kind), F.when(tidy(name).isin(gaps), F.lit(0).cast(kind)))
+    return F.when(tidy(name).isin(gaps), F.lit(0).cast(kind)).otherwise(number(name, kind))
 
 
 def key_part(name: str, position: int, separator: str = "-") -> Column:

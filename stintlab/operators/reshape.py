@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stintlab import schemas
-from stintlab.functions.text import key_part, path_segment
+from stintlab.functions.text import key_part, number, path_segment
 from stintlab.sources.documents import PATH_COLUMN
 
 # Where a lap document's path holds its event and its session.
@@ -70,9 +71,13 @@ def lap_rows(docs: DataFrame, pad_missing: bool = False) -> DataFrame:
     def column(name: str) -> Column:
         if name not in rows.columns:
             value = F.lit(None).cast("string")
+        elif name in INTEGER_LAP_COLUMNS and isinstance(rows.schema[name].dataType, T.StringType):
+            value = number(name, "int")
+        elif name in INTEGER_LAP_COLUMNS:
+            value = F.col(name).try_cast("int")
         else:
             value = F.col(name)
-        return (value.try_cast("int") if name in INTEGER_LAP_COLUMNS else value).alias(name)
+        return value.alias(name)
 
     return rows.select(*[column(c) for c in schemas.LAP_COLUMNS])
 

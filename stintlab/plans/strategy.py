@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stintlab.functions.labels import pit_strategy
+from stintlab.functions.labels import exceeds, pit_strategy
 from stintlab.operators.filters import timed_race_laps
 from stintlab.operators.ranking import ROWS_PER_TASK, race_positions
 from stintlab.operators.stints import ratio, strategy_profile
@@ -29,7 +29,8 @@ def classify_strategies(laps: DataFrame) -> DataFrame:
     """Strategy and total race time per event and driver, from cleaned laps."""
     profile = strategy_profile(timed_race_laps(laps))
     strategy = pit_strategy(F.col("compounds"), F.col("avg_stint_length"))
-    return profile.select("event", "driver", strategy.alias("strategy"), "total_time")
+    classified = profile.select("event", "driver", strategy.alias("strategy"), "total_time")
+    return classified.filter(exceeds(F.col("total_time"), 0))
 
 
 def pit_strategy_report(
