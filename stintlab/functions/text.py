@@ -25,7 +25,8 @@ def number(name: str, kind: str) -> Column:
 
     ``None`` is told apart first: every failing cast costs an exception.
     """
-    return F.when(F.col(name) != MISSING, F.col(name)).try_cast(kind)
+    text = F.col(name).cast("string")
+    return F.when(text != MISSING, text).try_cast(kind)
 
 
 def number_or_zero(name: str, kind: str, none_is_zero: bool = False) -> Column:

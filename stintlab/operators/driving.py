@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stintlab.functions.labels import driving_style, exceeds, falls_below
 
+CHANNELS = ["acc_y", "brake", "rpm", "speed", "throttle"]
 STATISTICS = ["acc_y", "brake", "rpm"]
 
 # Fixed values of the rules.

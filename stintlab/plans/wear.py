@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stintlab.operators.driving import (
+    CHANNELS,
     driving_stats,
     driving_stats_prototype,
     styles_by_event,
@@ -26,27 +27,28 @@ def _rounded(report: DataFrame) -> DataFrame:
     return report.withColumns({c: F.round(c, 3) for c in _ROUNDED})
 
 
-def driver_styles(telemetry: DataFrame) -> DataFrame:
+def driver_styles(telemetry: DataFrame, stage_inputs: bool = False) -> DataFrame:
     """Style per event and driver from cleaned telemetry of all sessions."""
-    return styles_by_event(driving_stats(valid_telemetry(telemetry)))
+    valid = valid_telemetry(telemetry).select("event", "driver", *CHANNELS)
+    return styles_by_event(driving_stats(settle(valid) if stage_inputs else valid))
 
 
 def wear_report(
     telemetry: DataFrame,
     laps: DataFrame,
     bin_width: float = BIN_WIDTH,
-    stage_laps: bool = False,
+    stage_inputs: bool = False,
 ) -> DataFrame:
     """Median pace on fresh and on worn tyres per event, style and compound.
 
-    ``telemetry`` and ``laps`` are cleaned. Groups need 15 laps in both states. The laps
-    are read twice; ``stage_laps`` writes the few columns needed once instead, which pays
+    ``telemetry`` and ``laps`` are cleaned. Groups need 15 laps in both states. Both inputs
+    are read twice; ``stage_inputs`` writes the few columns needed once instead, which pays
     where reading is dear (CSV) or the styles are too many to broadcast.
     """
-    styles = settle(driver_styles(telemetry))
+    styles = settle(driver_styles(telemetry, stage_inputs))
     paced = paced_laps(worn_laps(laps), ["event", "driver"])
     styled = with_style(paced, styles, ["event", "driver"])
-    if stage_laps:
+    if stage_inputs:
         styled = settle(styled)
     medians = upper_medians(styled, ["event", "style", "compound", "state"], "pace", bin_width)
     report = compare_states(medians, ["event", "style", "compound"])
@@ -64,7 +66,7 @@ def prototype_medians(
     telemetry: DataFrame,
     laps: DataFrame,
     bin_width: float = BIN_WIDTH,
-    stage_laps: bool = False,
+    stage_inputs: bool = False,
 ) -> DataFrame:
     """Upper median, count and mean of pace per style, compound and tyre state."""
     keys = ["event", "session", "driver"]
@@ -77,7 +79,7 @@ def prototype_medians(
         add_fuel=True,
     )
     styled = with_style(paced, styles, keys)
-    if stage_laps:
+    if stage_inputs:
         styled = settle(styled)
     return upper_medians(styled, ["style", "compound", "state"], "pace", bin_width)
 
@@ -86,7 +88,7 @@ def wear_report_prototype(
     telemetry: DataFrame,
     laps: DataFrame,
     bin_width: float = BIN_WIDTH,
-    stage_laps: bool = False,
+    stage_inputs: bool = False,
 ) -> DataFrame:
     """The earlier, season-wide form of the report, per style and compound.
 
@@ -94,7 +96,7 @@ def wear_report_prototype(
     laps, adds the fuel correction instead of subtracting it and asks for no minimum of
     laps. A median of exactly 0 is shown as NULL. Ordered by style and compound.
     """
-    medians = prototype_medians(telemetry, laps, bin_width, stage_laps)
+    medians = prototype_medians(telemetry, laps, bin_width, stage_inputs)
     report = compare_states(medians, ["style", "compound"])
     shown = report.filter(F.col("pace_dropoff_s").isNotNull())
     blank_zero = {

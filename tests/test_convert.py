@@ -185,5 +185,7 @@ def test_shifted_layout_fails(spark, tmp_path):
     (tmp_path / "l.csv").write_text(",".join(present) + "\n" + ",".join("1" * len(present)) + "\n")
     with pytest.raises(Exception, match="header"):
         read_laps(spark, str(tmp_path / "l.csv")).collect()
+    with pytest.raises(Exception, match="header"):
+        read_laps(spark, str(tmp_path / "l.csv")).select("lapTime").collect()
     row = read_laps(spark, str(tmp_path / "l.csv"), present=present).first()
     assert (row["team"], row["driverCode"]) == (None, "1")

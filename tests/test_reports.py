@@ -207,9 +207,9 @@ def test_wear_report_the_long_way(spark):
         if opt[1] >= 15 and deg[1] >= 15:
             expected.append((event, style, compound, round(opt[0], 3), round(deg[0], 3),
                              round(deg[0] - opt[0], 3), opt[1], deg[1]))
-    for stage_laps in (False, True):
+    for stage_inputs in (False, True):
         got = wear_report(spark.createDataFrame(telemetry, TELEMETRY),
-                          spark.createDataFrame(wear, WEAR_LAPS), stage_laps=stage_laps)
+                          spark.createDataFrame(wear, WEAR_LAPS), stage_inputs=stage_inputs)
         assert got.columns == ["event", "style", "tyre_compound", "optimal_median",
                                "degraded_median", "pace_dropoff_s", "optimal_count",
                                "degraded_count"]
