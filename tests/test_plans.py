@@ -69,6 +69,23 @@ def test_laps_stay_where_they_are(spark):
     assert "BroadcastHashJoin" in text and shuffles(text) == 0
 
 
+def test_hot_driver_is_split_where_styles_are_not_broadcast(spark, setting):
+    """Half of all laps are one driver's; its partition of the join is cut into several."""
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.shuffle.partitions", "32")
+    setting("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20KB")
+    setting("spark.sql.adaptive.advisoryPartitionSizeInBytes", "10KB")
+    laps = spark.range(0, 200_000, 1, 8).selectExpr(
+        "'E' AS event", "if(id % 2 = 0, 'HOT', concat('D', id % 999)) AS driver", "rand(1) AS pace"
+    )
+    drivers = laps.select("event", "driver").distinct()
+    styles = settle(drivers.selectExpr("*", "if(driver = 'HOT', 'AGRESSIVE', 'BALANCED') AS style"))
+    counts = with_style(laps, styles, ["event", "driver"]).groupBy("style").count()
+    assert dict(counts.collect()) == {"AGRESSIVE": 100_000, "BALANCED": 100_000}
+    assert "SortMergeJoin(skew=true)" in plan(counts)
+
+
 def test_filter_and_columns_reach_a_parquet_table(spark, tmp_path):
     path = str(tmp_path / "laps")
     proxies.stint_laps(spark, SF).write.parquet(path)
