@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks import proxies
+from stintlab.checks import proxies
 from stintlab import schemas
 from stintlab.functions.labels import pit_strategy, wear_state
 from stintlab.functions.text import path_segment

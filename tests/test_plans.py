@@ -6,8 +6,8 @@ import re
 
 import pytest
 
-from checks import proxies
-from checks.queries import QUERIES
+from stintlab.checks import proxies
+from stintlab.checks.queries import QUERIES
 from stintlab import schemas
 from stintlab.operators.driving import driving_stats, styles_by_event
 from stintlab.operators.ranking import positions_by_window
