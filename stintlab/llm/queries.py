@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from stintlab.llm.common import table
 from stintlab.llm.mixing import mix
+from stintlab.llm.packing import pack
 from stintlab.llm.simhash import hex_digits, near_duplicates
+from stintlab.llm.topk import top_k
+from stintlab.llm.warc import read_records, write_archives
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,11 +25,27 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_records(write_archives(table(spark, sf_dir, "pages")))
+
+
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors.filter(F.col("vec_id") % 20 == 0), vectors)
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup,
         op3_source_mixing,
+        op4_warc_index,
+        op5_exact_topk,
+        op6_best_fit_packing,
     )
 }
 
