@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintlab.llm.common import table
+from stintlab.llm.common import held_out, table
+from stintlab.llm.merkle import compare_with_edits
 from stintlab.llm.mixing import mix
 from stintlab.llm.packing import pack
+from stintlab.llm.quality import rank_quality
 from stintlab.llm.simhash import hex_digits, near_duplicates
 from stintlab.llm.topk import top_k
+from stintlab.llm.toxicity import find_toxic
 from stintlab.llm.warc import read_records, write_archives
 
 
@@ -38,6 +41,24 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").filter(~held_out(4, 2))
+    ranked = rank_quality(table(spark, sf_dir, "documents"), labels)
+    return ranked.select("doc_id", held_out(4, 2).alias("held_out"), "score", "predicted")
+
+
+def op8_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_edits(table(spark, sf_dir, "documents"))
+
+
+def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").filter(~held_out(3, 1))
+    found = find_toxic(table(spark, sf_dir, "documents"), labels)
+    return found.select(
+        "doc_id", held_out(3, 1).alias("held_out"), "score", "predicted", "n_tokens", "passages"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -46,6 +67,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_warc_index,
         op5_exact_topk,
         op6_best_fit_packing,
+        op7_quality_ranking,
+        op8_merkle_fingerprints,
+        op10_toxic_segments,
     )
 }
 
