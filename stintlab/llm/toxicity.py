@@ -31,7 +31,7 @@ BUCKETS = 2**18
 # Labelled documents that are learned from.
 MAX_SAMPLE = 50_000
 # Standard errors that a bucket's log-odds must exceed to count.
-SIGNIFICANT = 3.0
+SIGNIFICANT = 2.5
 # What every token costs, in units of log-odds.
 COST = 0.5
 # Chance segments to expect in a whole document at a passage's score.
@@ -42,7 +42,7 @@ ACCEPT = 0.7
 # Clean documents in the tail without which it is not fitted.
 _LEAST_TAIL = 20
 # Beginnings of a word, in bytes, that have a bucket of their own.
-STEMS = (6, 5, 4)
+STEMS = (8, 7, 6, 5, 4)
 # The least log-odds that count.
 LEAST_ODDS = 2.0
 _REMEMBERED = 200_000
