@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A word is a run of anything but the six ASCII white-space characters.
@@ -23,7 +23,12 @@ def map_batches(
     return df.mapInArrow(change, schema)
 
 
-def held_out(parts: int, part: int):
+def text_hash() -> Column:
+    """Tells rows with equal doc_id but other texts apart; a null text is an empty one."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def held_out(parts: int, part: int) -> Column:
     """Whether crc32 of the document's id, as text, falls to the part that is not learned from.
 
     A document without an id is not held out.

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stintlab.llm.common import WORD
+from stintlab.llm.common import WORD, text_hash
 from stintlab.staging import settle
 
 # Words in a block, and the documents a shard is meant to hold.
@@ -122,13 +122,13 @@ def mix(
     seed: int = SEED,
     most_repeats: int = MOST_REPEATS,
 ) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) for every row of ``docs``.
+    """(doc_id, source, text_hash, size, source_size, target, taken) for every row of ``docs``.
 
     ``taken`` is the number of words the mix takes from the document, repeats counted:
     ``taken div size`` whole copies and the first ``taken mod size`` words. A null or empty
     text has size 0 and gives nothing. A null source is a source, ranked last. Repeated
     rows are documents of their own. Documents are ordered by a hash of seed and doc_id,
-    then by doc_id and size, so reruns agree. Other columns are not looked at. No rows
+    then by doc_id and a hash of the text, so reruns agree. Other columns are not looked at. No rows
     give no rows.
 
     A source may hold any share of the rows: it is cut into shards by hash, and only a
@@ -138,6 +138,7 @@ def mix(
         docs.select(
             F.col("doc_id").cast("long"),
             F.col("source").cast("string"),
+            text_hash().alias("text_hash"),
             F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         )
     )
@@ -173,7 +174,7 @@ def mix(
     )
     laid = (
         Window.partitionBy("place", "shard")
-        .orderBy("drawn", "doc_id", "size")
+        .orderBy("drawn", "doc_id", "text_hash")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offset = F.coalesce(F.sum("size").over(laid), F.lit(0))
@@ -183,5 +184,51 @@ def mix(
     return (
         placed.withColumn("offset", offset)
         .join(quotas, ["place", "shard"])
-        .select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
-    )
+        .select(
+            "doc_id", "source", "text_hash", "size", "source_size", "target",
+            taken.cast("long").alias("taken"),
+        )
+    )
+
+
+def first_words(text: Column, n: Column) -> Column:
+    """The beginning of a text up to the end of its n-th word."""
+    pieces = F.split(text, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
+    return F.array_join(F.slice(pieces, F.lit(1), n.cast("int")), "")
+
+
+def take(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+    """The mix itself: rows of ``docs`` as often as ``mixed`` takes them, with their columns.
+
+    A document comes in whole copies and, for the rest of its words, once more with the
+    beginning of its text. What is not taken does not come.
+    """
+    keys = ["doc_id", "source", "text_hash"]
+    named = {k: f"_{k}" for k in keys}
+    amounts = mixed.groupBy(*keys).agg(F.sum("taken").alias("_taken"), F.max("size").alias("_size"))
+    amounts = amounts.filter(F.col("_taken") > 0).withColumnsRenamed(named)
+    keyed = docs.withColumns(
+        {
+            "_doc": F.col("doc_id").cast("long"),
+            "_src": F.col("source").cast("string"),
+            "_text": text_hash(),
+        }
+    ).dropDuplicates(["_doc", "_src", "_text"])
+    same = (
+        keyed["_doc"].eqNullSafe(amounts["_doc_id"])
+        & keyed["_src"].eqNullSafe(amounts["_source"])
+        & (keyed["_text"] == amounts["_text_hash"])
+    )
+    whole, rest = F.floor(F.col("_taken") / F.col("_size")), F.col("_taken") % F.col("_size")
+    none = F.array().cast("array<bigint>")
+    copies = F.concat(
+        F.array_repeat(F.col("_size"), whole.cast("int")), F.when(rest > 0, F.array(rest)).otherwise(none)
+    )
+    taken = keyed.join(amounts, same).withColumn("_words", F.explode(copies))
+    part = F.when(F.col("_words") == F.col("_size"), F.col("text")).otherwise(
+        first_words(F.col("text"), F.col("_words"))
+    )
+    cut = taken.withColumn("text", part)
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.length("text").cast("long"))
+    return cut.select(*docs.columns)

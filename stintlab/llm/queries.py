@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stintlab.llm.common import held_out, table
+from stintlab.llm.licenses import scan_licenses
 from stintlab.llm.merkle import compare_with_edits
 from stintlab.llm.mixing import mix
 from stintlab.llm.packing import pack
+from stintlab.llm.pii import KINDS, find_personal_data
 from stintlab.llm.quality import rank_quality
 from stintlab.llm.simhash import hex_digits, near_duplicates
 from stintlab.llm.topk import top_k
@@ -23,6 +25,23 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def _spans(spans: Column) -> Column:
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+
+
+def op2_pii_semi_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}")
+        for kind in KINDS
+    ]
+    digest = F.sha2(_spans(F.col("base")).cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, _spans(F.col("spans")).alias("spans"))
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -51,6 +70,14 @@ def op8_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    listed = F.transform(
+        "matches", lambda m: F.concat_ws(":", m["license"], m["start"], m["end"])
+    )
+    return found.select("doc_id", "n_licenses", "coverage", F.array_join(listed, ",").alias("matches"))
+
+
 def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").filter(~held_out(3, 1))
     found = find_toxic(table(spark, sf_dir, "documents"), labels)
@@ -63,12 +90,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup,
+        op2_pii_semi_crf,
         op3_source_mixing,
         op4_warc_index,
         op5_exact_topk,
         op6_best_fit_packing,
         op7_quality_ranking,
         op8_merkle_fingerprints,
+        op9_license_scan,
         op10_toxic_segments,
     )
 }

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from stintlab.llm.common import map_batches
+from stintlab.llm.common import map_batches, text_hash
 from stintlab.staging import settle
 
 SHINGLE_WORDS = 3
@@ -63,17 +63,20 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp) for every row of ``docs``."""
+    """(doc_id, text_hash, fp) for every row of ``docs``."""
 
     def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(t.as_py(), shingle_words) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found, pa.int64())], ["doc_id", "fp"]
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(found, pa.int64())],
+                ["doc_id", "text_hash", "fp"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return map_batches(rows, change, "doc_id long, fp long")
+    rows = docs.select(
+        F.col("doc_id").cast("long"), text_hash().alias("text_hash"), F.col("text").cast("string")
+    )
+    return map_batches(rows, change, "doc_id long, text_hash long, fp long")
 
 
 def _key(kind: int, segment: Column, part: Column) -> Column:
@@ -167,11 +170,12 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, max_bits: int = MAX_BITS, shingle_words: int = SHINGLE_WORDS
 ) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs`` (doc_id, text).
+    """(doc_id, text_hash, fp, component_id, root) for every row of ``docs`` (doc_id, text).
 
     A null or empty text, or one without a word, has fingerprint 0 and links like any
     other. ``component_id`` is the least doc_id reached over links; a null doc_id is never
-    the least unless there is no other. Repeated rows each come back with their
+    the least unless there is no other. ``root`` names the component even then, by its least
+    fingerprint. Repeated rows each come back with their
     component. Other columns of ``docs`` are not looked at. No rows give no rows.
     """
     rows = settle(fingerprints(docs, shingle_words))
@@ -181,9 +185,22 @@ def near_duplicates(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rows.join(rooted.join(first, "root").select("fp", "component_id"), "fp").select(
-        "doc_id", "fp", "component_id"
+    return rows.join(rooted.join(first, "root").select("fp", "root", "component_id"), "fp").select(
+        "doc_id", "text_hash", "fp", "component_id", "root"
+    )
+
+
+def keep_one_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """One row of ``docs`` per component of ``found``: that with the least doc_id (null last),
+    and of those that share it the one whose text hashes lowest."""
+    chosen = (
+        found.groupBy("root")
+        .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("row"))
+        .select(F.col("row.doc_id").alias("_id"), F.col("row.text_hash").alias("_hash"))
     )
+    keyed = docs.withColumns({"_doc": F.col("doc_id").cast("long"), "_text": text_hash()})
+    same = keyed["_doc"].eqNullSafe(chosen["_id"]) & (keyed["_text"] == chosen["_hash"])
+    return keyed.join(chosen, same, "left_semi").dropDuplicates(["_doc", "_text"]).drop("_doc", "_text")
 
 
 def hex_digits(fp: Column) -> Column:
