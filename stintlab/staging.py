@@ -9,30 +9,45 @@ broadcasts it, above it Spark shuffles both sides and splits skewed partitions.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The folder a local session without a named one got, by application.
+_local_folders: dict[str, str] = {}
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without one gets a folder of its own.
+    Only a local session without one gets a folder of its own; the session's own checkpoint
+    folder is left alone. ``local-cluster`` masters count as clusters. A ``file:`` folder is
+    taken at its word: it may be a mount that all executors share.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="stintlab-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="stintlab-")
+    return _local_folders[application]
 
 
 def new_path(spark: SparkSession) -> str:
     """A path in the shared folder that nothing has been written to."""
-    return f"{shared_folder(spark)}/stintlab-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/stintlab-{uuid.uuid4().hex}"
+    written = _written.get()
+    if written is not None:
+        written.append(path)
+    return path
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -41,3 +56,22 @@ def settle(df: DataFrame) -> DataFrame:
     path = new_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """What is written to the shared folder inside the block is removed at its end.
+
+    Save the result inside the block: a table that reads intermediates cannot be read
+    once they are gone.
+    """
+    mark = _written.set([])
+    try:
+        yield
+    finally:
+        paths = _written.get() or []
+        _written.reset(mark)
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for name in paths:
+            path = hadoop.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
