@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stintlab.operators.ranking import with_rows_before
 from stintlab.staging import settle
 
 # Width of the counting bins, in seconds: some hundred bins over the lap times of one group.
@@ -27,6 +28,9 @@ def upper_medians(
        that holds the middle row;
     2. read only that bin's rows again and count through its distinct values.
 
+    Both counts run over ranges of all keys' bins or values at once, so that neither a
+    group nor its middle bin is ever held in one task, however its values lie.
+
     The result is exact for any ``bin_width``; it only sets how many bins and how many
     distinct values per bin there are.
     """
@@ -35,28 +39,27 @@ def upper_medians(
     binned = df.select(*keys, F.col(value).alias("v")).filter(F.col("v").isNotNull())
     binned = binned.withColumn("bin", F.rint(F.col("v") / F.lit(bin_width)))
 
-    up_to_bin = Window.partitionBy(*keys).orderBy("bin")
-    whole_key = Window.partitionBy(*keys)
-    bins = binned.groupBy(*keys, "bin").agg(
-        F.count("*").alias("rows"), F.sum("v").alias("bin_sum")
+    bins = settle(
+        binned.groupBy(*keys, "bin").agg(F.count("*").alias("rows"), F.sum("v").alias("bin_sum"))
+    )
+    totals = bins.groupBy(*keys).agg(
+        F.sum("rows").alias("total"), (F.sum("bin_sum") / F.sum("rows")).alias("mean")
     )
+    counted = with_rows_before(bins.drop("bin_sum"), keys, ["bin"], "rows", "below")
     middle = F.floor(F.col("total") / 2)
     located = settle(
-        bins.withColumn("below", F.sum("rows").over(up_to_bin) - F.col("rows"))
-        .withColumn("total", F.sum("rows").over(whole_key))
-        .withColumn("mean", F.sum("bin_sum").over(whole_key) / F.col("total"))
+        counted.join(totals, keys)
         .filter((F.col("below") <= middle) & (middle < F.col("below") + F.col("rows")))
         .select(*keys, "bin", "total", "mean", (middle - F.col("below")).alias("offset"))
     )
 
-    up_to_value = Window.partitionBy(*keys).orderBy("v")
     values = (
         binned.join(located, [*keys, "bin"])
         .groupBy(*keys, "v", "total", "mean", "offset")
         .agg(F.count("*").alias("n"))
-        .withColumn("below", F.sum("n").over(up_to_value) - F.col("n"))
     )
+    ranked = with_rows_before(values, keys, ["v"], "n", "below")
     found = (F.col("below") <= F.col("offset")) & (F.col("offset") < F.col("below") + F.col("n"))
-    return values.filter(found).select(
+    return ranked.filter(found).select(
         *keys, F.col("v").alias("median"), F.col("total").alias("count"), "mean"
     )

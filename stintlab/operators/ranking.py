@@ -9,58 +9,53 @@ from pyspark.sql import functions as F
 
 from stintlab.staging import settle
 
-# A row of the ranking is some tens of bytes, so this many sort within one task.
-ROWS_PER_TASK = 1_000_000
 
-_ORDER = ["event", "total_time", "driver"]
+def with_rows_before(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str, name: str
+) -> DataFrame:
+    """Add ``name``: the sum of ``weight`` over the rows of the same keys that come earlier.
 
-
-def positions_by_window(totals: DataFrame) -> DataFrame:
-    """Position by total time within each event; equal times rank by driver.
-
-    Sorts each event in one task, which suits fields of known size.
-    """
-    finish = Window.partitionBy("event").orderBy("total_time", "driver")
-    return totals.withColumn("position", F.row_number().over(finish))
-
-
-def positions_by_range(totals: DataFrame) -> DataFrame:
-    """The same positions without ever holding one event in one task.
-
-    The rows are range-partitioned and sorted over all events at once and written with
-    their running row number, so a position is the row's number within its partition plus
-    the event's rows in earlier partitions. Those counts are one row per event and
-    partition.
+    No key is ever held in one task. The rows of all keys are range-partitioned and sorted
+    at once and written; a running sum within each partition is then raised by what the
+    key has in earlier partitions, which is one row per key and partition. ``keys`` and
+    ``order`` must tell every row from any other.
     """
-    sorted_rows = totals.repartitionByRange(*_ORDER).sortWithinPartitions(*_ORDER)
-    numbered = settle(sorted_rows.withColumn("row_id", F.monotonically_increasing_id()))
-    numbered = numbered.withColumn("part", F.shiftright("row_id", 33))
-    earlier = Window.partitionBy("event").orderBy("part").rowsBetween(
+    keys, order = list(keys), list(order)
+    place = "_place"
+    rows = settle(
+        df.repartitionByRange(*keys, *order)
+        .sortWithinPartitions(*keys, *order)
+        .withColumn(place, F.monotonically_increasing_id())
+    ).withColumn("_part", F.shiftright(place, 33))
+    here = Window.partitionBy(*keys, "_part").orderBy(place).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    starts = (
-        numbered.groupBy("event", "part")
-        .agg(F.min("row_id").alias("first_id"), F.count("*").alias("n"))
-        .withColumn("rows_before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    parts = (
+        rows.groupBy(*keys, "_part")
+        .agg(F.sum(weight).alias("_sum"))
+        .withColumn("_earlier", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
+        .drop("_sum")
     )
-    position = F.col("rows_before") + F.col("row_id") - F.col("first_id") + 1
-    return (
-        numbered.join(starts, ["event", "part"])
-        .withColumn("position", position.cast("int"))
-        .select(*totals.columns, "position")
+    before = F.coalesce(F.sum(weight).over(here), F.lit(0)) + F.col("_earlier")
+    return rows.join(parts, [*keys, "_part"]).withColumn(name, before).drop(
+        place, "_part", "_earlier"
     )
 
 
-def race_positions(totals: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Positions within each event, by the window where the largest field fits one task.
+def race_positions(totals: DataFrame) -> DataFrame:
+    """Position by total time within each event; equal times rank by driver.
 
-    ``totals`` is read more than once; settle it first if it is costly.
+    ``totals`` has one row per event and driver. Fields of any size take the same way.
     """
-    fields = totals.groupBy("event").agg(F.count("*").alias("n"))
-    largest = fields.agg(F.max("n")).first()[0] or 0
-    if largest <= rows_per_task:
-        return positions_by_window(totals)
-    return positions_by_range(totals)
+    numbered = with_rows_before(
+        totals.withColumn("_one", F.lit(1)), ["event"], ["total_time", "driver"], "_one", "_before"
+    )
+    return numbered.withColumn("position", (F.col("_before") + 1).cast("int")).select(
+        *totals.columns, "position"
+    )
 
 
 def top_rows(df: DataFrame, columns: Sequence[str], n: int = 50) -> DataFrame:

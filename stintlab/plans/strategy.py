@@ -7,15 +7,21 @@ from pyspark.sql import functions as F
 
 from stintlab.functions.labels import exceeds, pit_strategy
 from stintlab.operators.filters import timed_race_laps
-from stintlab.operators.ranking import ROWS_PER_TASK, race_positions
+from stintlab.operators.ranking import race_positions
 from stintlab.operators.stints import ratio, strategy_profile
-from stintlab.staging import settle
 
 
-def one_team_per_driver(drivers: DataFrame) -> DataFrame:
-    """The driver table as (driver, team), keeping the greatest entry of repeated drivers."""
+def one_team_per_driver(drivers: DataFrame, order_by: str | None = None) -> DataFrame:
+    """The driver table as (driver, team), one entry of repeated drivers.
+
+    Files have no order, so it must be told which entry is the last: that with the greatest
+    ``order_by``, or without it the greatest (team, number). Entries level in ``order_by``
+    are told apart by team and number.
+    """
+    last = [F.col(order_by)] if order_by else []
     entries = drivers.select(
-        F.col("driverName").alias("driver"), F.struct("team", "driverNumber").alias("entry")
+        F.col("driverName").alias("driver"),
+        F.struct(*last, F.col("team"), F.col("driverNumber")).alias("entry"),
     )
     return entries.groupBy("driver").agg(F.max("entry")["team"].alias("team"))
 
@@ -37,17 +43,23 @@ def pit_strategy_report(
     laps: DataFrame,
     drivers: DataFrame,
     repeated_drivers: str = "merge",
-    rows_per_task: int = ROWS_PER_TASK,
+    order_by: str | None = None,
 ) -> DataFrame:
     """Average position and race time per strategy, event and team.
 
     ``laps`` are cleaned stint laps, ``drivers`` the driver table. Drivers are ranked
     before the driver table is consulted, so one missing from it still holds a position.
-    A driver listed more than once counts once (``"merge"``) or once per entry (``"all"``).
+    A driver listed more than once counts once (``"merge"``, the entry with the greatest
+    ``order_by``) or once per entry (``"all"``).
+
+    Runs jobs when called: the ranking is written. Cut ``laps`` to the events wanted
+    before, as a filter on the report does not get below that.
     """
-    classified = settle(classify_strategies(laps))
-    ranked = race_positions(classified, rows_per_task)
-    teams = one_team_per_driver(drivers) if repeated_drivers == "merge" else all_teams(drivers)
+    ranked = race_positions(classify_strategies(laps))
+    if repeated_drivers == "merge":
+        teams = one_team_per_driver(drivers, order_by)
+    else:
+        teams = all_teams(drivers)
     return (
         ranked.join(teams, "driver")
         .groupBy("strategy", "event", "team")

@@ -28,9 +28,14 @@ def _rounded(report: DataFrame) -> DataFrame:
 
 
 def driver_styles(telemetry: DataFrame, stage_inputs: bool = False) -> DataFrame:
-    """Style per event and driver from cleaned telemetry of all sessions."""
+    """Style per event and driver from cleaned telemetry of all sessions.
+
+    The statistics are written before they are labelled: they and their baselines must be
+    the same numbers, and sums of doubles may differ between two evaluations.
+    """
     valid = valid_telemetry(telemetry).select("event", "driver", *CHANNELS)
-    return styles_by_event(driving_stats(settle(valid) if stage_inputs else valid))
+    stats = settle(driving_stats(settle(valid) if stage_inputs else valid))
+    return styles_by_event(stats)
 
 
 def wear_report(
@@ -43,7 +48,11 @@ def wear_report(
 
     ``telemetry`` and ``laps`` are cleaned. Groups need 15 laps in both states. Both inputs
     are read twice; ``stage_inputs`` writes the few columns needed once instead, which pays
-    where reading is dear (CSV) or the styles are too many to broadcast.
+    where reading is dear (CSV) or the styles are too many to broadcast; typed Parquet
+    tables (see ``sources.typed``) are cheap to read twice.
+
+    Runs jobs when called. Cut the inputs to the events wanted before, as a filter on the
+    report does not get below what is written.
     """
     styles = settle(driver_styles(telemetry, stage_inputs))
     paced = paced_laps(worn_laps(laps), ["event", "driver"])
@@ -94,7 +103,9 @@ def wear_report_prototype(
 
     It differs in its style rules (see ``styles_prototype``), keeps wet tyres and warm-up
     laps, adds the fuel correction instead of subtracting it and asks for no minimum of
-    laps. A median of exactly 0 is shown as NULL. Ordered by style and compound.
+    laps. A median of exactly 0 is shown as NULL. Ordered by style and compound. Figures
+    are rounded half up in decimal, which differs from rounding the binary value where the
+    fourth place is a 5.
     """
     medians = prototype_medians(telemetry, laps, bin_width, stage_inputs)
     report = compare_states(medians, ["style", "compound"])

@@ -4,16 +4,20 @@ from __future__ import annotations
 
 import random
 
-from stintlab.operators.ranking import (
-    positions_by_range,
-    positions_by_window,
-    race_positions,
-    top_rows,
-)
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from stintlab.operators.ranking import race_positions, top_rows, with_rows_before
 from stintlab.staging import settle
 from tests.conftest import rows
 
 
+def positions_by_window(df):
+    """The plain way, an event in a task."""
+    finish = Window.partitionBy("event").orderBy("total_time", "driver")
+    return df.withColumn("position", F.row_number().over(finish))
+
+
 def totals(spark):
     """One event with most of the drivers, many of them level, and some small ones."""
     rng = random.Random(3)
@@ -29,7 +33,7 @@ def test_level_times_rank_by_driver(spark):
         [("E", "B", 10.0), ("E", "A", 10.0), ("E", "C", 9.0), ("F", "A", 50.0)],
         "event string, driver string, total_time double",
     )
-    got = {(r.event, r.driver): r.position for r in positions_by_window(df).collect()}
+    got = {(r.event, r.driver): r.position for r in race_positions(df).collect()}
     assert got == {("E", "C"): 1, ("E", "A"): 2, ("E", "B"): 3, ("F", "A"): 1}
 
 
@@ -37,22 +41,24 @@ def test_range_positions_equal_window_positions(spark, setting):
     setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
     setting("spark.sql.shuffle.partitions", "16")
     df = settle(totals(spark))
-    ranged = positions_by_range(df)
+    ranged = race_positions(df)
     assert rows(ranged) == rows(positions_by_window(df))
     assert ranged.schema["position"].dataType.simpleString() == "int"
 
 
-def test_large_fields_take_the_range_way(spark):
-    df = settle(totals(spark))
-    wide = race_positions(df, rows_per_task=100)
-    assert "row_number" not in wide._jdf.queryExecution().toString()
-    assert rows(wide) == rows(race_positions(df))
+def test_weights_add_up_across_partitions(spark, setting):
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    setting("spark.sql.shuffle.partitions", "16")
+    df = spark.range(5000).selectExpr("if(id % 3 = 0, 'hot', concat('k', id % 50)) AS k", "id", "id % 7 AS w")
+    plain = Window.partitionBy("k").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
+    expected = df.withColumn("before", F.coalesce(F.sum("w").over(plain), F.lit(0)))
+    got = with_rows_before(df, ["k"], ["id"], "w", "before")
+    assert rows(got.select("k", "id", "w", "before")) == rows(expected)
 
 
 def test_no_rows(spark):
     df = totals(spark).limit(0)
     assert race_positions(df).count() == 0
-    assert positions_by_range(settle(df)).count() == 0
 
 
 def test_top_rows(spark):
