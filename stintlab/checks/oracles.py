@@ -81,12 +81,7 @@ telemetry AS (
     FROM lineitem WHERE l_discount <> 0.1
 )"""
 
-_STATS = f"""{_TELEMETRY},
-ranked AS (
-    SELECT event, driver, acc_y, brake, rpm, at_speed, row_number() OVER (
-        PARTITION BY event, driver ORDER BY acc_y DESC) AS nth
-    FROM telemetry WHERE session = 'Race'
-),
+_STYLES_OF_RANKED = """
 stats AS (
     SELECT event, driver, avg(CASE WHEN nth <= 5 THEN acc_y END) AS acc_y, avg(brake) AS brake,
         coalesce(avg(CASE WHEN at_speed THEN rpm END), 0) AS rpm
@@ -105,6 +100,14 @@ styles AS (
     FROM stats s JOIN baselines b ON s.event = b.event
 )"""
 
+_STATS = f"""{_TELEMETRY},
+ranked AS (
+    SELECT event, driver, acc_y, brake, rpm, at_speed, row_number() OVER (
+        PARTITION BY event, driver ORDER BY acc_y DESC) AS nth
+    FROM telemetry WHERE session = 'Race'
+),
+{_STYLES_OF_RANKED}"""
+
 _PROTOTYPE_STATS = f"""{_TELEMETRY},
 stats AS (
     SELECT event, session, driver, greatest(max(acc_y), CAST(-30 AS DOUBLE)) AS acc_y,
@@ -257,6 +260,27 @@ SELECT 'GP ' || year(l_shipdate) AS event, 'Race' AS session, 'D' || l_suppkey A
 FROM lineitem
 WHERE l_linestatus = 'F' AND l_quantity NOT IN (1, 2, 3, 4) AND l_discount <> 0.1"""
 
+_WEAR_FROM_FILES = f"""WITH {_LAP_TEXT},
+clean AS ({_CLEAN_TELEMETRY}),
+ranked AS (
+    SELECT *, speed > 120 AND throttle > 35 AS at_speed,
+        row_number() OVER (PARTITION BY event, driver ORDER BY acc_y DESC) AS nth
+    FROM clean
+),
+{_STYLES_OF_RANKED},
+worn AS (
+    SELECT *, {_state(True)} AS state FROM wear_rows
+    WHERE session = 'Race' AND lap_time <> 0 AND compound <> '' AND tyre_age <> 0
+),
+styled AS (
+    SELECT p.event, s.style, p.compound, p.state, p.lap_time - {_FUEL} AS pace
+    FROM worn p JOIN styles s ON s.event = p.event AND s.driver = p.driver
+    WHERE p.state <> 'DROP' AND p.pit_out = 'None' AND p.lap > 3 AND {_DRY}
+),
+medians AS ({_medians("styled", "event, style, compound, state", "pace")})
+{_wear("event, style, compound", "event, style, compound AS tyre_compound",
+       "optimal_n >= 15 AND degraded_n >= 15")}"""
+
 _CLEAN_RESULTS = """
 SELECT 'GP ' || year(o_orderdate) AS event, 'Race' AS session, 'D' || o_custkey AS driver,
     CAST(o_orderkey AS INTEGER) AS final_position, o_totalprice AS total_time
@@ -275,9 +299,12 @@ SELECT CAST(year(l_shipdate) AS VARCHAR) AS year, 'GP' AS event, 'Race' AS "sess
     CAST(l_partkey + i AS VARCHAR) AS acc_y,
     CASE WHEN i = 1 THEN 'None' ELSE CAST(l_orderkey + i - 1 AS VARCHAR) END AS rpm,
     CASE WHEN i < l_linenumber THEN CAST(l_suppkey + i AS VARCHAR) END AS speed,
-    CAST(i AS VARCHAR) AS drs
+    CAST(i AS VARCHAR) AS drs, CAST(i AS VARCHAR) AS brake, CAST(i AS VARCHAR) AS throttle,
+    CASE WHEN i = 1 THEN 'None' ELSE CAST(i - 1 AS VARCHAR) END AS rel_distance
 FROM indexed WHERE l_returnflag <> 'R'"""
 
+_TELEMETRY_FILES = _TELEMETRY_ROWS
+
 _LAP_ROWS_ABSENT = ", ".join(
     f'CAST(NULL AS VARCHAR) AS "{c}"'
     for c in [
@@ -299,6 +326,18 @@ SELECT 'Grand Prix ' || year(l_shipdate) AS event,
     {_LAP_ROWS_ABSENT}
 FROM indexed"""
 
+_LAP_FILES = f"""WITH {_INDEXED}
+SELECT 'event=Grand Prix ' || year(l_shipdate) AS event,
+    'session=' || CASE WHEN l_linestatus = 'F' THEN 'Race' ELSE 'Practice 1' END AS "sessionType",
+    CAST(l_linenumber AS VARCHAR) AS "totalLaps", 'D' || l_suppkey AS "driverCode",
+    CAST(i AS VARCHAR) AS lap,
+    CASE WHEN i = 1 THEN 'None' ELSE CAST(l_partkey + i - 1 AS VARCHAR) END AS "lapTime",
+    CASE WHEN i < l_linenumber THEN l_returnflag END AS "tyreCompound",
+    CASE WHEN i <> 1 THEN CAST(i AS VARCHAR) END AS "tyreAgeLaps",
+    CAST(l_suppkey + i AS VARCHAR) AS "stintNumber",
+    {_LAP_ROWS_ABSENT}
+FROM indexed"""
+
 _DRIVER_ROWS = """
 SELECT 'D' || c_custkey AS "driverName", c_mktsegment AS team,
     CAST(c_custkey AS VARCHAR) AS "driverNumber", c_name AS "firstName",
@@ -376,6 +415,10 @@ ORACLES: dict[str, str] = {
         SELECT t.event, t.driver, t.total_time, t.last_lap, e.team
         FROM totals t JOIN (SELECT driver, max(team) AS team FROM entries GROUP BY driver) e
             ON e.driver = t.driver""",
+    "driver_team_lookup_latest": f"""WITH {_STINT_LAPS}, {_DRIVERS}
+        SELECT t.event, t.driver, t.total_time, t.last_lap,
+            CASE WHEN d.number < '5' THEN 'EARLY ' ELSE '' END || d.team AS team
+        FROM totals t JOIN drivers d ON d.driver = t.driver""",
     "driver_team_lookup_all": f"""WITH {_TEAMS_TWICE}
         SELECT t.event, t.driver, t.total_time, t.last_lap, e.team
         FROM totals t JOIN entries e ON e.driver = t.driver""",
@@ -424,7 +467,11 @@ ORACLES: dict[str, str] = {
         SELECT 'D' || s_suppkey AS "driverName", n_name AS team,
             CAST(s_suppkey AS VARCHAR) AS "driverNumber", s_name AS "firstName",
             CAST(s_nationkey AS VARCHAR) AS "lastName"
-        FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_nationkey <> 3""",
+        FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
+    "convert_telemetry_roundtrip": _TELEMETRY_FILES,
+    "convert_laps_roundtrip": _LAP_FILES,
+    "convert_drivers_roundtrip": _DRIVER_ROWS,
+    "wear_report_from_files": _WEAR_FROM_FILES,
     "report_csv_roundtrip": f"""
         SELECT event, style, tyre_compound, CAST(optimal_median AS VARCHAR) AS optimal_median,
             CAST(degraded_median AS VARCHAR) AS degraded_median,

@@ -11,7 +11,8 @@ decimals: their sums are the same in whatever order they are added.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 EVENT = "concat('GP ', year(l_shipdate)) AS event"
 SESSION = "CASE WHEN l_linestatus = 'F' THEN 'Race' ELSE 'Practice 1' END AS session"
@@ -71,9 +72,9 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The driver table; the suppliers of nation 3 are missing from it."""
-    suppliers = table(spark, sf_dir, "supplier").filter("s_nationkey <> 3")
+def all_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The driver table: one row per supplier."""
+    suppliers = table(spark, sf_dir, "supplier")
     nations = table(spark, sf_dir, "nation")
     return suppliers.join(nations, suppliers.s_nationkey == nations.n_nationkey).selectExpr(
         "concat('D', s_suppkey) AS driverName",
@@ -84,6 +85,11 @@ def drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The driver table with a gap, for joins: the suppliers of nation 3 are missing."""
+    return all_drivers(spark, sf_dir).filter("lastName <> '3'")
+
+
 def lap_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lap table as it comes from a file: text with gaps, blanks and bad numbers."""
     return table(spark, sf_dir, "lineitem").selectExpr(
@@ -156,21 +162,41 @@ def _one_short(array: str) -> str:
     return f"slice({array}, 1, l_linenumber - 1)"
 
 
+TELEMETRY_DOCUMENT = (
+    "named_struct("
+    "'dataKey', concat_ws('-', year(l_shipdate), 'GP', 'Race', "
+    "IF(l_quantity = 50, NULL, concat('D', l_suppkey, '-', l_orderkey))), "
+    f"'acc_y', {_numbers('l_partkey')}, "
+    f"'rpm', {_none_first('l_orderkey')}, "
+    f"'speed', {_one_short(_numbers('l_suppkey'))}, "
+    f"'drs', IF(l_returnflag = 'R', NULL, {_numbers('0')}), "
+    f"'brake', {_numbers('0')}, 'throttle', {_numbers('0')}, 'rel_distance', {_none_first('0')}"
+    ")"
+)
+LAP_DOCUMENT = [
+    "array_repeat(concat('D', l_suppkey), l_linenumber) AS drv",
+    f"{_numbers('0')} AS lap",
+    f"{_none_first('l_partkey')} AS time",
+    f"{_none_first('1')} AS life",
+    f"{_numbers('l_suppkey')} AS stint",
+    f"{_one_short('array_repeat(l_returnflag, l_linenumber)')} AS compound",
+]
+DRIVER_DOCUMENT = (
+    "slice(array("
+    "named_struct('driver', concat('D', c_custkey), 'team', c_mktsegment, "
+    "'dn', CAST(c_custkey AS STRING), 'fn', c_name, 'ln', CAST(c_nationkey AS STRING)), "
+    "named_struct('driver', concat('R', c_custkey), 'team', c_mktsegment, "
+    "'dn', CAST(NULL AS STRING), 'fn', 'Reserve', 'ln', c_name)), "
+    "1, IF(c_acctbal > 0, 2, 1))"
+)
+
+
 def telemetry_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One telemetry document per line item, of as many samples as its line number.
 
     ``speed`` is one sample short, and the documents of returned items lack ``drs``.
     """
-    return table(spark, sf_dir, "lineitem").selectExpr(
-        "named_struct("
-        "'dataKey', concat_ws('-', year(l_shipdate), 'GP', 'Race', "
-        "IF(l_quantity = 50, NULL, concat('D', l_suppkey, '-', l_orderkey))), "
-        f"'acc_y', {_numbers('l_partkey')}, "
-        f"'rpm', {_none_first('l_orderkey')}, "
-        f"'speed', {_one_short(_numbers('l_suppkey'))}, "
-        f"'drs', IF(l_returnflag = 'R', NULL, {_numbers('0')})"
-        ") AS tel"
-    )
+    return table(spark, sf_dir, "lineitem").selectExpr(f"{TELEMETRY_DOCUMENT} AS tel")
 
 
 def lap_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,25 +205,13 @@ def lap_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "split(concat('file:///season/', 'Grand%20Prix%20', year(l_shipdate), '/', "
         "IF(l_linestatus = 'F', 'Race', 'Practice%201'), '/D', l_suppkey, "
         "'/laptimes.json'), '/') AS full_file_uri",
-        "array_repeat(concat('D', l_suppkey), l_linenumber) AS drv",
-        f"{_numbers('0')} AS lap",
-        f"{_none_first('l_partkey')} AS time",
-        f"{_none_first('1')} AS life",
-        f"{_numbers('l_suppkey')} AS stint",
-        f"{_one_short('array_repeat(l_returnflag, l_linenumber)')} AS compound",
+        *LAP_DOCUMENT,
     )
 
 
 def driver_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One driver list per customer: the customer and, for some, a reserve driver."""
-    return table(spark, sf_dir, "customer").selectExpr(
-        "slice(array("
-        "named_struct('driver', concat('D', c_custkey), 'team', c_mktsegment, "
-        "'dn', CAST(c_custkey AS STRING), 'fn', c_name, 'ln', CAST(c_nationkey AS STRING)), "
-        "named_struct('driver', concat('R', c_custkey), 'team', c_mktsegment, "
-        "'dn', CAST(NULL AS STRING), 'fn', 'Reserve', 'ln', c_name)), "
-        "1, IF(c_acctbal > 0, 2, 1)) AS drivers"
-    )
+    return table(spark, sf_dir, "customer").selectExpr(f"{DRIVER_DOCUMENT} AS drivers")
 
 
 def lap_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,3 +223,56 @@ def lap_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "array(concat('D', l_suppkey), concat('D', l_suppkey)) AS drv",
         "array(CAST(CAST(l_extendedprice AS DECIMAL(18, 2)) AS STRING), 'None') AS time",
     )
+
+
+def write_array_files(docs: DataFrame, folders: list[str], order: list[str], path: str) -> None:
+    """Write documents as multi-line files, an array of them per combination of ``folders``.
+
+    ``docs`` has the folder columns, those of ``order``, which tell its rows apart, and the
+    document's own. Lines are put out one by one in order: nothing is gathered.
+    """
+    inside = Window.partitionBy(*folders).orderBy(*order)
+    own = [c for c in docs.columns if c not in {*folders, *order}]
+    text = F.to_json(F.struct(*own), {"pretty": "true"})
+    opening = F.when(F.row_number().over(inside) == 1, "[").otherwise("")
+    last = F.lead(F.lit(1)).over(inside).isNull()
+    closing = F.when(last, "]").otherwise(",")
+    lines = docs.select(*folders, F.concat(opening, text, closing).alias("value"))
+    lines.write.partitionBy(*folders).text(path)
+
+
+def telemetry_files(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """The telemetry documents in files by event, session and driver; returns their glob."""
+    items = table(spark, sf_dir, "lineitem")
+    docs = items.selectExpr(
+        "concat('Grand Prix ', year(l_shipdate)) AS event",
+        "IF(l_linestatus = 'F', 'Race', 'Practice 1') AS session",
+        "concat('D', l_suppkey % 2) AS folder",
+        "l_orderkey AS a", "l_linenumber AS b",
+        f"{TELEMETRY_DOCUMENT} AS tel",
+    )
+    write_array_files(docs, ["event", "session", "folder"], ["a", "b"], path)
+    return f"{path}/*/*/*/*.txt"
+
+
+def lap_files(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """The lap documents in files by event, session and driver; returns their glob."""
+    items = table(spark, sf_dir, "lineitem")
+    docs = items.selectExpr(
+        "concat('Grand Prix ', year(l_shipdate)) AS event",
+        "IF(l_linestatus = 'F', 'Race', 'Practice 1') AS session",
+        "concat('D', l_suppkey % 2) AS folder",
+        "l_orderkey AS a", "l_linenumber AS b",
+        *LAP_DOCUMENT,
+    )
+    write_array_files(docs, ["event", "session", "folder"], ["a", "b"], path)
+    return f"{path}/*/*/*/*.txt"
+
+
+def driver_files(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """The driver lists in files by market segment; returns their glob."""
+    docs = table(spark, sf_dir, "customer").selectExpr(
+        "c_mktsegment AS segment", "c_custkey AS a", f"{DRIVER_DOCUMENT} AS drivers"
+    )
+    write_array_files(docs, ["segment"], ["a"], path)
+    return f"{path}/*/*.txt"

@@ -25,10 +25,11 @@ from stintlab.operators.filters import (
     worn_laps,
 )
 from stintlab.operators.medians import upper_medians
-from stintlab.operators.ranking import positions_by_range, race_positions, top_rows
+from stintlab.operators.ranking import race_positions, top_rows
 from stintlab.operators.reshape import driver_rows, lap_rows, telemetry_rows
 from stintlab.operators.stints import race_totals, stint_summary, strategy_profile
 from stintlab.operators.wear import paced_laps, with_style, with_tyre_state
+from stintlab.plans.convert import convert_drivers, convert_laps, convert_telemetry
 from stintlab.plans.strategy import all_teams, one_team_per_driver, pit_strategy_report
 from stintlab.plans.wear import (
     OUTPUT_ORDER,
@@ -44,9 +45,14 @@ from stintlab.sources.cleaning import (
     clean_stint_laps,
     clean_telemetry,
     clean_wear_laps,
+    telemetry_of,
+    typed_laps,
+    typed_telemetry,
+    wear_laps_of,
 )
 from stintlab.sources.documents import read_documents
-from stintlab.sources.tables import read_drivers, read_laps, read_table
+from stintlab.sources.tables import read_drivers, read_laps, read_table, read_telemetry
+from stintlab.sources.typed import read_typed_laps, read_typed_telemetry, write_typed
 from stintlab.staging import new_path, settle
 
 DRIVER = ["event", "driver"]
@@ -82,11 +88,7 @@ def _race_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _as_double(race_positions(settle(_totals(spark, sf_dir)))).drop("last_lap")
-
-
-def _positions_by_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _as_double(positions_by_range(settle(_totals(spark, sf_dir)))).drop("last_lap")
+    return _as_double(race_positions(_totals(spark, sf_dir))).drop("last_lap")
 
 
 def _stints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,6 +112,16 @@ def _driver_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _race_totals(spark, sf_dir).join(teams, "driver")
 
 
+def _driver_teams_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As above, with the later of two entries, here that of another team's name before it."""
+    listed = proxies.drivers(spark, sf_dir).withColumn("entered", F.lit(1))
+    later = listed.filter("driverNumber < '5'").withColumns(
+        {"team": F.concat(F.lit("EARLY "), "team"), "entered": F.lit(2)}
+    )
+    teams = one_team_per_driver(listed.unionByName(later), order_by="entered")
+    return _race_totals(spark, sf_dir).join(teams, "driver")
+
+
 def _driver_teams_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As above, but one row per entry of the driver table."""
     listed = proxies.drivers(spark, sf_dir)
@@ -244,10 +256,46 @@ def _path_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _drivers_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark)
-    write_csv(proxies.drivers(spark, sf_dir), path)
+    write_csv(proxies.all_drivers(spark, sf_dir), path)
     return read_drivers(spark, path)
 
 
+def _converted_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Telemetry documents to files, to a text table and back."""
+    source, target = proxies.telemetry_files(spark, sf_dir, new_path(spark)), new_path(spark)
+    convert_telemetry(spark, source, target)
+    return read_telemetry(spark, target)
+
+
+def _converted_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lap documents to files, to a text table and back."""
+    source, target = proxies.lap_files(spark, sf_dir, new_path(spark)), new_path(spark)
+    convert_laps(spark, source, target)
+    return read_laps(spark, target)
+
+
+def _converted_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Driver lists to files, to a text table and back."""
+    source, target = proxies.driver_files(spark, sf_dir, new_path(spark)), new_path(spark)
+    convert_drivers(spark, source, target)
+    return read_drivers(spark, target)
+
+
+def _wear_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Telemetry and laps from text files to typed tables, and the wear report over them."""
+    text = proxies.telemetry_text(spark, sf_dir)
+    keys = {c: F.lit(None).cast("string") for c in ("year", "lapNumber")}
+    csv, typed = new_path(spark), new_path(spark)
+    write_csv(text.withColumns(keys), csv)
+    write_typed(typed_telemetry(read_telemetry(spark, csv)), typed)
+    typed_lap_path = new_path(spark)
+    write_typed(typed_laps(_lap_file(spark, sf_dir)), typed_lap_path)
+    return wear_report(
+        telemetry_of(read_typed_telemetry(spark, typed)),
+        wear_laps_of(read_typed_laps(spark, typed_lap_path)),
+    )
+
+
 def _report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wear report as one sorted CSV file, read back as text."""
     report = _wear(spark, sf_dir)
@@ -300,11 +348,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "strategy_profile": _profile,
     "race_totals": _race_totals,
     "race_positions": _positions,
-    "race_positions_by_range": _positions_by_range,
+    "race_positions_by_range": _positions,
     "stint_summary": _stints,
     "strategy_labels": _strategy_labels,
     "driver_team_lookup": _driver_teams,
     "driver_team_lookup_all": _driver_teams_all,
+    "driver_team_lookup_latest": _driver_teams_latest,
     "driving_stats": _driving_stats,
     "event_baselines": _event_baselines,
     "driving_style": _driving_style,
@@ -331,6 +380,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_scan_roundtrip": _lap_file,
     "drivers_csv_roundtrip": _drivers_csv_roundtrip,
     "report_csv_roundtrip": _report_csv,
+    "convert_telemetry_roundtrip": _converted_telemetry,
+    "convert_laps_roundtrip": _converted_laps,
+    "convert_drivers_roundtrip": _converted_drivers,
+    "wear_report_from_files": _wear_from_files,
     "json_scan": _json_scan,
     "styled_laps_prototype": _styled_laps_prototype,
     "top_laps": _top_laps,

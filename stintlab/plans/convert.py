@@ -1,49 +1,90 @@
-"""Raw JSON documents to flat CSV tables."""
+"""Raw JSON documents to flat tables.
+
+By default the arrays are those that the documents have: their names are found in a pass of
+its own, then the values are read as text. A document that lacks one of these arrays gives no
+rows, as the arrays are zipped; ``pad_missing`` keeps it. ``layout`` is ``"csv"`` (text, with a
+header) or ``"parquet"`` (typed, by event and session; see ``sources.typed``).
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stintlab import schemas
 from stintlab.operators.reshape import driver_rows, lap_rows, telemetry_rows
 from stintlab.sinks import write_csv
-from stintlab.sources.documents import read_documents
+from stintlab.sources.cleaning import typed_laps, typed_telemetry
+from stintlab.sources.documents import array_names, read_documents
+from stintlab.sources.typed import write_typed
+
+
+def _insist(docs: DataFrame, arrays: dict[str, Column]) -> None:
+    """Fail if a named array is in no document."""
+    held = docs.agg(*[F.max(c.isNotNull()).alias(name) for name, c in arrays.items()]).first()
+    absent = [name for name in arrays if not held[name]]
+    if absent:
+        raise ValueError(f"in no document: {', '.join(absent)}")
 
 
 def convert_telemetry(
     spark: SparkSession,
     source: str,
     target: str,
-    samples: Sequence[str] | None = schemas.TELEMETRY_SAMPLES,
+    samples: Sequence[str] | None = None,
+    pad_missing: bool = False,
     mode: str = "errorifexists",
+    layout: str = "csv",
 ) -> None:
     """Telemetry documents (``<event>/<session>/<driver>/<lap>_tel.json``) to a table.
 
-    ``samples`` names the arrays to read; ``None`` infers them with an extra pass.
+    ``samples`` names the arrays to read, which saves the first pass but checks that each
+    is in some document; by default all arrays are kept, in name order.
     """
-    schema = None if samples is None else schemas.telemetry_document(samples)
-    write_csv(telemetry_rows(read_documents(spark, source, schema)), target, mode)
+    names = array_names(spark, source, "tel") if samples is None else list(samples)
+    if not names:
+        raise ValueError("no telemetry arrays in the documents")
+    docs = read_documents(spark, source, schemas.telemetry_document(names))
+    if samples is not None:
+        _insist(docs, {c: F.col("tel").getField(c) for c in names})
+    rows = telemetry_rows(docs, pad_missing)
+    if layout == "parquet":
+        write_typed(typed_telemetry(rows), target, mode)
+    else:
+        write_csv(rows, target, mode)
 
 
 def convert_laps(
     spark: SparkSession,
     source: str,
     target: str,
-    fields: Sequence[str] | None = tuple(schemas.LAP_FIELDS),
+    fields: Sequence[str] | None = None,
     pad_missing: bool = False,
     mode: str = "errorifexists",
+    layout: str = "csv",
 ) -> None:
     """Lap documents (``<event>/<session>/<driver>/laptimes.json``) to a table.
 
-    ``fields`` names the arrays the season's documents have; ``None`` infers them with an
-    extra pass. A document lacking one of the named arrays gives no rows, unless
-    ``pad_missing``.
+    ``fields`` names the arrays to read, which saves the first pass but checks that each is
+    in some document. Columns of the lap table that no document has an array for are NULL.
     """
-    schema = None if fields is None else schemas.lap_document(fields)
-    docs = read_documents(spark, source, schema, with_path=True)
-    write_csv(lap_rows(docs, pad_missing), target, mode)
+    if fields is None:
+        found = set(array_names(spark, source))
+        names = [c for c in schemas.LAP_FIELDS if c in found]
+    else:
+        names = list(fields)
+    if "lap" not in names:
+        raise ValueError("no lap arrays in the documents")
+    docs = read_documents(spark, source, schemas.lap_document(names), with_path=True)
+    if fields is not None:
+        _insist(docs, {c: F.col(c) for c in names})
+    rows = lap_rows(docs, pad_missing)
+    if layout == "parquet":
+        write_typed(typed_laps(rows), target, mode)
+    else:
+        write_csv(rows, target, mode)
 
 
 def convert_drivers(

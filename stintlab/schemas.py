@@ -10,14 +10,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import types as T
 
-# The telemetry table's columns in file order.
+# The parts of a telemetry document's key, and the channels the reports use.
+# Which other channels there are, and their order, is the data's own business.
 TELEMETRY_KEYS = ["year", "event", "sessionType", "driverName", "lapNumber"]
-TELEMETRY_SAMPLES = [
-    "distance_driver_ahead", "driver_ahead", "acc_x", "acc_y", "acc_z", "brake",
-    "distance", "drs", "gear", "rel_distance", "rpm", "speed", "throttle", "time",
-    "x", "y", "z",
-]
-TELEMETRY_COLUMNS = TELEMETRY_KEYS + TELEMETRY_SAMPLES
+TELEMETRY_CHANNELS = ["acc_y", "brake", "rpm", "speed", "throttle", "rel_distance"]
 
 # The short array names of a lap document, in table order, with the
 # name each one has in the lap table.
@@ -68,7 +64,7 @@ def text_table(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def telemetry_document(samples: Sequence[str] = TELEMETRY_SAMPLES) -> T.StructType:
+def telemetry_document(samples: Sequence[str]) -> T.StructType:
     """One document per lap: a key and parallel sample arrays.
 
     Arrays are read as text because the data mixes numbers with ``"None"``; the

@@ -9,6 +9,21 @@ from pyspark.sql import types as T
 PATH_COLUMN = "full_file_uri"
 
 
+def array_names(
+    spark: SparkSession, path: str | list[str], inside: str | None = None, multi_line: bool = True
+) -> list[str]:
+    """Names of the arrays that documents under ``path`` have, in name order.
+
+    ``inside`` names the struct that holds them. Takes one pass over the documents; their
+    values are not kept.
+    """
+    layout = spark.read.option("multiLine", multi_line).json(path).schema
+    if inside is not None:
+        held = layout[inside].dataType if inside in layout.names else None
+        layout = held if isinstance(held, T.StructType) else T.StructType()
+    return sorted(f.name for f in layout.fields if isinstance(f.dataType, T.ArrayType))
+
+
 def read_documents(
     spark: SparkSession,
     path: str | list[str],

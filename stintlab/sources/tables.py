@@ -41,10 +41,17 @@ def read_laps(
     return read_table(spark, path, schemas.LAP_COLUMNS, present)
 
 
-def read_telemetry(
-    spark: SparkSession, path: str | list[str], present: Sequence[str] | None = None
-) -> DataFrame:
-    return read_table(spark, path, schemas.TELEMETRY_COLUMNS, present)
+def read_telemetry(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The telemetry table with the columns its files have.
+
+    Seasons differ in their channels, so the header decides; all files must have the same
+    one, with at least the keys and the channels that the reports use.
+    """
+    header = spark.read.option("header", True).csv(path).columns
+    absent = [c for c in [*schemas.TELEMETRY_KEYS, *schemas.TELEMETRY_CHANNELS] if c not in header]
+    if absent:
+        raise ValueError(f"no telemetry table: its header lacks {', '.join(absent)}")
+    return read_table(spark, path, header)
 
 
 def read_drivers(spark: SparkSession, path: str | list[str]) -> DataFrame:

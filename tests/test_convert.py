@@ -12,8 +12,9 @@ from stintlab.operators.reshape import driver_rows, lap_rows, telemetry_rows
 from stintlab.plans.convert import convert_drivers, convert_laps, convert_telemetry
 from stintlab.sinks import write_csv
 from stintlab.sources.cleaning import clean_stint_laps, clean_telemetry
-from stintlab.sources.documents import read_documents
+from stintlab.sources.documents import array_names, read_documents
 from stintlab.sources.tables import read_drivers, read_laps, read_telemetry
+from stintlab.sources.typed import read_typed_laps, read_typed_telemetry
 from tests.conftest import rows
 
 
@@ -23,7 +24,8 @@ def save(path, document):
 
 
 def sample_document(key, n=3):
-    tel = {c: [round(i + 0.25, 2) for i in range(n)] for c in schemas.TELEMETRY_SAMPLES}
+    names = [*schemas.TELEMETRY_CHANNELS, "distance", "gear", "DriverAhead"]
+    tel = {c: [round(i + 0.25, 2) for i in range(n)] for c in names}
     tel["brake"] = [i % 2 for i in range(n)]
     tel["rel_distance"] = ["None", *[0.5] * (n - 1)]
     return {"tel": {"dataKey": key, **tel}}
@@ -36,7 +38,8 @@ def test_telemetry_to_table(spark, tmp_path):
     target = str(tmp_path / "telemetry")
     convert_telemetry(spark, f"{tmp_path}/season/*/*/*/*_tel.json", target)
     table = read_telemetry(spark, target)
-    assert table.columns == schemas.TELEMETRY_COLUMNS
+    assert table.columns == [*schemas.TELEMETRY_KEYS, "DriverAhead", "acc_y", "brake", "distance",
+                             "gear", "rel_distance", "rpm", "speed", "throttle"]
     keys = rows(table.select(*schemas.TELEMETRY_KEYS).distinct())
     assert keys == [("2025", "Miami Grand Prix", "Race", "HAM", "2"),
                     ("2025", "Miami Grand Prix", "Race", "VER", "1")]
@@ -49,7 +52,8 @@ def test_telemetry_to_table(spark, tmp_path):
 def test_inferred_and_given_layout_agree(spark, tmp_path):
     save(tmp_path / "s" / "E" / "Race" / "VER" / "1_tel.json", sample_document("2025-E-Race-VER-1"))
     source = f"{tmp_path}/s/*/*/*/*_tel.json"
-    given = telemetry_rows(read_documents(spark, source, schemas.telemetry_document()))
+    names = array_names(spark, source, "tel")
+    given = telemetry_rows(read_documents(spark, source, schemas.telemetry_document(names)))
     inferred = telemetry_rows(read_documents(spark, source))
     assert sorted(inferred.columns) == sorted(given.columns)
     as_text = inferred.select(*[inferred[c].cast("string") for c in given.columns])
@@ -88,7 +92,7 @@ def test_laps_to_table(spark, tmp_path):
     save(root / "Race" / "VER" / "laptimes.json", LAPS)
     save(root / "Practice 1" / "HAM" / "laptimes.json", {k: v[:1] for k, v in LAPS.items()})
     target = str(tmp_path / "laps")
-    convert_laps(spark, f"{tmp_path}/season/*/*/*/laptimes.json", target, fields=list(LAPS))
+    convert_laps(spark, f"{tmp_path}/season/*/*/*/laptimes.json", target)
     table = read_laps(spark, target)
     assert table.columns == schemas.LAP_COLUMNS
     race = table.filter("sessionType = 'Race'")
@@ -113,6 +117,57 @@ def test_lap_document_without_an_array(spark, tmp_path):
     assert lap_rows(docs, pad_missing=True).count() == 6
 
 
+def test_arrays_absent_everywhere_and_unknown_ones(spark, tmp_path):
+    """No row is lost for an array that no document has; telemetry keeps arrays it does not know."""
+    document = sample_document("2025-E-Race-VER-1")
+    del document["tel"]["gear"]
+    document["tel"]["tyre_temp"] = [80.5, 81, 82]
+    save(tmp_path / "s" / "E" / "Race" / "VER" / "1_tel.json", document)
+    save(tmp_path / "s" / "E" / "Race" / "VER" / "laptimes.json", LAPS)
+    convert_telemetry(spark, f"{tmp_path}/s/*/*/*/*_tel.json", str(tmp_path / "t"))
+    table = read_telemetry(spark, str(tmp_path / "t"))
+    assert rows(table.select("tyre_temp", "gear" if "gear" in table.columns else "rpm")) == [
+        ("80.5", "0.25"), ("81", "1.25"), ("82", "2.25"),
+    ]
+    convert_laps(spark, f"{tmp_path}/s/*/*/*/laptimes.json", str(tmp_path / "l"))
+    assert read_laps(spark, str(tmp_path / "l")).filter("isRaining IS NULL").count() == 3
+
+
+def test_named_arrays_must_be_in_some_document(spark, tmp_path):
+    save(tmp_path / "s" / "E" / "Race" / "VER" / "1_tel.json", sample_document("2025-E-Race-VER-1"))
+    save(tmp_path / "s" / "E" / "Race" / "VER" / "laptimes.json", LAPS)
+    with pytest.raises(ValueError, match="drs"):
+        convert_telemetry(spark, f"{tmp_path}/s/*/*/*/*_tel.json", str(tmp_path / "t"), ["acc_y", "drs"])
+    with pytest.raises(ValueError, match="wR"):
+        convert_laps(spark, f"{tmp_path}/s/*/*/*/laptimes.json", str(tmp_path / "l"), ["lap", "wR"])
+    with pytest.raises(ValueError, match="no telemetry"):
+        convert_telemetry(spark, f"{tmp_path}/s/*/*/*/laptimes.json", str(tmp_path / "t"))
+    with pytest.raises(ValueError, match="no lap"):
+        convert_laps(spark, f"{tmp_path}/s/*/*/*/*_tel.json", str(tmp_path / "l"))
+    convert_laps(spark, f"{tmp_path}/s/*/*/*/laptimes.json", str(tmp_path / "l"), ["lap", "time"])
+    assert read_laps(spark, str(tmp_path / "l")).count() == 3
+
+
+def test_typed_tables_as_target(spark, tmp_path):
+    save(tmp_path / "s" / "E" / "Race" / "VER" / "1_tel.json", sample_document("2025-E-Race-VER-1"))
+    save(tmp_path / "s" / "E" / "Race" / "VER" / "laptimes.json", LAPS)
+    convert_telemetry(spark, f"{tmp_path}/s/*/*/*/*_tel.json", str(tmp_path / "t"), layout="parquet")
+    convert_laps(spark, f"{tmp_path}/s/*/*/*/laptimes.json", str(tmp_path / "l"), layout="parquet")
+    assert rows(read_typed_telemetry(spark, str(tmp_path / "t")).select("event", "session", "rpm")) == [
+        ("E", "Race", 0.25), ("E", "Race", 1.25), ("E", "Race", 2.25),
+    ]
+    laps = read_typed_laps(spark, str(tmp_path / "l"))
+    assert rows(laps.select("session", "lap", "lap_time")) == [
+        ("Race", 1, 91.5), ("Race", 2, 0.0), ("Race", 3, 90.25),
+    ]
+
+
+def test_telemetry_files_need_the_channels(spark, tmp_path):
+    write_csv(spark.createDataFrame([("1",)], "acc_y string"), str(tmp_path / "t"))
+    with pytest.raises(ValueError, match="rpm"):
+        read_telemetry(spark, str(tmp_path / "t"))
+
+
 def test_inferred_laps_leave_absent_columns_null(spark, tmp_path):
     save(tmp_path / "s" / "E" / "Race" / "VER" / "laptimes.json", LAPS)
     docs = read_documents(spark, f"{tmp_path}/s/*/*/*/laptimes.json", with_path=True)
