@@ -11,6 +11,7 @@ from stintlab.llm.common import held_out, table
 from stintlab.llm.licenses import scan_licenses
 from stintlab.llm.merkle import compare_with_edits
 from stintlab.llm.mixing import mix
+from stintlab.llm.oracles import ORACLES
 from stintlab.llm.packing import pack
 from stintlab.llm.pii import KINDS, find_personal_data
 from stintlab.llm.quality import rank_quality
@@ -86,6 +87,8 @@ def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -101,5 +104,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_toxic_segments,
     )
 }
-
-ORACLES: dict[str, str] = {}
