@@ -1,0 +1,153 @@
+"""Patterns against plain regular expressions, dynamic programming against all readings."""
+
+from __future__ import annotations
+
+import hashlib
+import itertools
+import random
+import re
+
+import numpy as np
+import pytest
+
+from stintlab.llm import pii
+from stintlab.llm.pii import (
+    KINDS,
+    LABELS,
+    SemiMarkovField,
+    Stretch,
+    base_spans,
+    find_personal_data,
+    find_spans,
+    learn_field,
+    luhn,
+    made_up_examples,
+    mask,
+    mask_personal_data,
+    stretches,
+)
+from stintlab.llm.queries import QUERIES
+from tests.conftest import rows
+
+PLAIN = [
+    r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    r"[0-9]([\x20-]?[0-9])+",
+    r"\+[0-9][\x20().0-9-]+[0-9]",
+]
+
+
+def plainly(text):
+    found = []
+    for kind, pattern in enumerate(PLAIN):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            fits = [
+                True,
+                all(int(p) <= 255 for p in m.group().split(".")) if kind == 1 else True,
+                13 <= len(digits) <= 19 and luhn(digits),
+                9 <= len(digits) <= 15,
+            ][kind]
+            if fits:
+                found.append((kind, *m.span()))
+    return sorted(found)
+
+
+def test_patterns_are_the_plain_ones():
+    draw = random.Random(2)
+    parts = ["a.b@c.de", "@", "x@y", "x@y.z.", "1.2.3.4", "1.2.3.4.5", "300.1.1.1", "001.02.3.4", "4111 1111 1111 1111",
+             "4111-1111-1111-1112", "+1 (555) 010-9999", "+49", "+1 2", " ", "\n", "é", "-", ".", "..", "5", "12345678901234567890",
+             "a@b@c.de", "a@b.c_d@e.f", "+", "(", "9 9", "-@-.-", "%@a.b-c"]
+    for _ in range(3000):
+        text = "".join(draw.choice(parts) for _ in range(draw.randrange(1, 9)))
+        assert sorted(base_spans(text)) == plainly(text), text
+
+
+@pytest.mark.parametrize("text", ["a" * 300_000, "1" * 300_000, "a." * 150_000 + "@", "1." * 150_000,
+                                  "+1 " * 100_000, "@" * 300_000, "a@b" * 100_000, "[at] " * 50_000])
+def test_long_runs_take_linear_time(text):
+    list(base_spans(text))
+    list(itertools.islice(stretches(text), 10))
+
+
+@pytest.fixture(scope="module")
+def field():
+    examples = [e for text, label in made_up_examples()
+                for e in pii._example(text, [(label - 1, 0, len(text))] if label else [])]
+    return SemiMarkovField.learn(examples)
+
+
+def test_new_examples_are_read_rightly(field):
+    right = total = 0
+    for text, label in made_up_examples(10, seed=99):
+        got = [s for stretch in stretches(text) for s in field.decode(stretch)]
+        right += got == ([(label - 1, 0, len(text))] if label else [])
+        total += 1
+    assert right / total > 0.95
+
+
+def test_decoding_is_the_best_of_all_readings():
+    draw = np.random.default_rng(4)
+    text = "12 3456 a@b 99.1 (5) x7"
+    words = [m.span() for m in re.finditer(r"\S+", text)]
+    stretch = Stretch(text, words)
+    for _ in range(20):
+        model = SemiMarkovField(draw.normal(size=(len(LABELS), pii.FEATURES)), draw.normal(size=(len(LABELS),) * 2))
+
+        def readings(at, before):
+            if at == len(words):
+                yield 0.0, []
+                return
+            for end in range(at, len(words)):
+                if (at, end) not in stretch.features:
+                    continue
+                for label in range(len(LABELS)):
+                    if label == 0 and end > at:
+                        continue
+                    own = model.weights[label, stretch.features[at, end]].sum() + model.follow[before, label]
+                    for score, rest in readings(end + 1, label):
+                        here = [(label - 1, *stretch.spans[at, end])] if label else []
+                        yield own + score, here + rest
+
+        assert model.decode(stretch) == max(readings(0, 0), key=lambda r: r[0])[1]
+
+
+def test_spans_that_patterns_miss_are_added(field):
+    text = "call +1 (843) 555-7672 170.106.44.9 or x at y dot com, pay 7536784127813050 4845168114407329"
+    base, spans = find_spans(text, field)
+    assert base == sorted(set(base)) and set(base) <= set(spans)
+    added = {(KINDS[k], text[a:b]) for k, a, b in set(spans) - set(base)}
+    assert ("email", "x at y dot com") in added
+    clean = "Nothing to see on 2024-05-01 at 10:30, version 2.0.1, for 19.99 or 1,000 of them."
+    assert find_spans(clean, field) == ([], [])
+
+
+def test_mask():
+    spans = [{"kind": "ip", "start": 3, "end": 6}, {"kind": "phone", "start": 5, "end": 8}, {"kind": "card", "start": 9, "end": 10}]
+    assert mask("abcdefghijk", spans) == "abc[IP]i[CARD]k"
+
+
+def test_awkward_documents(spark, awkward, nothing):
+    found = find_personal_data(awkward).collect()
+    assert len(found) == 10
+    assert [s["kind"] for r in found for s in r["base"]] == ["email"]
+    masked = mask_personal_data(awkward)
+    assert masked.dtypes == awkward.dtypes
+    texts = [r["text"] for r in masked.collect()]
+    assert "A text without an id, write to [EMAIL] please." in texts and texts.count(None) == 2
+    assert find_personal_data(nothing).count() == 0
+    assert learn_field(nothing).weights.shape == (len(LABELS), pii.FEATURES)
+
+
+def test_query_digests(spark):
+    sf = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = QUERIES["op2_pii_semi_crf"](spark, sf).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        plain = plainly(texts[r["doc_id"]])
+        named = ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in plain)
+        assert r["base_sha256"] == hashlib.sha256(named.encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in KINDS] == [sum(s[0] == i for s in plain) for i in range(4)]
+        assert set(named.split(",")) - {""} <= set(r["spans"].split(","))
+    assert rows(spark.range(1)) == [(0,)]
