@@ -1,0 +1,96 @@
+"""Apportionment seat by seat, targets by repeated resharing, and the mix itself."""
+
+from __future__ import annotations
+
+import random
+
+from pyspark.sql import functions as F
+
+from stintlab.llm.mixing import apportion, first_words, mix, source_targets, take
+from tests.conftest import rows
+
+
+def seat_by_seat(weights, seats):
+    given = [0] * len(weights)
+    for _ in range(seats):
+        best = max(range(len(weights)), key=lambda i: (weights[i] / (2 * given[i] + 1), -i))
+        given[best] += 1
+    return given
+
+
+def test_apportionment_is_seat_by_seat(spark):
+    draw = random.Random(1)
+    cases = []
+    for g in range(40):
+        n = draw.randrange(1, 12)
+        weights = [draw.choice([0, 1, 1, 5, draw.randrange(1, 10_000)]) for _ in range(n)]
+        cases.append((weights if any(weights) else [1], draw.randrange(0, 400)))
+    table = [(g, i, w, sum(ws), s) for g, (ws, s) in enumerate(cases) for i, w in enumerate(ws)]
+    df = spark.createDataFrame(table, "g int, i int, w long, t long, s long")
+    got = {}
+    for r in apportion(df, ["g"], "w", "t", "s", "i", "q").collect():
+        got.setdefault(r["g"], {})[r["i"]] = r["q"]
+    for g, (weights, seats) in enumerate(cases):
+        assert [got[g][i] for i in range(len(weights))] == seat_by_seat(weights, seats), cases[g]
+
+
+def reshared(sizes, most=3):
+    weights = [i % 3 + 1 for i in range(len(sizes))]
+    total, capped = sum(sizes), set()
+    while True:
+        left = total - sum(most * sizes[i] for i in capped)
+        open_weight = sum(w for i, w in enumerate(weights) if i not in capped)
+        target = [most * s if i in capped else left * weights[i] / open_weight for i, s in enumerate(sizes)]
+        above = {i for i, s in enumerate(sizes) if i not in capped and target[i] > most * s}
+        if not above:
+            return target
+        capped |= above
+
+
+def test_targets_by_resharing(spark):
+    draw = random.Random(2)
+    for _ in range(6):
+        sizes = [draw.choice([0, 10, 1000, 100_000]) + draw.randrange(50) for _ in range(9)]
+        df = spark.createDataFrame([(f"s{i}", s) for i, s in enumerate(sizes)], "source string, source_size long")
+        got = [r["target"] for r in source_targets(df).orderBy("place").collect()]
+        assert all(abs(a - b) <= 1e-6 * max(1, b) for a, b in zip(got, reshared(sizes), strict=True))
+
+
+def test_null_source_ranks_last_and_code_points_rule(spark):
+    df = spark.createDataFrame([(None, 5), ("b", 5), ("B", 5), ("é", 5)], "source string, source_size long")
+    places = {r["source"]: r["place"] for r in source_targets(df).collect()}
+    assert places == {"B": 1, "b": 2, "é": 3, None: 4}
+
+
+def test_mix_keeps_its_limits(spark):
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 7)).alias("source"),
+        F.repeat(F.lit("word "), (F.col("id") % 40).cast("int")).alias("text"),
+    )
+    mixed = mix(docs, docs_per_shard=100)
+    assert mixed.filter("taken > 3 * size OR taken < 0").count() == 0
+    for r in mixed.groupBy("source").agg(F.sum("taken").alias("t"), F.max("target").alias("g")).collect():
+        assert abs(r["t"] - r["g"]) <= 0.02 * r["g"] + 16
+    assert rows(mixed) == rows(mix(docs, docs_per_shard=100))
+    taken = take(docs, mixed)
+    assert taken.columns == docs.columns
+    words = taken.select(F.sum(F.size(F.filter(F.split("text", " "), lambda w: w != "")))).first()[0]
+    assert words == mixed.agg(F.sum("taken")).first()[0]
+
+
+def test_first_words(spark):
+    df = spark.createDataFrame([(" a\tb  c ",)], "t string")
+    got = df.select(*[first_words(F.col("t"), F.lit(n)).alias(str(n)) for n in (1, 2, 3)]).first()
+    assert tuple(got) == (" a", " a\tb", " a\tb  c")
+
+
+def test_awkward_documents(spark, awkward, nothing):
+    mixed = mix(awkward)
+    assert mixed.count() == awkward.count()
+    assert mixed.filter("size = 0 AND taken > 0").count() == 0
+    total = mixed.agg(F.sum("size")).first()[0]
+    targets = mixed.select("source", "target").distinct().agg(F.sum("target")).first()[0]
+    assert abs(targets - total) < 1e-6 * total
+    assert take(awkward, mixed).columns == awkward.columns
+    assert mix(nothing).count() == 0 and take(nothing, mix(nothing)).count() == 0
