@@ -114,10 +114,11 @@ class TemplateIndex:
 def align(template: list[bytes], words: list[bytes], diagonal: int, band: int = BAND) -> tuple:
     """Best local alignment near ``diagonal`` (place in ``words`` less place in ``template``).
 
-    (score, equal words, first, end): the stretch of ``words`` it covers.
+    (score, equal words, first, end): the stretch of ``words`` it covers. Of equally good
+    ones that which ends nearest to the diagonal.
     """
     none = (0, 0, -1, -1)
-    best = none
+    best, away = none, 0
     above: dict[int, tuple] = {}
     for q, wanted in enumerate(template):
         row: dict[int, tuple] = {}
@@ -132,8 +133,9 @@ def align(template: list[bytes], words: list[bytes], diagonal: int, band: int =
                     cell = (score + GAP, equal, first, end)
             if cell[0] > 0:
                 row[p] = cell
-                if same and cell[0] > best[0]:
-                    best = cell
+                off = abs(p - q - diagonal)
+                if same and (cell[0], -off) > (best[0], -away):
+                    best, away = cell, off
         above = row
     return best
 
@@ -146,18 +148,17 @@ def find_licenses(
     hashes = np.fromiter(map(word_hash.__getitem__, raw), np.uint64, len(raw))
     near = defaultdict(set)
     for t, q, p in index.hits(hashes):
-        # Diagonals of one place of the document differ by less than the band.
-        near[t].add((p - q) // BAND)
+        near[t].add(p - q)
     if not near:
         return []
     found = []
     for t, diagonals in near.items():
         template = index.words[t]
         for d in sorted(diagonals):
-            low = max(0, d * BAND - 2 * BAND)
-            high = min(len(raw), (d + 1) * BAND + len(template) + 2 * BAND)
+            low = max(0, d - BAND)
+            high = min(len(raw), d + len(template) + BAND)
             words = [plain_word(w) for w in raw[low:high]]
-            score, equal, first, end = align(template, words, d * BAND + BAND // 2 - low, 2 * BAND)
+            score, equal, first, end = align(template, words, d - low)
             if equal >= least * len(template):
                 found.append((score, equal / len(template), low + first, low + end, index.names[t]))
     # Of overlapping finds the one with more matched stays.

@@ -1,0 +1,78 @@
+"""Finds in edited texts, winnowing's promise, and alignment against a full table."""
+
+from __future__ import annotations
+
+import random
+from zlib import crc32
+
+import numpy as np
+
+from stintlab.llm.licenses import EQUAL, GAP, OTHER, TEMPLATES, TemplateIndex, _WordHashes, align, find_licenses, plain_word, run_hashes, scan_licenses, winnow
+
+INDEX = TemplateIndex(TEMPLATES)
+
+
+def find(text, least=0.8):
+    return [(m["license"], text[m["start"] : m["end"]], round(m["coverage"], 2))
+            for m in find_licenses(text, INDEX, _WordHashes(), least)]
+
+
+def test_every_template_is_found_whole():
+    for name, template in TEMPLATES.items():
+        text = f"Some words before, {template} and some after it."
+        found = find(text)
+        assert (name, template, 1.0) in found or any(template in m[1] for m in found), name
+
+
+def test_edited_copies_are_found_with_their_coverage():
+    words = TEMPLATES["gpl-3.0-header"].split()
+    edited = " ".join([*words[:10], "newly", "added", *words[10:20], *words[23:]]).upper().replace(" ", "\n")
+    (name, span, coverage), = find(f"x y. {edited} z")
+    assert (name, span) == ("gpl-3.0-header", edited)
+    assert coverage == round((len(words) - 3) / len(words), 2)
+    half = " ".join(words[: len(words) // 2])
+    assert find(half) == [] and find(half, 0.4)[0][0] == "gpl-3.0-header"
+
+
+def test_other_texts_hold_nothing():
+    for text in (None, "", " ", "a b c", "This work is done under some license or other, version 3 of it.",
+                 "Released under pressure by the license office."):
+        assert find_licenses(text, INDEX, _WordHashes()) == []
+
+
+def test_many_copies_in_one_text():
+    text = "\n".join(f"{i} {TEMPLATES['mit']}" for i in range(2000))
+    assert len(find(text)) == 2000
+
+
+def test_winnowing_keeps_one_of_two_neighbours():
+    draw = random.Random(1)
+    for n in (0, 1, 2, 3, 50):
+        runs = run_hashes(np.array([crc32(str(draw.randrange(9)).encode()) for _ in range(n + 2)], np.uint64))
+        kept = set(winnow(runs).tolist())
+        assert all({i, i + 1} & kept for i in range(len(runs) - 1)) and (len(runs) != 1 or kept == {0})
+
+
+def test_alignment_is_the_best_one():
+    draw = random.Random(2)
+    for _ in range(200):
+        a = [draw.choice("abcd").encode() for _ in range(draw.randrange(1, 9))]
+        b = [draw.choice("abcd").encode() for _ in range(draw.randrange(1, 9))]
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a)):
+            for j in range(len(b)):
+                table[i + 1][j + 1] = max(0, table[i][j] + (EQUAL if a[i] == b[j] else OTHER), table[i][j + 1] + GAP, table[i + 1][j] + GAP)
+        score, equal, first, end = align(a, b, 0, band=20)
+        assert score == max(max(row) for row in table)
+        assert (equal == 0) == (score == 0) and end - first >= equal
+
+
+def test_plain_word():
+    assert plain_word(b"(\"License\");") == b"license" and plain_word(b"...") == b""
+
+
+def test_awkward_documents(spark, awkward, nothing):
+    got = scan_licenses(awkward, {"own": "Another line of text here."}).collect()
+    assert sorted(r["n_licenses"] for r in got) == [0] * 7 + [1] * 3
+    assert all(r["matches"][0]["start"] == 18 for r in got if r["n_licenses"])
+    assert scan_licenses(nothing).count() == 0

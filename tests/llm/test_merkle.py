@@ -1,0 +1,91 @@
+"""Trees against a plain version, edits located, next documents by sorting."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from stintlab.llm.merkle import changed_paragraphs, compare_with_edits, fingerprint, likeness, next_ids
+from tests.conftest import rows
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def plainly(text):
+    sections, now = [], []
+    for line in text.split("\n"):
+        leaves = [sha(x) for x in re.findall(r"[^.!?]{1,32}[.!?]?|[.!?]", line)]
+        now.append((sha("".join(leaves)), ".".join(x[:6] for x in leaves)))
+        if now[-1][0][7] in "048c":
+            sections.append(now)
+            now = []
+    if now:
+        sections.append(now)
+    hashes = [sha("".join(h for h, _ in s)) for s in sections]
+    shown = [f"{h[:8]}[" + ",".join(f"{p[:8]}{{{x}}}" for p, x in s) + "]" for h, s in zip(hashes, sections, strict=True)]
+    return sha("".join(hashes)) + ":" + ";".join(shown)
+
+
+TEXTS = ["", "a", "\n", "one. two! three? four", "x" * 500, "p one.\np two.\n\np three, which is rather long and goes on.\n" * 9,
+         "😀" * 70 + ".\nÜber", "...", "a\r\nb", "{;,[}]:."]
+
+
+def test_trees_are_the_plain_ones(spark):
+    df = spark.createDataFrame([(t,) for t in TEXTS], "t string")
+    got = {r["t"]: r["f"] for r in df.select("t", fingerprint(F.col("t")).alias("f")).collect()}
+    assert got == {t: plainly(t) for t in TEXTS}
+
+
+def test_edits_are_located(spark):
+    lines = [f"Paragraph {i} says this. And also that {i * i}." for i in range(40)]
+    edited = [*lines[:7], "Quite another one.", *lines[7:20], *lines[21:]]
+    df = spark.createDataFrame([("\n".join(lines), "\n".join(edited))], "a string, b string")
+    a, b = fingerprint(F.col("a")), fingerprint(F.col("b"))
+    got = df.select(
+        changed_paragraphs(a, b).alias("gone"), changed_paragraphs(b, a).alias("new"),
+        likeness(a, b).alias("near"), likeness(a, a).alias("same"),
+    ).first()
+    assert (got["gone"], got["new"], got["same"]) == ([20], [7], 1.0)
+    assert 0.9 < got["near"] < 1
+
+
+def test_likeness_of_odd_texts(spark):
+    pairs = [("", ""), ("", "a"), ("a.b.", "b.a."), ("same", "same"), ("x", "y")]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    got = [r[0] for r in df.select(likeness(fingerprint(F.col("a")), fingerprint(F.col("b")))).collect()]
+    assert got == [1.0, 0.0, 0.75, 1.0, 0.0]
+
+
+@pytest.mark.parametrize("partitions", ["1", "7"])
+def test_next_ids(spark, setting, partitions):
+    setting("spark.sql.shuffle.partitions", partitions)
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    ids = sorted({(i * 7919) % 10_007 - 500 for i in range(300)})
+    got = rows(next_ids(spark.createDataFrame([(i,) for i in ids], "doc_id long").repartition(5)))
+    assert sorted(got) == list(zip(ids, [*ids[1:], ids[0]], strict=True))
+    assert next_ids(spark.range(0).withColumnRenamed("id", "doc_id")).count() == 0
+
+
+def test_awkward_documents(spark, awkward, nothing):
+    got = compare_with_edits(awkward).collect()
+    assert len(got) == awkward.count()
+    texts = {r["doc_id"]: r["text"] or "" for r in awkward.collect() if r["doc_id"] is not None}
+    order = [1, 2, 3, 4, 5, 6, 7]
+    for r in got:
+        if r["doc_id"] is None:
+            continue
+        text = texts[r["doc_id"]]
+        after = texts[order[order.index(r["doc_id"]) + 1]] if r["doc_id"] != 7 else None
+        assert (r["n_chars"], r["fingerprint"]) == (len(text), plainly(text))
+        if after is not None:
+            edited = text[: len(text) - len(text) // 4] + after[: len(text) // 4]
+            assert r["edited_sha256"] == sha(edited)
+            assert r["edited_fingerprint"] == plainly(edited)
+    assert compare_with_edits(nothing).count() == 0
+    one = compare_with_edits(spark.createDataFrame([(9, "abcdefgh")], "doc_id long, text string")).first()
+    assert (one["edited_sha256"], one["near_next"]) == (sha("abcdefab"), 1.0)
