@@ -299,11 +299,14 @@ SELECT CAST(year(l_shipdate) AS VARCHAR) AS year, 'GP' AS event, 'Race' AS "sess
     CAST(l_partkey + i AS VARCHAR) AS acc_y,
     CASE WHEN i = 1 THEN 'None' ELSE CAST(l_orderkey + i - 1 AS VARCHAR) END AS rpm,
     CASE WHEN i < l_linenumber THEN CAST(l_suppkey + i AS VARCHAR) END AS speed,
-    CAST(i AS VARCHAR) AS drs, CAST(i AS VARCHAR) AS brake, CAST(i AS VARCHAR) AS throttle,
-    CASE WHEN i = 1 THEN 'None' ELSE CAST(i - 1 AS VARCHAR) END AS rel_distance
+    CAST(i AS VARCHAR) AS drs
 FROM indexed WHERE l_returnflag <> 'R'"""
 
-_TELEMETRY_FILES = _TELEMETRY_ROWS
+_TELEMETRY_FILES = f"""
+SELECT *, drs AS brake, drs AS throttle,
+    CASE WHEN drs = '1' THEN 'None' ELSE CAST(CAST(drs AS INTEGER) - 1 AS VARCHAR) END
+        AS rel_distance
+FROM ({_TELEMETRY_ROWS}) written"""
 
 _LAP_ROWS_ABSENT = ", ".join(
     f'CAST(NULL AS VARCHAR) AS "{c}"'

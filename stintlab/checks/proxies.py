@@ -162,16 +162,17 @@ def _one_short(array: str) -> str:
     return f"slice({array}, 1, l_linenumber - 1)"
 
 
-TELEMETRY_DOCUMENT = (
-    "named_struct("
+_TELEMETRY_FIELDS = (
     "'dataKey', concat_ws('-', year(l_shipdate), 'GP', 'Race', "
     "IF(l_quantity = 50, NULL, concat('D', l_suppkey, '-', l_orderkey))), "
     f"'acc_y', {_numbers('l_partkey')}, "
     f"'rpm', {_none_first('l_orderkey')}, "
     f"'speed', {_one_short(_numbers('l_suppkey'))}, "
-    f"'drs', IF(l_returnflag = 'R', NULL, {_numbers('0')}), "
+    f"'drs', IF(l_returnflag = 'R', NULL, {_numbers('0')})"
+)
+# The channels that a telemetry table must have besides.
+_MORE_TELEMETRY_FIELDS = (
     f"'brake', {_numbers('0')}, 'throttle', {_numbers('0')}, 'rel_distance', {_none_first('0')}"
-    ")"
 )
 LAP_DOCUMENT = [
     "array_repeat(concat('D', l_suppkey), l_linenumber) AS drv",
@@ -196,7 +197,9 @@ def telemetry_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``speed`` is one sample short, and the documents of returned items lack ``drs``.
     """
-    return table(spark, sf_dir, "lineitem").selectExpr(f"{TELEMETRY_DOCUMENT} AS tel")
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        f"named_struct({_TELEMETRY_FIELDS}) AS tel"
+    )
 
 
 def lap_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,7 +252,7 @@ def telemetry_files(spark: SparkSession, sf_dir: str, path: str) -> str:
         "IF(l_linestatus = 'F', 'Race', 'Practice 1') AS session",
         "concat('D', l_suppkey % 2) AS folder",
         "l_orderkey AS a", "l_linenumber AS b",
-        f"{TELEMETRY_DOCUMENT} AS tel",
+        f"named_struct({_TELEMETRY_FIELDS}, {_MORE_TELEMETRY_FIELDS}) AS tel",
     )
     write_array_files(docs, ["event", "session", "folder"], ["a", "b"], path)
     return f"{path}/*/*/*/*.txt"
