@@ -28,6 +28,8 @@ LEAF = r"[^.!?]{1,32}[.!?]?|[.!?]"
 LEAF_DIGITS, NODE_DIGITS = 6, 8
 # Last shown digits of a paragraph's hash that end its section.
 SECTION_ENDS = "048c"
+# Stands for a null doc_id, so that joins compare plain numbers.
+NO_ID = -(2**63)
 _WHOLE = r"([0-9a-f]{64})\{"
 
 
@@ -140,7 +142,7 @@ def next_ids(ids: DataFrame) -> DataFrame:
         .sortWithinPartitions("doc_id")
         .withColumn("place", F.monotonically_increasing_id())
     ).withColumn("range", F.shiftright("place", 33))
-    firsts = ordered.groupBy("range").agg(F.min_by(F.struct("doc_id"), "place").alias("first"))
+    firsts = ordered.groupBy("range").agg(F.min("doc_id").alias("first"))
     over_ranges = Window.partitionBy(F.lit(0)).orderBy("range")
     everything = over_ranges.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     after = firsts.select(
@@ -149,9 +151,9 @@ def next_ids(ids: DataFrame) -> DataFrame:
     )
     within = Window.partitionBy("range").orderBy("place")
     return (
-        ordered.withColumn("following", F.lead(F.struct("doc_id")).over(within))
+        ordered.withColumn("following", F.lead("doc_id").over(within))
         .join(after, "range")
-        .withColumn("next_id", F.coalesce("following", "after")["doc_id"])
+        .withColumn("next_id", F.coalesce("following", "after"))
         .drop("place", "range", "following", "after")
     )
 
@@ -164,32 +166,33 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
     quarter of the code points replaced by as many from the start of the next document, or
     all of it if it is shorter. Null texts are empty. Of rows that share a doc_id each is
     compared, and the one with the least beginning is the next document of the id before; a null
-    doc_id comes before all others. A single id is its own next. Other columns are not
+    doc_id comes before all others (and is not told from the least long). A single id is its own next. Other columns are not
     looked at. No rows give no rows.
     """
     base = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
     quarter = F.floor(F.length("text") / 4).cast("int")
     wanted = settle(base.groupBy("doc_id").agg(F.max(quarter).alias("wanted")))
     asked = settle(next_ids(wanted)).select(F.col("doc_id").alias("asker"), "wanted", "next_id")
-    found = base.join(asked, F.col("doc_id").eqNullSafe(F.col("next_id"))).select(
+    found = base.join(asked, base["doc_id"] == asked["next_id"]).select(
         "asker",
         F.struct(
             F.substring("text", F.lit(1), F.col("wanted")).alias("head"),
             fingerprint(F.col("text")).alias("tree"),
         ).alias("next"),
     )
+    # One shuffle for both: the join below finds the heads grouped by their asker.
     nearest = found.groupBy("asker").agg(F.min("next").alias("next"))
     edited = F.concat(
         F.substring("text", F.lit(1), F.length("text") - quarter),
         F.substring(F.col("next.head"), F.lit(1), quarter),
     )
     trees = (
-        base.join(nearest, F.col("doc_id").eqNullSafe(F.col("asker")))
+        base.join(nearest, base["doc_id"] == nearest["asker"])
         .select(
-            "doc_id",
+            F.nullif(F.col("doc_id"), F.lit(NO_ID)).alias("doc_id"),
             F.length("text").cast("long").alias("n_chars"),
             "text",
             edited.alias("edited"),
