@@ -20,6 +20,7 @@ LAP = {
     "lapTime": "91.5", "pitOut": "None", "tyreCompound": "SOFT", "tyreAgeLaps": "3",
     "stintNumber": "1",
 }
+TELEMETRY = [*schemas.TELEMETRY_KEYS, *schemas.TELEMETRY_CHANNELS]
 SAMPLE = {
     "event": "E1", "sessionType": "Race", "driverName": "VER", "acc_y": "1.5", "brake": "1",
     "rpm": "11000", "speed": "200", "throttle": "99", "rel_distance": "0.5",
@@ -94,7 +95,7 @@ def test_all_sessions_filter(spark):
     practice = clean_wear_laps(one(spark, schemas.LAP_COLUMNS, LAP, sessionType="Practice 1"))
     assert worn_laps(practice, race_only=False).count() == 1
     sample = clean_telemetry(
-        one(spark, schemas.TELEMETRY_COLUMNS, SAMPLE, sessionType="Practice 1")
+        one(spark, TELEMETRY, SAMPLE, sessionType="Practice 1")
     )
     assert valid_telemetry(sample).count() == 0
     assert valid_telemetry(sample, race_only=False).count() == 1
@@ -113,13 +114,13 @@ def test_all_sessions_filter(spark):
     ],
 )
 def test_telemetry(spark, changes, kept, valid):
-    got = clean_telemetry(one(spark, schemas.TELEMETRY_COLUMNS, SAMPLE, **changes))
+    got = clean_telemetry(one(spark, TELEMETRY, SAMPLE, **changes))
     assert got.count() == kept
     assert valid_telemetry(got).count() == valid
 
 
 def test_nan_sample_keeps_its_value(spark):
-    got = clean_telemetry(one(spark, schemas.TELEMETRY_COLUMNS, SAMPLE, acc_y="NaN"))
+    got = clean_telemetry(one(spark, TELEMETRY, SAMPLE, acc_y="NaN"))
     assert math.isnan(got.first()["acc_y"])
 
 

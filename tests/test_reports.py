@@ -36,11 +36,8 @@ GOLDEN = [
 TEAMS = [("AAA", "T1"), ("BBB", "T1"), ("DDD", "T2")]
 
 
-@pytest.mark.parametrize("rows_per_task", [1, 1_000_000])
-def test_pit_strategy_report(spark, rows_per_task):
-    got = pit_strategy_report(
-        stint_laps(spark, GOLDEN), drivers(spark, TEAMS), rows_per_task=rows_per_task
-    )
+def test_pit_strategy_report(spark):
+    got = pit_strategy_report(stint_laps(spark, GOLDEN), drivers(spark, TEAMS))
     assert got.columns == ["strategy", "event", "team", "avgPosition", "avgTotalTime"]
     assert rows(got) == [
         ("AGGRESSIVE", "E1", "T1", 3.0, 273.0),
@@ -60,6 +57,15 @@ def test_repeated_drivers(spark):
     assert every == {"T1": 2.0, "T2": 2.0}
 
 
+def test_repeated_drivers_by_a_given_order(spark):
+    listed = drivers(spark, [*TEAMS, ("DDD", "T1"), ("AAA", "T0")])
+    dated = listed.selectExpr("*", "CASE team WHEN 'T1' THEN 2 WHEN 'T0' THEN 3 ELSE 1 END AS entered")
+    report = pit_strategy_report(stint_laps(spark, GOLDEN), dated, order_by="entered")
+    assert {r.strategy: r.team for r in report.collect()} == {
+        "AGGRESSIVE": "T0", "BALANCED": "T1", "CONSERVATIVE": "T1",
+    }
+
+
 def test_profile_and_stints(spark):
     laps = stint_laps(spark, GOLDEN + [("AAA", 2, "SOFT", 9, 93.0)])
     got = {r.driver: r for r in strategy_profile(laps).collect()}
