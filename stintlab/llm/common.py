@@ -28,6 +28,12 @@ def text_hash() -> Column:
     return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
+def row_key(*names: str) -> Column:
+    """A number for the values of some columns, nulls included, that plain joins can compare."""
+    values = [F.col(c).cast("long" if c == "doc_id" else "string") for c in names]
+    return F.xxhash64(*[v.isNull() for v in values], *values)
+
+
 def held_out(parts: int, part: int) -> Column:
     """Whether crc32 of the document's id, as text, falls to the part that is not learned from.
 
@@ -35,3 +41,16 @@ def held_out(parts: int, part: int) -> Column:
     """
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
     return F.coalesce(remainder == part, F.lit(False))
+
+
+def bounded_sample(rows: DataFrame, n: int, *order: str) -> DataFrame:
+    """At most ``n`` rows, those whose first ``order`` column hashes lowest.
+
+    Of large tables only rows with a low hash are ranked, half as many again as asked for,
+    so that what tasks hand to the driver does not grow with their number.
+    """
+    total = rows.count()
+    place = F.xxhash64(order[0])
+    if total > 2 * n:
+        rows = rows.filter(place < int(2**64 * (1.5 * n / total)) - 2**63)
+    return rows.orderBy(place, *order).limit(n)

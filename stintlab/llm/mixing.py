@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stintlab.llm.common import WORD, text_hash
+from stintlab.llm.common import WORD, row_key, text_hash
 from stintlab.staging import settle
 
 # Words in a block, and the documents a shard is meant to hold.
@@ -203,28 +203,22 @@ def take(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     A document comes in whole copies and, for the rest of its words, once more with the
     beginning of its text. What is not taken does not come.
     """
-    keys = ["doc_id", "source", "text_hash"]
-    named = {k: f"_{k}" for k in keys}
-    amounts = mixed.groupBy(*keys).agg(F.sum("taken").alias("_taken"), F.max("size").alias("_size"))
-    amounts = amounts.filter(F.col("_taken") > 0).withColumnsRenamed(named)
-    keyed = docs.withColumns(
-        {
-            "_doc": F.col("doc_id").cast("long"),
-            "_src": F.col("source").cast("string"),
-            "_text": text_hash(),
-        }
-    ).dropDuplicates(["_doc", "_src", "_text"])
-    same = (
-        keyed["_doc"].eqNullSafe(amounts["_doc_id"])
-        & keyed["_src"].eqNullSafe(amounts["_source"])
-        & (keyed["_text"] == amounts["_text_hash"])
-    )
+    keys = ["_doc", "_text"]
+    amounts = (
+        mixed.withColumns({"_doc": row_key("doc_id", "source"), "_text": F.col("text_hash")})
+        .groupBy(*keys)
+        .agg(F.sum("taken").alias("_taken"), F.max("size").alias("_size"))
+        .filter(F.col("_taken") > 0)
+    )
+    # Equal rows are dropped where the join then finds them: one shuffle of the texts.
+    keyed = docs.withColumns({"_doc": row_key("doc_id", "source"), "_text": text_hash()})
+    joined = keyed.dropDuplicates(keys).join(amounts, keys)
     whole, rest = F.floor(F.col("_taken") / F.col("_size")), F.col("_taken") % F.col("_size")
     none = F.array().cast("array<bigint>")
     copies = F.concat(
         F.array_repeat(F.col("_size"), whole.cast("int")), F.when(rest > 0, F.array(rest)).otherwise(none)
     )
-    taken = keyed.join(amounts, same).withColumn("_words", F.explode(copies))
+    taken = joined.withColumn("_words", F.explode(copies))
     part = F.when(F.col("_words") == F.col("_size"), F.col("text")).otherwise(
         first_words(F.col("text"), F.col("_words"))
     )

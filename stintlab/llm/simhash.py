@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from stintlab.llm.common import map_batches, text_hash
+from stintlab.llm.common import map_batches, row_key, text_hash
 from stintlab.staging import settle
 
 SHINGLE_WORDS = 3
@@ -196,11 +196,13 @@ def keep_one_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     chosen = (
         found.groupBy("root")
         .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("row"))
-        .select(F.col("row.doc_id").alias("_id"), F.col("row.text_hash").alias("_hash"))
+        .select("row.doc_id", "row.text_hash")
+        .select(row_key("doc_id").alias("_doc"), F.col("text_hash").alias("_text"))
     )
-    keyed = docs.withColumns({"_doc": F.col("doc_id").cast("long"), "_text": text_hash()})
-    same = keyed["_doc"].eqNullSafe(chosen["_id"]) & (keyed["_text"] == chosen["_hash"])
-    return keyed.join(chosen, same, "left_semi").dropDuplicates(["_doc", "_text"]).drop("_doc", "_text")
+    keyed = docs.withColumns({"_doc": row_key("doc_id"), "_text": text_hash()})
+    # The join leaves rows where dropping equal ones needs them: one shuffle of the texts.
+    kept = keyed.join(chosen, ["_doc", "_text"], "left_semi").dropDuplicates(["_doc", "_text"])
+    return kept.drop("_doc", "_text")
 
 
 def hex_digits(fp: Column) -> Column:
