@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stintlab.llm.common import map_batches
+from stintlab.llm.common import bounded_sample, map_batches
 from stintlab.staging import settle
 
 KINDS = ("email", "ip", "card", "phone")
@@ -378,13 +378,12 @@ def learn_field(docs: DataFrame) -> SemiMarkovField:
     The sample is those documents with a digit or @ whose id hashes lowest. Of them come
     short texts around what could be personal data, and of these again a bounded number.
     """
-    drawn = settle(
-        docs.filter(F.col("doc_id").isNotNull() & F.col("text").rlike("[0-9@]"))
-        .select(F.col("doc_id").cast("long").alias("doc_id"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(MAX_DOCUMENTS)
-        .distinct()
+    likely = settle(
+        docs.filter(F.col("doc_id").isNotNull() & F.col("text").rlike("[0-9@]")).select(
+            F.col("doc_id").cast("long").alias("doc_id")
+        )
     )
+    drawn = settle(bounded_sample(likely, MAX_DOCUMENTS, "doc_id").distinct())
 
     def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stintlab.llm.common import map_batches
+from stintlab.llm.common import bounded_sample, map_batches
 from stintlab.staging import settle
 
 BUCKETS = 2**18
@@ -67,6 +67,12 @@ def word_buckets(word: bytes, buckets: int = BUCKETS) -> list[int]:
     return [crc32(word) % buckets, *(crc32(word[:n] + b"*") % buckets for n in cuts)]
 
 
+def word_score(word: bytes, odds: np.ndarray) -> float:
+    """The log-odds of a word, or of the longest of its beginnings that has any, less the cost."""
+    own = next((o for b in word_buckets(word, len(odds)) if (o := odds[b]) > 0), 0.0)
+    return float(own) - COST
+
+
 class _Remembered(dict):
     """Values by word, worked out once; forgotten all together when there are too many."""
 
@@ -134,8 +140,7 @@ class TokenScores:
         self.scale = float(share[self.odds > 0].sum())
 
     def of_word(self, word: bytes) -> float:
-        odds = next((o for b in word_buckets(word, len(self.odds)) if (o := self.odds[b]) > 0), 0.0)
-        return float(odds) - COST
+        return word_score(word, self.odds)
 
     def _slope(self, share: np.ndarray) -> float:
         """The positive root of sum(share * exp(slope * score)) = 1."""
@@ -204,13 +209,12 @@ def teaching_sample(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SA
     Drawn from at most ``max_sample`` labels, those whose id hashes lowest, so the table
     is small enough to broadcast whatever the corpus. Near copies teach once.
     """
-    drawn = settle(
+    marked = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.max("toxic").cast("int").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(max_sample)
     )
+    drawn = settle(bounded_sample(marked, max_sample, "doc_id"))
 
     def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Remembered(crc32)
@@ -222,8 +226,8 @@ def teaching_sample(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SA
             )
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-    marked = texts.join(F.broadcast(drawn), "doc_id").select("doc_id", "toxic", "text")
-    sketched = map_batches(marked, change, "doc_id long, toxic int, sketch long")
+    taught = texts.join(F.broadcast(drawn), "doc_id").select("doc_id", "toxic", "text")
+    sketched = map_batches(taught, change, "doc_id long, toxic int, sketch long")
     return settle(
         sketched.groupBy("toxic", "sketch")
         .agg(F.min("doc_id").alias("doc_id"))
@@ -270,10 +274,11 @@ def find_toxic(
     sample = teaching_sample(docs, labels, max_sample)
     model = learn(docs, sample, buckets)
     slope, scale = model.slope, model.scale
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # one number per bucket
+    shared = docs.sparkSession.sparkContext.broadcast(model.odds)  # one number per bucket
 
     def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Remembered(shared.value.of_word)
+        odds = shared.value
+        known = _Remembered(lambda word: word_score(word, odds))
         kind = pa.list_(
             pa.struct([("from", pa.int64()), ("to", pa.int64()), ("score", pa.float64())])
         )
