@@ -39,18 +39,21 @@ def upper_medians(
     binned = df.select(*keys, F.col(value).alias("v")).filter(F.col("v").isNotNull())
     binned = binned.withColumn("bin", F.rint(F.col("v") / F.lit(bin_width)))
 
-    bins = settle(
-        binned.groupBy(*keys, "bin").agg(F.count("*").alias("rows"), F.sum("v").alias("bin_sum"))
+    bins = binned.groupBy(*keys, "bin").agg(
+        F.count("*").alias("rows"), F.sum("v").alias("bin_sum")
     )
-    totals = bins.groupBy(*keys).agg(
-        F.sum("rows").alias("total"), (F.sum("bin_sum") / F.sum("rows")).alias("mean")
+    counted = with_rows_before(
+        bins, keys, ["bin"], "rows", "below", {"total": "rows", "value_sum": "bin_sum"}
     )
-    counted = with_rows_before(bins.drop("bin_sum"), keys, ["bin"], "rows", "below")
     middle = F.floor(F.col("total") / 2)
     located = settle(
-        counted.join(totals, keys)
-        .filter((F.col("below") <= middle) & (middle < F.col("below") + F.col("rows")))
-        .select(*keys, "bin", "total", "mean", (middle - F.col("below")).alias("offset"))
+        counted.filter((F.col("below") <= middle) & (middle < F.col("below") + F.col("rows"))).select(
+            *keys,
+            "bin",
+            "total",
+            (F.col("value_sum") / F.col("total")).alias("mean"),
+            (middle - F.col("below")).alias("offset"),
+        )
     )
 
     values = (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,10 +11,17 @@ from stintlab.staging import settle
 
 
 def with_rows_before(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str, name: str
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    weight: str,
+    name: str,
+    totals: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Add ``name``: the sum of ``weight`` over the rows of the same keys that come earlier.
 
+    ``totals`` maps further names to columns whose sum over all rows of the keys they get.
+
     No key is ever held in one task. The rows of all keys are range-partitioned and sorted
     at once and written; a running sum within each partition is then raised by what the
     key has in earlier partitions, which is one row per key and partition. ``keys`` and
@@ -33,10 +40,15 @@ def with_rows_before(
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(
         Window.unboundedPreceding, -1
     )
+    every = Window.partitionBy(*keys).orderBy("_part").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    sums = [F.sum(column).alias(total) for total, column in (totals or {}).items()]
     parts = (
         rows.groupBy(*keys, "_part")
-        .agg(F.sum(weight).alias("_sum"))
+        .agg(F.sum(weight).alias("_sum"), *sums)
         .withColumn("_earlier", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
+        .withColumns({total: F.sum(total).over(every) for total in totals or {}})
         .drop("_sum")
     )
     before = F.coalesce(F.sum(weight).over(here), F.lit(0)) + F.col("_earlier")
