@@ -1,0 +1,105 @@
+"""Links and components against all pairs, and planted near copies in the pipeline's stage."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+import corpus_pipeline
+from stintlab.llm import resemblance
+from stintlab.llm.resemblance import similar_documents
+from stintlab.llm.simhash import keep_one_each
+from tests.conftest import rows
+
+SF = "/root/testdata/sf0.001"
+
+
+def shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def edited(words, n, draw):
+    """The words with ``n`` of them, far apart, replaced."""
+    out = list(words)
+    for k in range(n):
+        out[k * (len(words) // n) + 7] = f"new{draw.getrandbits(40)}"
+    return out
+
+
+def planted(seed):
+    draw = random.Random(seed)
+    texts, jaccard = [], []
+    for _ in range(12):
+        words = [f"w{draw.randrange(5000)}" for _ in range(300)]
+        base = " ".join(words)
+        texts.append(base)
+        for n in (1, 3, 6, 9, 20):
+            texts.append(" ".join(edited(words, n, draw)))
+            a, b = shingles(base), shingles(texts[-1])
+            jaccard.append(len(a & b) / len(a | b))
+    assert {round(j, 1) for j in jaccard} >= {0.5, 0.7, 0.8, 0.9, 1.0}
+    return texts
+
+
+def by_force(texts, least=0.8):
+    sets = [shingles(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if len(a & b) / len(a | b) >= least:
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return {i: find(i) for i in range(len(texts))}
+
+
+@pytest.mark.parametrize("pairs_per_member", [4, 0])
+def test_components_by_force(spark, monkeypatch, pairs_per_member):
+    """With 0, keys are first searched from one text each, as in large groups."""
+    monkeypatch.setattr(resemblance, "PAIRS_PER_MEMBER", pairs_per_member)
+    texts = planted(5)
+    chain = [f"c{i}" for i in range(200)]
+    for i in range(30):  # each is near the next only
+        chain[6 * i + 3] = f"other{i}"
+        texts.append(" ".join(chain))
+    texts += ["A b c", "a  B\nc", "a b", "a b c d e f", "A b c d e F", "a b c d e f g h i", "a b c d e f g h i j"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in similar_documents(docs).collect()}
+    expected = by_force(texts)
+    assert got == expected
+    assert 12 < len(set(expected.values())) < len(texts)
+
+
+def test_given_documents_by_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(200)
+    listed = docs.collect()
+    expected = by_force([r["text"] for r in listed])
+    ids = [r["doc_id"] for r in listed]
+    got = {r["doc_id"]: r["component_id"] for r in similar_documents(docs).collect()}
+    assert got == {ids[i]: ids[first] for i, first in expected.items()}
+
+
+def test_pipeline_drops_planted_near_copies(spark):
+    texts = planted(6)
+    docs = spark.createDataFrame(
+        [(i, t, "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, source string, n_chars long"
+    )
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    kept = {r["doc_id"] for r in stage(spark, docs, SF).collect()}
+    assert kept == set(by_force(texts).values())
+    assert len(kept) < len(texts)
+
+
+def test_awkward_documents(spark, awkward, nothing):
+    found = similar_documents(awkward)
+    got = rows(found.select("doc_id", "component_id"))
+    assert got == [(1, 1), (1, 1), (2, 2), (3, 2), (4, 2), (5, 5), (6, 1), (7, 7), (None, 2), (None, None)]
+    assert similar_documents(nothing).count() == 0
+    assert rows(keep_one_each(awkward, found).select("doc_id")) == [(1,), (2,), (5,), (7,), (None,)]
