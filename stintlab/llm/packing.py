@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from stintlab.llm.common import map_batches
-from stintlab.llm.tokens import PieceTokens
+from stintlab.llm.tokens import ADDED, PieceTokens
 from stintlab.staging import settle
 
 CAPACITY = 1024
@@ -38,7 +38,7 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPAC
     """
 
     def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = PieceTokens(vocabulary)
+        tokens = PieceTokens(vocabulary, ADDED)
         end = np.array([END_ID], "<u4").tobytes()
         seen = 0
         for batch in batches:

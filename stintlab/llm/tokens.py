@@ -1,7 +1,9 @@
 """Byte-pair ids of whole texts, with a memory for words.
 
 The ids are those of the byte-level BPE vocabulary ``byte_bpe_50k`` with no special tokens
-added; special tokens' strings in a text are ordinary text. The vocabulary's pattern never
+added. The strings of ``added`` tokens in a text are one id each, as the tokenizer has it, and
+what lies between them is encoded on its own; without any they are ordinary text. The
+vocabulary's pattern never
 cuts inside "space and word" where words are separated by single spaces or line ends, so
 such words can be looked up one by one; any other white space sends the whole text to the
 encoder.
@@ -11,12 +13,15 @@ from __future__ import annotations
 
 import base64
 import re
+from collections.abc import Mapping
 
 import numpy as np
 import public_tokenizers
 import tiktoken
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+# The tokenizer's added tokens, which the vocabulary's file does not list.
+ADDED = {"<|endoftext|>": 50256}
 # Words remembered per task, some 150 bytes each.
 _REMEMBERED = 200_000
 # White space other than single spaces and single line ends inside the text.
@@ -38,7 +43,7 @@ class _Words(dict):
 class PieceTokens:
     """Ids of texts as little-endian unsigned 32-bit numbers."""
 
-    def __init__(self, vocabulary: str | None = None):
+    def __init__(self, vocabulary: str | None = None, added: Mapping[str, int] | None = None):
         path = vocabulary or public_tokenizers.path(VOCABULARY)
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
@@ -51,11 +56,23 @@ class PieceTokens:
         self._after_space = _Words(self._encode, " ")
         self._at_start = _Words(self._encode, "")
         self._line_end = self._encode("\n")
+        self._added = {k: np.array([v], "<u4").tobytes() for k, v in (added or {}).items()}
+        longest_first = sorted(self._added, key=len, reverse=True)
+        self._cut = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if added else None
 
     def _encode(self, text: str) -> bytes:
         return np.array(self._encoding.encode_ordinary(text), "<u4").tobytes()
 
     def id_bytes(self, text: str) -> bytes:
+        if self._cut is None or not self._cut.search(text):
+            return self._ordinary(text)
+        # Added tokens stand at the odd places.
+        return b"".join(
+            self._added[part] if i % 2 else self._ordinary(part)
+            for i, part in enumerate(self._cut.split(text))
+        )
+
+    def _ordinary(self, text: str) -> bytes:
         if _UNUSUAL.search(text) or _UNUSUAL_WIDE.search(text):
             return self._encode(text)
         if not text:
