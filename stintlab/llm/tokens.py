@@ -1,43 +1,23 @@
-"""Byte-pair ids of whole texts, with a memory for words.
+"""Byte-pair ids of whole texts.
 
 The ids are those of the byte-level BPE vocabulary ``byte_bpe_50k`` with no special tokens
 added. The strings of ``added`` tokens in a text are one id each, as the tokenizer has it, and
-what lies between them is encoded on its own; without any they are ordinary text. The
-vocabulary's pattern never
-cuts inside "space and word" where words are separated by single spaces or line ends, so
-such words can be looked up one by one; any other white space sends the whole text to the
-encoder.
+what lies between them is encoded on its own; without any they are ordinary text.
 """
 
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Mapping
 
 import numpy as np
 import public_tokenizers
+import regex
 import tiktoken
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # The tokenizer's added tokens, which the vocabulary's file does not list.
 ADDED = {"<|endoftext|>": 50256}
-# Words remembered per task, some 150 bytes each.
-_REMEMBERED = 200_000
-# White space other than single spaces and single line ends inside the text.
-_UNUSUAL = re.compile(r"\s\s|[^\S \n]|^\s|\s$", re.ASCII)
-_UNUSUAL_WIDE = re.compile(r"[^\S \n\t\r\x0b\x0c]")
-
-
-class _Words(dict):
-    def __init__(self, encode, before: str):
-        self._encode, self._before = encode, before
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= _REMEMBERED:
-            self.clear()
-        ids = self[word] = self._encode(self._before + word)
-        return ids
 
 
 class PieceTokens:
@@ -47,41 +27,33 @@ class PieceTokens:
         path = vocabulary or public_tokenizers.path(VOCABULARY)
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        self._added = dict(added or {})
         self._encoding = tiktoken.Encoding(
             "byte_bpe",
             pat_str=public_tokenizers.PATTERN,
             mergeable_ranks=ranks,
-            special_tokens={},
+            special_tokens=self._added,
         )
-        self._after_space = _Words(self._encode, " ")
-        self._at_start = _Words(self._encode, "")
-        self._line_end = self._encode("\n")
-        self._added = {k: np.array([v], "<u4").tobytes() for k, v in (added or {}).items()}
-        longest_first = sorted(self._added, key=len, reverse=True)
-        self._cut = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if added else None
-
-    def _encode(self, text: str) -> bytes:
-        return np.array(self._encoding.encode_ordinary(text), "<u4").tobytes()
 
     def id_bytes(self, text: str) -> bytes:
-        if self._cut is None or not self._cut.search(text):
-            return self._ordinary(text)
-        # Added tokens stand at the odd places.
-        return b"".join(
-            self._added[part] if i % 2 else self._ordinary(part)
-            for i, part in enumerate(self._cut.split(text))
-        )
-
-    def _ordinary(self, text: str) -> bytes:
-        if _UNUSUAL.search(text) or _UNUSUAL_WIDE.search(text):
-            return self._encode(text)
-        if not text:
-            return b""
-        found: list[bytes] = []
-        for i, line in enumerate(text.split("\n")):
-            if i:
-                found.append(self._line_end)
-            first, *others = line.split(" ")
-            found.append(self._at_start[first])
-            found.extend(map(self._after_space.__getitem__, others))
-        return b"".join(found)
+        try:
+            ids = self._encoding.encode_to_numpy(
+                text, allowed_special=set(self._added), disallowed_special=()
+            )
+        except ValueError:
+            # The encoder's own matching gives up on runs of some 100,000 white-space characters.
+            ids = self._word_by_word(text)
+        return np.asarray(ids, "<u4").tobytes()
+
+    def _word_by_word(self, text: str) -> list[int]:
+        longest_first = sorted(self._added, key=len, reverse=True)
+        cut = regex.compile(f"({'|'.join(map(regex.escape, longest_first))})" if self._added else "(?!)")
+        word = regex.compile(public_tokenizers.PATTERN)
+        ids: list[int] = []
+        for part in cut.split(text):
+            if part in self._added:
+                ids.append(self._added[part])
+            else:
+                for found in word.finditer(part):
+                    ids.extend(self._encoding._encode_single_piece(found.group()))
+        return ids
