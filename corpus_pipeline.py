@@ -15,8 +15,7 @@ from stintlab.llm.mixing import mix, take
 from stintlab.llm.packing import pack
 from stintlab.llm.pii import mask_personal_data
 from stintlab.llm.quality import keep_accepted, rank_quality
-from stintlab.llm.resemblance import similar_documents
-from stintlab.llm.simhash import keep_one_each
+from stintlab.llm.simhash import keep_one_each, near_duplicates
 from stintlab.staging import settle
 
 
@@ -26,8 +25,8 @@ def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a similarity of 0.8 or more over five-word runs."""
-    return keep_one_each(docs, similar_documents(docs))
+    """One document of each group linked by fingerprints at most two bits apart."""
+    return keep_one_each(docs, near_duplicates(docs))
 
 
 def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
