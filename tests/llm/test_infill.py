@@ -1,0 +1,104 @@
+"""Cuts against a list of line ends, outputs against plain Python, and exact round trips."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from stintlab.llm.boundaries import ARRAY, BITMAP, RUNS, Boundaries
+from stintlab.llm.infill import cut, fill_in_middle, restored
+from tests.llm.conftest import LONG
+
+DRAW = random.Random(11)
+TEXTS = {
+    "mixed": ["".join(DRAW.choice("ab\né😀") for _ in range(DRAW.randrange(50))) for _ in range(200)],
+    "short lines": ["".join(DRAW.choice("a\n") for _ in range(DRAW.randrange(60_000, 140_000))) for _ in range(4)],
+    "empty lines": ["\n" * n + "x" * (n % 3) for n in (1, 65_535, 65_536, 65_537, 140_000)],
+    "long lines": ["".join("w" * DRAW.randrange(300) + "\n" for _ in range(1000)) for _ in range(4)],
+    "at a container's edge": ["x" * (65_536 - a) + "\n" * b + "é" * c for a in range(3) for b in range(3) for c in (0, 1, 70_000)],
+}
+
+
+def ends(text):
+    """The start and the end of every line, the long way."""
+    found = [0]
+    for unit in re.findall(r"[^\n]*\n|[^\n]+", text):
+        found.append(found[-1] + len(unit))
+    return found
+
+
+@pytest.mark.parametrize("kind", TEXTS)
+def test_places_by_force(kind):
+    for text in TEXTS[kind]:
+        places, expected = Boundaries.of(text), ends(text)
+        assert len(places) == len(expected)
+        ranks = range(len(expected)) if len(expected) < 500 else DRAW.sample(range(len(expected)), 300)
+        for rank in [0, len(expected) - 1, *ranks]:
+            assert places.select(rank) == expected[rank]
+        for beyond in (-1, len(expected)):
+            with pytest.raises(IndexError):
+                places.select(beyond)
+
+
+def test_containers_take_the_smallest_form():
+    assert [c.kind for c in Boundaries.of("ab\n" * 100).containers] == [ARRAY]
+    assert [c.kind for c in Boundaries.of("\n" * 70_000).containers] == [RUNS, RUNS]
+    dense = "".join(DRAW.choice(["\n", "a", "a\n"]) for _ in range(40_000))
+    assert Boundaries.of(dense).containers[0].kind == BITMAP
+    # A span without a line end has no container.
+    assert [c.high for c in Boundaries.of("x" * 200_000).containers] == [0, 3]
+
+
+def by_hand(doc_id, text, cut_percent=100, suffix_first=50):
+    text = text or ""
+    digest = hashlib.sha256(f"7:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[8 * i : 8 * i + 8], 16) for i in range(4)]
+    places = ends(text)
+    n = len(places) - 1
+    low, high = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    prefix, middle, suffix = text[: places[low]], text[places[low] : places[high]], text[places[high] :]
+    if text == "" or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= cut_percent:
+        return (doc_id, n, "plain", None, None, text)
+    if h[3] % 100 < suffix_first:
+        return (doc_id, n, "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}")
+    return (doc_id, n, "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}")
+
+
+def lines(spark):
+    draw = random.Random(3)
+    parts = ["a", "<", "P>", "<P", ">", "\n", "é", "😀\n", "S", "<S", "M>", "text here\n", "<M>"]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randrange(14))) for _ in range(600)]
+    return [(i, t) for i, t in enumerate([*texts, None, LONG.replace(" ", "\n", 3000), "\n" * 100_000])]
+
+
+@pytest.mark.parametrize("percents", [(100, 50), (60, 20), (0, 50), (100, 100)])
+def test_whole_results_by_hand(spark, percents):
+    made = lines(spark)
+    docs = spark.createDataFrame(made, "doc_id long, text string").repartition(5)
+    got = fill_in_middle(docs, 7, *percents)
+    expected = {i: by_hand(i, t, *percents) for i, t in made}
+    assert {r["doc_id"]: tuple(r) for r in got.collect()} == expected
+    back = got.select("doc_id", restored().alias("text")).join(
+        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("own")), "doc_id"
+    )
+    assert back.filter(~F.col("text").eqNullSafe(F.col("own"))).count() == 0
+    assert back.count() == len(made)
+
+
+def test_cuts_cover_all_ranks():
+    assert cut("", 5, 9) == (0, 0, 0)
+    assert {cut("a\nb\nc", i, j)[1:] for i in range(4) for j in range(4)} == {
+        (a, b) for a in (0, 2, 4, 5) for b in (0, 2, 4, 5) if a <= b
+    }
+
+
+def test_awkward_documents(spark, awkward, nothing):
+    assert fill_in_middle(nothing).collect() == []
+    got = fill_in_middle(awkward)
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(
+        str(by_hand(r["doc_id"], r["text"])) for r in awkward.collect()
+    )
