@@ -180,9 +180,93 @@ SELECT e.doc_id, CAST(e.n AS BIGINT) AS n_chars, sha256(e.edited) AS edited_sha2
 FROM edits e JOIN own_set o ON o.doc_id = e.doc_id JOIN new_set w ON w.doc_id = e.doc_id
 JOIN own_set x ON x.doc_id = e.next_id"""
 
+_INFILL = r"""
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+        sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+    FROM documents
+),
+cut AS (
+    SELECT *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS units,
+        CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+        CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4
+    FROM drawn
+),
+placed AS (
+    SELECT *, CAST(len(units) AS BIGINT) AS n,
+        least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS low,
+        greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS high
+    FROM cut
+),
+parts AS (
+    SELECT doc_id, text, n,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+            OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+        coalesce(array_to_string(units[1:low], ''), '') AS prefix,
+        coalesce(array_to_string(units[low + 1:high], ''), '') AS middle,
+        coalesce(array_to_string(units[high + 1:n], ''), '') AS suffix
+    FROM placed
+)
+SELECT doc_id, n, form,
+    CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text
+        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM parts
+"""
+
+_PHRASES = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+),
+listed AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+runs AS (
+    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS g
+    FROM listed, range(1, 5) AS sizes(k)
+),
+counted AS (SELECT lang, k, g, count(*) AS f FROM runs GROUP BY lang, k, g),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT * FROM counted WHERE k >= 2 AND f >= 30),
+cuts AS (
+    SELECT c.lang, c.k, c.g, c.f AS a, j, x.f AS l, y.f AS r,
+        (2000000 * c.f::HUGEINT) // (x.f::HUGEINT + y.f::HUGEINT) AS score
+    FROM (SELECT *, unnest(range(1, k)) AS j FROM candidates) c
+    JOIN counted x ON x.lang = c.lang AND x.g = c.g[1:j]
+    JOIN counted y ON y.lang = c.lang AND y.g = c.g[j + 1:c.k]
+),
+lowest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1
+),
+inside AS (
+    SELECT lang, sub, max(f) AS f FROM (
+        SELECT lang, f, k, unnest(flatten(list_transform(range(2, k),
+            lambda m: list_transform(range(1, k - m + 2), lambda i: g[i:i + m - 1])))) AS sub
+        FROM candidates WHERE k >= 3) subs
+    GROUP BY lang, sub
+),
+kept AS (
+    SELECT w.* FROM lowest w LEFT JOIN inside i ON i.lang = w.lang AND i.sub = w.g
+    WHERE i.f IS NULL OR 100 * i.f::HUGEINT < 80 * w.a::HUGEINT
+),
+ranked AS (
+    SELECT *, array_to_string(g, ' ') AS phrase,
+        row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank
+    FROM kept
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLES = {
     "op3_source_mixing": _MIXING,
     "op4_warc_index": _WARC,
     "op5_exact_topk": _TOP_K,
     "op8_merkle_fingerprints": _MERKLE,
+    "op11_fill_in_middle": _INFILL,
+    "op12_phrase_collocations": _PHRASES,
 }

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stintlab.llm.collocations import mine_phrases
 from stintlab.llm.common import held_out, table
+from stintlab.llm.infill import fill_in_middle, restored
 from stintlab.llm.licenses import scan_licenses
 from stintlab.llm.merkle import compare_with_edits
 from stintlab.llm.mixing import mix
@@ -15,6 +17,7 @@ from stintlab.llm.oracles import ORACLES
 from stintlab.llm.packing import pack
 from stintlab.llm.pii import KINDS, find_personal_data
 from stintlab.llm.quality import rank_quality
+from stintlab.llm.sentencepieces import encode
 from stintlab.llm.simhash import hex_digits, near_duplicates
 from stintlab.llm.topk import top_k
 from stintlab.llm.toxicity import find_toxic
@@ -87,6 +90,33 @@ def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _digest(text: Column) -> Column:
+    return F.sha2(text.cast("binary"), 256)
+
+
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        _digest(F.col("output")).alias("output_sha256"),
+        _digest(restored()).alias("restored_sha256"),
+    )
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_phrases(table(spark, sf_dir, "documents"))
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = encode(table(spark, sf_dir, "documents"))
+    return pieces.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        _digest(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
+        _digest(F.col("decoded")).alias("decoded_sha256"),
+    )
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -102,5 +132,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_merkle_fingerprints,
         op9_license_scan,
         op10_toxic_segments,
+        op11_fill_in_middle,
+        op12_phrase_collocations,
+        op13_sentencepiece,
     )
 }
