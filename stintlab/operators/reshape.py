@@ -22,6 +22,11 @@ SESSION_SEGMENT = -3
 INTEGER_LAP_COLUMNS = {"lap", "stintNumber", "tyreAgeLaps"}
 
 
+def _named(name: str) -> Column:
+    """The column of exactly this name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _explode(
     docs: DataFrame, keys: dict[str, Column], arrays: dict[str, str], pad_missing: bool
 ) -> DataFrame:
@@ -32,13 +37,13 @@ def _explode(
     """
 
     def items(name: str) -> Column:
-        return F.coalesce(F.col(name), F.array()) if pad_missing else F.col(name)
+        return F.coalesce(_named(name), F.array()) if pad_missing else _named(name)
 
     keyed = docs.select(
         *[c.alias(name) for name, c in keys.items()],
         *[items(old).alias(f"{new}_items") for old, new in arrays.items()],
     )
-    zipped = F.arrays_zip(*[F.col(f"{new}_items").alias(new) for new in arrays.values()])
+    zipped = F.arrays_zip(*[_named(f"{new}_items").alias(new) for new in arrays.values()])
     return keyed.select(*keys, F.inline(zipped))
 
 

@@ -1,27 +1,22 @@
-"""JSON documents."""
+"""JSON documents.
+
+:func:`read_documents` scans documents of a known layout. Where the documents themselves say
+which arrays they have, :func:`keep_documents` parses them once, as variants, and writes the arrays
+by name; which there are is then read off what was written, keys only.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PATH_COLUMN = "full_file_uri"
-
+from stintlab.staging import settle
 
-def array_names(
-    spark: SparkSession, path: str | list[str], inside: str | None = None, multi_line: bool = True
-) -> list[str]:
-    """Names of the arrays that documents under ``path`` have, in name order.
-
-    ``inside`` names the struct that holds them. Takes one pass over the documents; their
-    values are not kept.
-    """
-    layout = spark.read.option("multiLine", multi_line).json(path).schema
-    if inside is not None:
-        held = layout[inside].dataType if inside in layout.names else None
-        layout = held if isinstance(held, T.StructType) else T.StructType()
-    return sorted(f.name for f in layout.fields if isinstance(f.dataType, T.ArrayType))
+PATH_COLUMN = "full_file_uri"
 
 
 def read_documents(
@@ -44,3 +39,76 @@ def read_documents(
     if with_path:
         docs = docs.select("*", F.split(F.input_file_name(), "/").alias(PATH_COLUMN))
     return docs
+
+
+@dataclass(frozen=True)
+class KeptDocuments:
+    """Documents as written: their arrays as text by name (``arrays``), the named single
+    values as text, and their files' paths (``path``).
+
+    ``names`` has the arrays that some document holds, in name order.
+    """
+
+    rows: DataFrame
+    names: tuple[str, ...]
+
+    def text_array(self, name: str) -> Column:
+        """The array ``name``; NULL where a document has no array of that name."""
+        return F.try_element_at("arrays", F.lit(name))
+
+
+def _variant_at(value: str, name: str) -> Column:
+    """The field ``name`` of a variant that is an object."""
+    if "'" in name and '"' in name:
+        raise ValueError(f"a field's name has both kinds of quotes: {name}")
+    return F.try_variant_get(value, f"$['{name}']" if '"' in name else f'$["{name}"]', "variant")
+
+
+def _text_items(value: Column) -> Column:
+    """The elements of a variant array as text, NULL if it is none.
+
+    Whole numbers are spelled as they are, others as Spark spells a double: ``1.0`` stays
+    apart from ``1``, while ``2.50`` is ``2.5``.
+    """
+
+    def text(item: Column) -> Column:
+        fraction = F.schema_of_variant(item).startswith("D")  # DECIMAL or DOUBLE
+        return F.when(fraction, item.cast("double").cast("string")).otherwise(item.cast("string"))
+
+    plain = F.schema_of_variant(value).isin("ARRAY<BIGINT>", "ARRAY<STRING>")
+    return F.when(plain, F.try_variant_get(value, "$", "array<string>")).otherwise(
+        F.transform(F.try_variant_get(value, "$", "array<variant>"), text)
+    )
+
+
+def keep_documents(
+    spark: SparkSession,
+    path: str | list[str],
+    inside: str | None = None,
+    values: Sequence[str] = (),
+    names: Sequence[str] | None = None,
+    multi_line: bool = True,
+) -> KeptDocuments:
+    """Parse the documents under ``path`` once and write what they hold.
+
+    ``inside`` names the field that holds arrays and values, ``values`` the single values to
+    keep, ``names`` the arrays; by default all arrays are kept. A file may hold one document or an
+    array of them. A document that is no JSON, or lacks the field, has no arrays.
+    """
+    reader = spark.read.option("multiLine", multi_line).option("singleVariantColumn", "doc")
+    files = reader.json(path).select("doc", F.input_file_name().alias("path"))
+    listed = F.coalesce(F.try_variant_get("doc", "$", "array<variant>"), F.array("doc"))
+    docs = files.select("path", F.explode(listed).alias("doc"))
+    if inside is not None:
+        docs = docs.select("path", _variant_at("doc", inside).alias("doc"))
+    fields = F.try_variant_get("doc", "$", "map<string, variant>")
+    if names is not None:
+        fields = F.map_filter(fields, lambda name, _: name.isin(*names))
+    arrays = F.map_filter(
+        F.transform_values(fields, lambda _, value: _text_items(value)),
+        lambda _, items: items.isNotNull(),
+    )
+    single = [F.try_variant_get(_variant_at("doc", v), "$", "string").alias(v) for v in values]
+    rows = settle(docs.select("path", *single, arrays.alias("arrays")))
+    found = rows.select(F.explode(F.map_keys("arrays")).alias("name")).distinct()
+    return KeptDocuments(rows, tuple(sorted(r["name"] for r in found.collect())))

@@ -9,10 +9,16 @@ from pyspark.errors import AnalysisException
 
 from stintlab import schemas
 from stintlab.operators.reshape import driver_rows, lap_rows, telemetry_rows
-from stintlab.plans.convert import convert_drivers, convert_laps, convert_telemetry
+from stintlab.plans.convert import (
+    convert_drivers,
+    convert_laps,
+    convert_telemetry,
+    lap_table,
+    telemetry_table,
+)
 from stintlab.sinks import write_csv
 from stintlab.sources.cleaning import clean_stint_laps, clean_telemetry
-from stintlab.sources.documents import array_names, read_documents
+from stintlab.sources.documents import keep_documents, read_documents
 from stintlab.sources.tables import read_drivers, read_laps, read_telemetry
 from stintlab.sources.typed import read_typed_laps, read_typed_telemetry
 from tests.conftest import rows
@@ -52,12 +58,76 @@ def test_telemetry_to_table(spark, tmp_path):
 def test_inferred_and_given_layout_agree(spark, tmp_path):
     save(tmp_path / "s" / "E" / "Race" / "VER" / "1_tel.json", sample_document("2025-E-Race-VER-1"))
     source = f"{tmp_path}/s/*/*/*/*_tel.json"
-    names = array_names(spark, source, "tel")
+    names = list(keep_documents(spark, source, "tel").names)
     given = telemetry_rows(read_documents(spark, source, schemas.telemetry_document(names)))
     inferred = telemetry_rows(read_documents(spark, source))
     assert sorted(inferred.columns) == sorted(given.columns)
     as_text = inferred.select(*[inferred[c].cast("string") for c in given.columns])
     assert rows(as_text) == rows(given)
+    kept = telemetry_table(spark, source)
+    assert kept.columns == given.columns
+    assert rows(kept) == rows(given)
+
+
+def test_documents_are_parsed_once(spark, tmp_path, monkeypatch):
+    """One JSON scan finds the names and the values; what follows reads what was written."""
+    save(tmp_path / "s" / "E" / "Race" / "VER" / "1_tel.json", sample_document("2025-E-Race-VER-1"))
+    save(tmp_path / "s" / "E" / "Race" / "VER" / "laptimes.json", LAPS)
+    scans = []
+    reader = type(spark.read)
+    read_json = reader.json
+    monkeypatch.setattr(reader, "json", lambda *args, **more: scans.append(args) or read_json(*args, **more))
+    for convert, *given in (
+        (telemetry_table, f"{tmp_path}/s/*/*/*/*_tel.json"),
+        (telemetry_table, f"{tmp_path}/s/*/*/*/*_tel.json", ["acc_y", "rpm"]),
+        (lap_table, f"{tmp_path}/s/*/*/*/laptimes.json"),
+    ):
+        table = convert(spark, *given)
+        assert len(scans) == 1
+        scans.clear()
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert "json" not in plan.lower().replace(str(tmp_path).lower(), "")
+        assert plan.count("Scan parquet") == 1
+        assert table.count() == 3
+
+
+def test_spelling_of_values(spark, tmp_path):
+    """Whole numbers and text as they are; other numbers as doubles, so that 1.0 is not 1."""
+    values = ["1", "1.0", "2.50", "0.1", "1e3", "-7", "9007199254740993", '"None"', '"1.50"', "null", "true", '""']
+    text = f'{{"tel": {{"dataKey": "y-E-Race-VER-1", "mixed": [{",".join(values)}], "whole": [3, 4], "text": ["a"]}}}}'
+    folder = tmp_path / "s"
+    folder.mkdir()
+    (folder / "1_tel.json").write_text(text)
+    kept = keep_documents(spark, f"{folder}/*.json", "tel")
+    assert list(kept.names) == ["mixed", "text", "whole"]
+    row = kept.rows.select(*[kept.text_array(c).alias(c) for c in kept.names]).first()
+    assert row["mixed"] == ["1", "1.0", "2.5", "0.1", "1000.0", "-7", "9007199254740993", "None", "1.50", None, "true", ""]
+    assert (row["whole"], row["text"]) == (["3", "4"], ["a"])
+
+
+def test_odd_documents(spark, tmp_path):
+    """Arrays of documents in a file, broken files, files without the field, odd names."""
+    good = sample_document("2025-E-Race-VER-1", 2)
+    names = ["a b", "it's", 'say "x"', "OBJECT<x", "a`b", "dot.ted", "$"]
+    odd = {"tel": {"dataKey": "2025-E-Race-HAM-1", **{n: [1, "None"] for n in names}, "single": 5, "held": {"x": [1]}}}
+    save(tmp_path / "s" / "1_tel.json", [good, good])
+    save(tmp_path / "s" / "2_tel.json", odd)
+    save(tmp_path / "s" / "3_tel.json", {"other": [1]})
+    save(tmp_path / "s" / "4_tel.json", [{"tel": None}])
+    (tmp_path / "s" / "5_tel.json").write_text('{"tel": {"dataKey": "2025')
+    source = f"{tmp_path}/s/*.json"
+    kept = keep_documents(spark, source, "tel")
+    assert set(names) < set(kept.names)
+    assert not {"single", "held", "dataKey", "other"} & set(kept.names)
+    assert telemetry_table(spark, source, ["acc_y", "rpm"]).count() == 4
+    read = telemetry_table(spark, source, names)
+    assert rows(read.select("driverName", *[f"`{n.replace('`', '``')}`" for n in names])) == [
+        ("HAM", *["1"] * 7), ("HAM", *["None"] * 7),
+    ]
+    padded = telemetry_table(spark, source, pad_missing=True)
+    assert rows(padded.groupBy("driverName").count()) == [("HAM", 2), ("VER", 4)]
+    with pytest.raises(ValueError, match="quotes"):
+        keep_documents(spark, source, values=["a'b\"c"])
 
 
 def test_short_and_missing_arrays(spark):
