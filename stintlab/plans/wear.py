@@ -13,7 +13,7 @@ from stintlab.operators.driving import (
     styles_prototype,
 )
 from stintlab.operators.filters import valid_telemetry, worn_laps
-from stintlab.operators.medians import BIN_WIDTH, upper_medians
+from stintlab.operators.medians import upper_medians
 from stintlab.operators.wear import compare_states, paced_laps, with_style
 from stintlab.sources.cleaning import RACE
 from stintlab.staging import settle
@@ -41,7 +41,6 @@ def driver_styles(telemetry: DataFrame, stage_inputs: bool = False) -> DataFrame
 def wear_report(
     telemetry: DataFrame,
     laps: DataFrame,
-    bin_width: float = BIN_WIDTH,
     stage_inputs: bool = False,
 ) -> DataFrame:
     """Median pace on fresh and on worn tyres per event, style and compound.
@@ -59,7 +58,7 @@ def wear_report(
     styled = with_style(paced, styles, ["event", "driver"])
     if stage_inputs:
         styled = settle(styled)
-    medians = upper_medians(styled, ["event", "style", "compound", "state"], "pace", bin_width)
+    medians = upper_medians(styled, ["event", "style", "compound", "state"], "pace")
     report = compare_states(medians, ["event", "style", "compound"])
     enough = (F.col("optimal_count") >= MIN_LAPS) & (F.col("degraded_count") >= MIN_LAPS)
     return _rounded(report.filter(enough)).withColumnRenamed("compound", "tyre_compound")
@@ -74,7 +73,6 @@ def prototype_styles(telemetry: DataFrame) -> DataFrame:
 def prototype_medians(
     telemetry: DataFrame,
     laps: DataFrame,
-    bin_width: float = BIN_WIDTH,
     stage_inputs: bool = False,
 ) -> DataFrame:
     """Upper median, count and mean of pace per style, compound and tyre state."""
@@ -90,13 +88,12 @@ def prototype_medians(
     styled = with_style(paced, styles, keys)
     if stage_inputs:
         styled = settle(styled)
-    return upper_medians(styled, ["style", "compound", "state"], "pace", bin_width)
+    return upper_medians(styled, ["style", "compound", "state"], "pace")
 
 
 def wear_report_prototype(
     telemetry: DataFrame,
     laps: DataFrame,
-    bin_width: float = BIN_WIDTH,
     stage_inputs: bool = False,
 ) -> DataFrame:
     """The earlier, season-wide form of the report, per style and compound.
@@ -107,7 +104,7 @@ def wear_report_prototype(
     are rounded half up in decimal, which differs from rounding the binary value where the
     fourth place is a 5.
     """
-    medians = prototype_medians(telemetry, laps, bin_width, stage_inputs)
+    medians = prototype_medians(telemetry, laps, stage_inputs)
     report = compare_states(medians, ["style", "compound"])
     shown = report.filter(F.col("pace_dropoff_s").isNotNull())
     blank_zero = {

@@ -33,12 +33,28 @@ def test_small_groups(spark, values, expected):
     assert got == {"a": (float(expected), len(values))}
 
 
-@pytest.mark.parametrize("bin_width", [0.001, 0.25, 1000.0])
-def test_any_bin_width_is_exact(spark, bin_width):
+@pytest.mark.parametrize(
+    "options",
+    [
+        {},
+        {"most_gathered": 0},
+        {"sketch_size": 8, "steps": 1000, "most_gathered": 2},  # brackets that miss the middle
+        {"sketch_size": 200, "steps": 4, "most_gathered": 50},  # wide ones, narrowed in turn
+    ],
+)
+def test_any_options_are_exact(spark, options):
     rng = random.Random(5)
     pairs = [("hot", rng.gauss(90, 5)) for _ in range(3000)]
     pairs += [(f"k{i % 40}", rng.choice([rng.uniform(-50, 50), 3.25])) for i in range(2000)]
-    assert medians(spark, pairs, bin_width=bin_width) == by_sorting(pairs)
+    assert medians(spark, pairs, **options) == by_sorting(pairs)
+
+
+def test_two_values_hold_nearly_all_rows(spark):
+    """The bracket's ends are where the rows are; few lie between."""
+    rng = random.Random(8)
+    for low, high in ((1500, 1500), (1600, 1400), (1400, 1600)):
+        pairs = [("a", 80.0)] * low + [("a", 90.0)] * high + [("a", rng.uniform(80, 90)) for _ in range(60)]
+        assert medians(spark, pairs, most_gathered=20) == by_sorting(pairs)
 
 
 def test_one_value_fills_a_third_of_all_rows(spark):
