@@ -96,3 +96,31 @@ def test_hot_driver_against_sorting(spark):
     assert got == pytest.approx(expected)
     brakes = df.groupBy("driver").agg(F.avg("brake").alias("b"))
     assert rows(driving_stats(df).select("driver", "brake")) == rows(brakes)
+
+
+@pytest.mark.parametrize("n", [1, 5, 40])
+@pytest.mark.parametrize(
+    "draw",
+    [
+        lambda rng: rng.gauss(0, 10),
+        lambda rng: rng.uniform(3.0, 3.01),  # all in one bin
+        lambda rng: rng.choice([2.0, 2.125, 7.5]),
+        lambda rng: rng.choice([float("inf"), 1.0, -1e300, 1e300]),
+    ],
+    ids=["spread", "one bin", "few values", "extremes"],
+)
+def test_largest_by_sorting(spark, draw, n):
+    rng = random.Random(12)
+    data = [("E", "Race", rng.choice(["A", "A", "B", "C"]), draw(rng), 0, 1.0, 0.0, 0.0) for _ in range(800)]
+    data += [("E", "Race", "D", 4.0, 0, 1.0, 0.0, 0.0), ("E", "Race", "none", None, 0, 1.0, 0.0, 0.0)]
+    by_key = {}
+    for row in data:
+        if row[3] is not None:
+            by_key.setdefault(row[2], []).append(row[3])
+    expected = {}
+    for k, v in by_key.items():
+        largest = sorted(v)[-n:]
+        expected[k] = sum(largest) / len(largest)
+    df = settle(spark.createDataFrame(data, SCHEMA).repartition(8))
+    got = {r.driver: r.acc_y for r in top_acceleration(df, n=n).collect()}
+    assert got == pytest.approx(expected)

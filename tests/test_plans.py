@@ -9,6 +9,7 @@ import pytest
 from stintlab.checks import proxies
 from stintlab.checks.queries import QUERIES
 from stintlab import schemas
+from stintlab.operators import driving, medians
 from stintlab.operators.driving import driving_stats
 from stintlab.operators.medians import upper_medians
 from stintlab.operators.reshape import lap_rows
@@ -50,14 +51,22 @@ def test_shipped_strategy_report(spark):
         assert "_part" in window
 
 
-def test_no_group_is_ranked_in_one_task(spark):
-    """Windows run over a key and a range; only their totals, one row each, over a key alone."""
+def test_medians_shuffle_partial_results(spark, monkeypatch):
+    """Three shuffles in all, of one row per key and task or of the few values gathered; no
+    window and no sort of a group's rows."""
     laps = paced_laps(worn_laps(proxies.wear_laps(spark, SF)), ["event"])
-    text = plan(upper_medians(laps, ["event", "compound", "state"], "pace"))
-    windows = re.findall(r"Window \[(\w+)\(?(\w*).*", text)
-    assert windows
-    for line in re.findall(r"Window \[.*", text):
-        assert "_part" in line
+    texts = []
+
+    def noted(df):
+        texts.append(plan(df))
+        return settle(df)
+
+    monkeypatch.setattr(medians, "settle", noted)
+    texts.append(plan(upper_medians(laps, ["event", "compound", "state"], "pace")))
+    assert len(texts) == 3
+    assert sum(map(shuffles, texts)) <= 4
+    for text in texts:
+        assert "Window" not in text and "SortMergeJoin" not in text
 
 
 def test_first_shuffle_carries_partial_sums(spark):
@@ -66,12 +75,29 @@ def test_first_shuffle_carries_partial_sums(spark):
     assert text.rindex("partial_sum") > text.rindex("Exchange hashpartitioning")
 
 
-def test_top_samples_are_cut_before_the_shuffle(spark):
-    text = plan(driving_stats(proxies.telemetry(spark, SF)))
-    partial = text.rindex("WindowGroupLimit")
-    final = text.rindex("WindowGroupLimit", 0, partial)
-    assert "Exchange hashpartitioning" in text[final:partial]
-    assert shuffles(text) == 2
+def test_samples_are_neither_sorted_nor_shuffled(spark, monkeypatch):
+    """What reads the telemetry counts it by bin or value before anything is moved or sorted."""
+    texts = []
+
+    def noted(df):
+        texts.append(plan(df))
+        return settle(df)
+
+    monkeypatch.setattr(driving, "settle", noted)
+    texts.append(plan(driving_stats(proxies.telemetry(spark, SF))))
+    assert len(texts) == 2
+    for text in texts:
+        # From the scan of the telemetry up to the aggregate that follows it.
+        lines = text.split("\n")
+        (at,) = [i for i, line in enumerate(lines) if "FileScan parquet" in line and "lineitem" in line]
+        depth = {i: len(line) - len(line.lstrip(" :|+-*")) for i, line in enumerate(lines)}
+        path, least = [], depth[at]
+        for i in range(at - 1, -1, -1):
+            if depth[i] < least:
+                path.append(lines[i])
+                least = depth[i]
+        first_move = next(k for k, line in enumerate(path) if re.search(r"(?<!Broadcast)Exchange|Sort |Window", line))
+        assert any("HashAggregate" in line and "partial_count" in line for line in path[:first_move])
 
 
 def test_styles_read_written_statistics(spark):
