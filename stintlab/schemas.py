@@ -45,6 +45,8 @@ LAP_FIELDS = {
     "wWS": "windSpeed",
 }
 LAP_COLUMNS = ["event", "sessionType", "totalLaps", *LAP_FIELDS.values()]
+# Without these a row is no lap; seasons differ in the others.
+NEEDED_LAP_COLUMNS = ["event", "sessionType", "totalLaps", "driverCode", "lap", "lapTime"]
 
 # The driver table's columns, with the document field each comes from.
 DRIVER_FIELDS = {
