@@ -3,7 +3,8 @@
 Documents are parsed once. The arrays are those that the documents have, or those that are named;
 a document that lacks one of them gives no rows, as the arrays are zipped, unless
 ``pad_missing`` keeps it. ``layout`` is ``"csv"`` (text, with a header) or ``"parquet"`` (typed, by
-event and session; see ``sources.typed``).
+event and session; see ``sources.typed``). Of the latter, ``mode="refresh"`` replaces the sessions
+that the documents are of and no others.
 """
 
 from __future__ import annotations

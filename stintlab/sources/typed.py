@@ -42,9 +42,16 @@ def write_typed(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write typed rows by event and session.
 
     Rows of a session come together in few files; a session with a large share of them is
-    split over tasks.
+    split over tasks. ``mode="refresh"`` replaces the sessions that ``df`` has rows of and
+    leaves the files of all others alone, so that a weekend can be added, or written again,
+    without the rest of the season; a table that is not there yet is made.
     """
-    df.hint("rebalance", *_PARTS).write.partitionBy(*_PARTS).mode(mode).parquet(path)
+    out = df.hint("rebalance", *_PARTS).write.partitionBy(*_PARTS)
+    if mode == "refresh":
+        out = out.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        out = out.mode(mode).option("partitionOverwriteMode", "static")
+    out.parquet(path)
 
 
 def _read(spark: SparkSession, path: str, columns: T.StructType) -> DataFrame:
