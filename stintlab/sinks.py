@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from stintlab.staging import settle
+
 
 def write_csv(
     df: DataFrame,
@@ -17,11 +19,14 @@ def write_csv(
     """Write ``df`` with a header line in each file.
 
     By default an existing path is an error. ``order_by`` sorts the output across its
-    files. ``single_file`` puts everything through one task and is meant for reports;
-    with ``order_by`` it sorts there, without another exchange.
+    files. ``single_file`` is meant for reports: the result is worked out and written by as
+    many tasks as it takes, and one task then puts it into a file; with ``order_by`` it
+    sorts there, without another exchange.
     """
+    if mode == "refresh":
+        raise ValueError("text tables are not kept by session and cannot be refreshed")
     if single_file:
-        df = df.coalesce(1)
+        df = settle(df).coalesce(1)
     if order_by:
         df = df.orderBy(*order_by)
     df.write.option("header", True).mode(mode).csv(path)
