@@ -7,13 +7,16 @@ everything after that works on a few rows per driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stintlab.functions.labels import exceeds
 
 DRIVER_KEY = ["event", "driver"]
 
+# Seconds: ordinary lap times all lie in the first such span.
+SPAN = 1024
+
 
 def ratio(total: Column, count: Column) -> Column:
     """Mean as double from a sum of any numeric type, NULL for no rows."""
@@ -31,16 +34,43 @@ def race_totals(laps: DataFrame) -> DataFrame:
     return totals.filter(exceeds(F.col("total_time"), 0))
 
 
-def stint_parts(laps: DataFrame) -> DataFrame:
-    """Partial sums per (event, driver, stint, compound)."""
-    return laps.groupBy(*DRIVER_KEY, "stint", "compound").agg(
+def stint_parts(laps: DataFrame, *more_keys: str) -> DataFrame:
+    """Partial sums per (event, driver, stint, compound) and further keys."""
+    keys = [*DRIVER_KEY, "stint", "compound", *more_keys]
+    spread = [F.var_pop("above_span").alias("variance"), F.sum("above_span").alias("above_sum")]
+    return laps.groupBy(*keys).agg(
         F.count("*").alias("laps"),
         F.sum("lap_time").alias("time_sum"),
-        F.sum(F.col("lap_time") * F.col("lap_time")).alias("time_sq_sum"),
         F.min("lap").alias("first_lap"),
+        *(spread if "span" in more_keys else []),
     )
 
 
+def _in_spans(laps: DataFrame) -> DataFrame:
+    """Add the start of the span of SPAN seconds that a lap time lies in, and its distance
+    from there, both exact."""
+    time = F.col("lap_time").cast("double")
+    above = F.pmod(time, F.lit(float(SPAN)))
+    return laps.withColumns({"above_span": above, "span": time - above})
+
+
+def _squared_deviations(parts: DataFrame) -> DataFrame:
+    """Add ``deviations``: the sum of the squared distances of a part's lap times from the mean
+    of all the driver's laps.
+
+    Each part brings its own variance, to which the distance of its mean from the driver's is
+    added. Both are taken from the start of the driver's first span, so no digits are
+    lost where times are large and close, as they are in a mean of squares less a squared mean.
+    One row per part is moved, to where the next step needs it.
+    """
+    driver = Window.partitionBy(*DRIVER_KEY)
+    start = F.col("span") - F.min("span").over(driver)
+    placed = parts.withColumn("placed_sum", F.col("above_sum") + F.col("laps") * start)
+    mean = ratio(F.sum("placed_sum").over(driver), F.sum("laps").over(driver))
+    offset = ratio(F.col("placed_sum"), F.col("laps")) - mean
+    return placed.withColumn("deviations", F.col("laps") * (F.col("variance") + offset * offset))
+
+
 def stint_summary(laps: DataFrame) -> DataFrame:
     """Compound and lap count per stint. Stint numbers below 1 are no stints.
 
@@ -63,14 +93,14 @@ def strategy_profile(laps: DataFrame) -> DataFrame:
     in_stint = F.col("stint") > 0
     stint_part = F.when(in_stint, F.struct("stint", "first_lap", "compound"))
     drivers = (
-        stint_parts(laps)
+        _squared_deviations(stint_parts(_in_spans(laps), "span"))
         .groupBy(*DRIVER_KEY)
         .agg(
             F.sum("laps").alias("laps"),
             F.sum("time_sum").alias("total_time"),
-            F.sum("time_sq_sum").alias("time_sq_sum"),
+            F.sum("deviations").alias("deviations"),
             F.sum(F.when(in_stint, F.col("laps")).otherwise(0)).alias("stint_laps"),
-            # One element per stint and compound, which is the size of the answer.
+            # An element per stint and compound (and span), which is the size of the answer.
             F.sort_array(F.collect_list(stint_part)).alias("parts"),
         )
     )
@@ -85,7 +115,7 @@ def strategy_profile(laps: DataFrame) -> DataFrame:
         *DRIVER_KEY,
         F.size("parts").alias("num_stints"),
         avg_lap.alias("avg_lap"),
-        (ratio(F.col("time_sq_sum"), F.col("laps")) - avg_lap * avg_lap).alias("lap_variance"),
+        ratio(F.col("deviations"), F.col("laps")).alias("lap_variance"),
         ratio(F.col("stint_laps"), F.size("parts")).alias("avg_stint_length"),
         F.transform("parts", lambda part: part["compound"]).alias("compounds"),
         "total_time",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from fractions import Fraction
 
 import pytest
 
@@ -19,6 +20,30 @@ STINT_LAPS = (
 DRIVERS = "driverName string, team string, driverNumber string, firstName string, lastName string"
 
 
+@pytest.mark.parametrize("offset", [0.0, 1e6, 1e9])
+def test_variance_keeps_its_digits(spark, offset):
+    """Large, close lap times in stints with means of their own."""
+    draw = random.Random(9)
+    times = {d: [(s, offset + 2 * s + draw.randrange(80) / 8) for s in (1, 2, 3) for _ in range(40)] for d in "AB"}
+    laps = spark.createDataFrame(
+        [("E1", "Race", d, s, "SOFT", i, t, 120) for d, listed in times.items() for i, (s, t) in enumerate(listed)],
+        STINT_LAPS,
+    ).repartition(6)
+    got = {r.driver: r.lap_variance for r in strategy_profile(laps).collect()}
+    for driver, listed in times.items():
+        exact = [Fraction(t) for _, t in listed]
+        mean = sum(exact) / len(exact)
+        variance = float(sum((t - mean) ** 2 for t in exact) / len(exact))
+        assert got[driver] == pytest.approx(variance, rel=1e-9)
+
+
+def test_endless_lap_times_break_nothing(spark):
+    laps = stint_laps(spark, [("AAA", 1, "SOFT", 1, float("inf")), ("AAA", 1, "SOFT", 2, 90.0), ("BBB", 1, "HARD", 1, 90.0)])
+    got = {r.driver: (r.total_time, r.lap_variance) for r in strategy_profile(laps).collect()}
+    assert got["BBB"] == (90.0, 0.0)
+    assert got["AAA"][0] == float("inf") and got["AAA"][1] != got["AAA"][1]
+
+
 def stint_laps(spark, values):
     return spark.createDataFrame([("E1", "Race", *v, 3) for v in values], STINT_LAPS)
 
