@@ -466,6 +466,21 @@ ORACLES: dict[str, str] = {
     "path_segments": f"""SELECT page_id, {_SEGMENTS}
         FROM (SELECT page_id, string_split(url, '/') AS parts FROM pages) split_pages""",
     "csv_scan_roundtrip": _LAP_CSV,
+    "seasons_csv_scan": f"""
+        SELECT * EXCLUDE (odd) REPLACE (
+            CASE WHEN odd THEN NULL ELSE team END AS team,
+            CASE WHEN odd THEN NULL ELSE "pitOut" END AS "pitOut",
+            CASE WHEN odd THEN NULL ELSE "tyreAgeLaps" END AS "tyreAgeLaps")
+        FROM (SELECT *, CAST(right(event, 1) AS INT) % 2 = 1 AS odd FROM ({_LAP_CSV}) laps)""",
+    "refreshed_sessions": """
+        SELECT 'GP ' || year(l_shipdate) AS event,
+            CASE WHEN l_linestatus = 'F' THEN 'Race' ELSE 'Practice 1' END AS session,
+            count(*) AS laps,
+            CAST(sum(CASE WHEN l_quantity > 2 THEN 1 + (dayofyear(l_shipdate) - 1) // 6
+                + CASE WHEN year(l_shipdate) < 1994 THEN 1 ELSE 0 END END) AS BIGINT) AS lap_sum,
+            CAST(sum(CASE l_quantity WHEN 32 THEN 0 WHEN 33 THEN NULL ELSE l_linenumber END)
+                AS BIGINT) AS stint_sum
+        FROM lineitem GROUP BY 1, 2""",
     "drivers_csv_roundtrip": """
         SELECT 'D' || s_suppkey AS "driverName", n_name AS team,
             CAST(s_suppkey AS VARCHAR) AS "driverNumber", s_name AS "firstName",

@@ -28,6 +28,9 @@ COMPOUND = (
     "try_element_at(map('A', 'SOFT', 'N', 'MEDIUM', 'R', 'HARD'), l_returnflag)) AS compound"
 )
 
+# Documents in a file of the tables written as JSON, on average at most.
+DOCUMENTS_PER_FILE = 5_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -228,54 +231,77 @@ def lap_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_array_files(docs: DataFrame, folders: list[str], order: list[str], path: str) -> None:
-    """Write documents as multi-line files, an array of them per combination of ``folders``.
+def write_array_files(
+    docs: DataFrame,
+    folders: list[str],
+    order: list[str],
+    path: str,
+    documents_per_file: int = DOCUMENTS_PER_FILE,
+) -> None:
+    """Write documents as multi-line files, each an array of them, by ``folders`` and part.
 
     ``docs`` has the folder columns, those of ``order``, which tell its rows apart, and the
-    document's own. Lines are put out one by one in order: nothing is gathered.
+    document's own. A hash of the latter deals each folder's documents to as many parts as its
+    largest folder needs to have ``documents_per_file`` in a file on average, so a file
+    stays as small at any scale. Lines are put out one by one in order: nothing is gathered.
     """
-    inside = Window.partitionBy(*folders).orderBy(*order)
+    most = docs.groupBy(*folders).count().agg(F.max("count")).first()[0] or 1
+    part = F.concat(F.lit("D"), F.pmod(F.xxhash64(*order), F.lit(-(-most // documents_per_file))))
+    dealt = docs.withColumn("part", part)
+    places = [*folders, "part"]
+    inside = Window.partitionBy(*places).orderBy(*order)
     own = [c for c in docs.columns if c not in {*folders, *order}]
     text = F.to_json(F.struct(*own), {"pretty": "true"})
     opening = F.when(F.row_number().over(inside) == 1, "[").otherwise("")
     last = F.lead(F.lit(1)).over(inside).isNull()
     closing = F.when(last, "]").otherwise(",")
-    lines = docs.select(*folders, F.concat(opening, text, closing).alias("value"))
-    lines.write.partitionBy(*folders).text(path)
+    lines = dealt.select(*places, F.concat(opening, text, closing).alias("value"))
+    lines.write.partitionBy(*places).text(path)
 
 
 def telemetry_files(spark: SparkSession, sf_dir: str, path: str) -> str:
-    """The telemetry documents in files by event, session and driver; returns their glob."""
+    """The telemetry documents in files by event, session and part; returns their glob."""
     items = table(spark, sf_dir, "lineitem")
     docs = items.selectExpr(
         "concat('Grand Prix ', year(l_shipdate)) AS event",
         "IF(l_linestatus = 'F', 'Race', 'Practice 1') AS session",
-        "concat('D', l_suppkey % 2) AS folder",
         "l_orderkey AS a", "l_linenumber AS b",
         f"named_struct({_TELEMETRY_FIELDS}, {_MORE_TELEMETRY_FIELDS}) AS tel",
     )
-    write_array_files(docs, ["event", "session", "folder"], ["a", "b"], path)
+    write_array_files(docs, ["event", "session"], ["a", "b"], path)
     return f"{path}/*/*/*/*.txt"
 
 
 def lap_files(spark: SparkSession, sf_dir: str, path: str) -> str:
-    """The lap documents in files by event, session and driver; returns their glob."""
+    """The lap documents in files by event, session and part; returns their glob."""
     items = table(spark, sf_dir, "lineitem")
     docs = items.selectExpr(
         "concat('Grand Prix ', year(l_shipdate)) AS event",
         "IF(l_linestatus = 'F', 'Race', 'Practice 1') AS session",
-        "concat('D', l_suppkey % 2) AS folder",
         "l_orderkey AS a", "l_linenumber AS b",
         *LAP_DOCUMENT,
     )
-    write_array_files(docs, ["event", "session", "folder"], ["a", "b"], path)
+    write_array_files(docs, ["event", "session"], ["a", "b"], path)
     return f"{path}/*/*/*/*.txt"
 
 
 def driver_files(spark: SparkSession, sf_dir: str, path: str) -> str:
-    """The driver lists in files by market segment; returns their glob."""
+    """The driver lists in files by market segment and part; returns their glob."""
     docs = table(spark, sf_dir, "customer").selectExpr(
         "c_mktsegment AS segment", "c_custkey AS a", f"{DRIVER_DOCUMENT} AS drivers"
     )
     write_array_files(docs, ["segment"], ["a"], path)
-    return f"{path}/*/*.txt"
+    return f"{path}/*/*/*.txt"
+
+
+# Columns that the laps of odd years are written without.
+ABSENT_IN_ODD_YEARS = ["team", "pitOut", "tyreAgeLaps"]
+
+
+def season_files(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """The lap table as text files of two layouts, one for even and one for odd years."""
+    laps = lap_text(spark, sf_dir)
+    odd = F.right("event", F.lit(1)).cast("int") % 2 == 1
+    for folder, rows in (("even", laps.filter(~odd)), ("odd", laps.filter(odd).drop(*ABSENT_IN_ODD_YEARS))):
+        rows.write.option("header", True).csv(f"{path}/{folder}")
+    return f"{path}/*/*.csv"

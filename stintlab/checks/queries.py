@@ -215,6 +215,24 @@ def _lap_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_laps(spark, path, present=laps.columns)
 
 
+def _seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lap text in files of two layouts, read as one table."""
+    return read_laps(spark, proxies.season_files(spark, sf_dir, new_path(spark)), layouts=True)
+
+
+def _refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed laps written in two goes, the second of which adds sessions and rewrites some."""
+    laps = typed_laps(proxies.lap_text(spark, sf_dir))
+    path = new_path(spark)
+    stale = laps.filter("event < 'GP 1996'").withColumn("lap", F.col("lap") + 1)
+    write_typed(stale, path, "refresh")
+    write_typed(laps.filter("event >= 'GP 1994'"), path, "refresh")
+    kept = read_typed_laps(spark, path)
+    return kept.groupBy("event", "session").agg(
+        F.count("*").alias("laps"), F.sum("lap").alias("lap_sum"), F.sum("stint").alias("stint_sum")
+    )
+
+
 def _timed_race_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timed_race_laps(clean_stint_laps(_lap_file(spark, sf_dir)))
 
@@ -378,6 +396,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drivers_explode": _drivers_explode,
     "path_segments": _path_segments,
     "csv_scan_roundtrip": _lap_file,
+    "seasons_csv_scan": _seasons,
+    "refreshed_sessions": _refreshed,
     "drivers_csv_roundtrip": _drivers_csv_roundtrip,
     "report_csv_roundtrip": _report_csv,
     "convert_telemetry_roundtrip": _converted_telemetry,

@@ -6,8 +6,9 @@ import json
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
-from stintlab import schemas
+from stintlab import schemas, sinks
 from stintlab.operators.reshape import driver_rows, lap_rows, telemetry_rows
 from stintlab.plans.convert import (
     convert_drivers,
@@ -20,7 +21,8 @@ from stintlab.sinks import write_csv
 from stintlab.sources.cleaning import clean_stint_laps, clean_telemetry
 from stintlab.sources.documents import keep_documents, read_documents
 from stintlab.sources.tables import read_drivers, read_laps, read_telemetry
-from stintlab.sources.typed import read_typed_laps, read_typed_telemetry
+from stintlab.sources.typed import read_typed_laps, read_typed_telemetry, write_typed
+from stintlab.staging import settle
 from tests.conftest import rows
 
 
@@ -314,3 +316,111 @@ def test_shifted_layout_fails(spark, tmp_path):
         read_laps(spark, str(tmp_path / "l.csv")).select("lapTime").collect()
     row = read_laps(spark, str(tmp_path / "l.csv"), present=present).first()
     assert (row["team"], row["driverCode"]) == (None, "1")
+
+
+def csv_file(path, header, *lines):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("\n".join([",".join(header), *[",".join(line) for line in lines], ""]))
+
+
+def test_laps_of_several_layouts(spark, tmp_path):
+    """Each file by its own header, whatever its path looks like; one scan per layout."""
+    full = schemas.LAP_COLUMNS
+    short = [c for c in full if c not in ("team", "windSpeed")]
+    least = schemas.NEEDED_LAP_COLUMNS
+    csv_file(tmp_path / "s" / "2023 a" / "l.csv", full, [f"{c}1" for c in full])
+    csv_file(tmp_path / "s" / "2024 [b]" / "l{1}.csv", short, [f"{c}2" for c in short], [f"{c}3" for c in short])
+    csv_file(tmp_path / "s" / "2024 [b]" / "x+%20.csv", short, [f"{c}4" for c in short])
+    csv_file(tmp_path / "s" / "2025" / "l.csv", least, [f"{c}5" for c in least])
+    (tmp_path / "s" / "2025" / "empty.csv").write_text("")
+    table = read_laps(spark, f"{tmp_path}/s/*/*.csv", layouts=True)
+    assert table.columns == full
+    present = {"1": full, "2": short, "3": short, "4": short, "5": least}
+    assert rows(table) == sorted(
+        (tuple(f"{c}{n}" if c in names else None for c in full) for n, names in present.items()),
+        key=lambda r: [(v is None, str(v)) for v in r],
+    )
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 3
+
+
+@pytest.mark.parametrize(
+    ("change", "message"),
+    [
+        (lambda h: [h[1], h[0], *h[2:]], "out of order"),
+        (lambda h: [*h, "speed"], "unknown"),
+        (lambda h: [c for c in h if c != "lapTime"], "lacks lapTime"),
+        (lambda h: [*h, h[0]], "twice"),
+    ],
+)
+def test_shifted_layouts_fail(spark, tmp_path, change, message):
+    header = change(schemas.LAP_COLUMNS)
+    csv_file(tmp_path / "s" / "a.csv", schemas.LAP_COLUMNS, ["1"] * len(schemas.LAP_COLUMNS))
+    csv_file(tmp_path / "s" / "b.csv", header, ["1"] * len(header))
+    with pytest.raises(ValueError, match=message):
+        read_laps(spark, f"{tmp_path}/s/*.csv", layouts=True)
+
+
+def test_telemetry_of_several_layouts(spark, tmp_path):
+    needed = [*schemas.TELEMETRY_KEYS, *schemas.TELEMETRY_CHANNELS]
+    csv_file(tmp_path / "s" / "a.csv", [*needed, "gear"], ["1"] * (len(needed) + 1))
+    csv_file(tmp_path / "s" / "b.csv", ["drs", *reversed(needed)], ["2"] * (len(needed) + 1))
+    table = read_telemetry(spark, f"{tmp_path}/s/*.csv", layouts=True)
+    assert table.columns == [*needed, "drs", "gear"]
+    assert rows(table.select("year", "rpm", "drs", "gear")) == [("1", "1", None, "1"), ("2", "2", "2", None)]
+    csv_file(tmp_path / "s" / "c.csv", needed[1:], ["3"] * (len(needed) - 1))
+    with pytest.raises(ValueError, match="year"):
+        read_telemetry(spark, f"{tmp_path}/s/*.csv", layouts=True)
+
+
+def files(root):
+    return {str(p.relative_to(root)) for p in root.rglob("part-*")}
+
+
+def test_a_weekend_is_written_alone(spark, tmp_path):
+    """Other sessions' files stay as they are; a rerun changes no row."""
+    for event in ("Miami", "Monza"):
+        for driver in ("VER", "HAM"):
+            save(tmp_path / "s" / event / "Race" / driver / "laptimes.json", LAPS)
+    target = tmp_path / "laps"
+    glob = "/*/*/laptimes.json"
+    convert_laps(spark, f"{tmp_path}/s/M*{glob}", str(target), layout="parquet", mode="refresh")
+    before, first = files(target), rows(read_typed_laps(spark, str(target)))
+    assert len(first) == 12
+
+    save(tmp_path / "s" / "Monza" / "Race" / "VER" / "laptimes.json", {k: v[:2] for k, v in LAPS.items()})
+    save(tmp_path / "s" / "Spa" / "Race" / "VER" / "laptimes.json", LAPS)
+    for event in ("Monza", "Spa", "Monza"):
+        convert_laps(spark, f"{tmp_path}/s/{event}{glob}", str(target), layout="parquet", mode="refresh")
+    again = rows(read_typed_laps(spark, str(target)).groupBy("event").count())
+    assert again == [("Miami", 6), ("Monza", 5), ("Spa", 3)]
+    kept = {f for f in before if "Miami" in f}
+    assert kept and kept == {f for f in files(target) if "Miami" in f}
+    assert not {f for f in before if "Monza" in f} & files(target)
+
+    convert_laps(spark, f"{tmp_path}/s/*{glob}", str(target), layout="parquet", mode="overwrite")
+    assert rows(read_typed_laps(spark, str(target)).groupBy("event").count()) == again
+    with pytest.raises(ValueError, match="refresh"):
+        convert_laps(spark, f"{tmp_path}/s/*{glob}", str(tmp_path / "text"), mode="refresh")
+
+
+def test_overwriting_is_whole_unless_asked_otherwise(spark, tmp_path, setting):
+    """A session that replaces partitions by default does not change what overwrite means."""
+    setting("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    laps = spark.createDataFrame([("A", "Race", 1), ("B", "Race", 2)], "event string, session string, lap int")
+    write_typed(laps, str(tmp_path / "t"), "overwrite")
+    write_typed(laps.filter("event = 'B'"), str(tmp_path / "t"), "overwrite")
+    assert {f.split("/")[0] for f in files(tmp_path / "t")} == {"event=B"}
+
+
+def test_reports_are_worked_out_by_many_tasks(spark, tmp_path, monkeypatch):
+    """One file asks for one task to write it, not to reduce what goes into it."""
+    staged = []
+    monkeypatch.setattr(sinks, "settle", lambda df: staged.append(df) or settle(df))
+    counts = spark.range(0, 1000, 1, 8).groupBy((F.col("id") % 50).alias("k")).count()
+    write_csv(counts, str(tmp_path / "one"), order_by=["k"], single_file=True)
+    assert len(list((tmp_path / "one").glob("part-*.csv"))) == 1
+    (reduced,) = staged
+    text = reduced._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in text and "Coalesce" not in text
+    assert spark.read.option("header", True).csv(str(tmp_path / "one")).count() == 50

@@ -1,0 +1,32 @@
+"""The given tables written as racing files."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from stintlab.checks import proxies
+
+
+@pytest.mark.parametrize("rows", [300, 6000])
+def test_files_stay_bounded_at_any_scale(spark, tmp_path, rows):
+    """A folder with most documents is split; files have as many at both scales."""
+    docs = spark.range(rows).select(
+        F.when(F.col("id") % 10 < 8, "hot").otherwise(F.concat(F.lit("f"), F.col("id") % 3)).alias("folder"),
+        F.col("id").alias("a"), F.concat(F.lit("x"), "id").alias("value"),
+    )
+    path = tmp_path / "out"
+    proxies.write_array_files(docs, ["folder"], ["a"], str(path), documents_per_file=50)
+    found = [json.loads(p.read_text()) for p in path.glob("*/*/*.txt")]
+    assert sorted(d["value"] for file in found for d in file) == sorted(f"x{i}" for i in range(rows))
+    # Parts are dealt by hash: 50 on average in the largest folder.
+    assert max(map(len, found)) <= 100
+    assert len(found) >= rows * 0.8 / 50
+
+
+def test_no_documents_give_no_files(spark, tmp_path):
+    docs = spark.range(0).selectExpr("'f' AS folder", "id AS a", "id AS value")
+    proxies.write_array_files(docs, ["folder"], ["a"], str(tmp_path / "out"))
+    assert not list((tmp_path / "out").glob("*/*/*.txt"))
