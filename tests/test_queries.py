@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import builtins
 import math
 from decimal import Decimal
 
@@ -53,3 +54,19 @@ def test_query_matches_sql(spark, engine, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_a_missing_library_leaves_the_other_queries(monkeypatch):
+    """What the training-data operators import may be missing; nothing else goes with them."""
+    real = builtins.__import__
+
+    def refuse(name, *args, **more):
+        if name == "stintlab.llm":
+            raise ModuleNotFoundError("No module named 'tiktoken'", name="tiktoken")
+        return real(name, *args, **more)
+
+    monkeypatch.setattr(builtins, "__import__", refuse)
+    with pytest.warns(UserWarning, match="tiktoken"):
+        assert contract.queries() == QUERIES
+    with pytest.warns(UserWarning, match="tiktoken"):
+        assert set(contract.oracle_sql()) == set(QUERIES)
