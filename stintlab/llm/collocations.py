@@ -44,28 +44,38 @@ PIECE_ENDS = r"[.,;:!?\n\x0B\f\r]"
 WORD_ENDS = r"[ \t]+"
 
 
+# Joins by piece and position may use that both sides lie in buckets of pieces, sorted.
+_PLANNING = {
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
+}
+
+
 @contextmanager
-def _by_part_of_keys(spark: SparkSession) -> Iterator[None]:
-    """Let joins by piece and position use that both sides lie in buckets of pieces."""
-    name = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "false")
+def _as_stored(spark: SparkSession) -> Iterator[None]:
+    """Plan joins of relations by how they are stored; the session's options come back."""
+    before = {name: spark.conf.get(name, None) for name in _PLANNING}
+    for name, value in _PLANNING.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def words(docs: DataFrame) -> DataFrame:
-    """(lang, piece, pos, word) for every word of ``docs`` (lang, text), in that order."""
+def pieces(docs: DataFrame) -> DataFrame:
+    """(lang, piece, piece_text) for every piece of ``docs`` (lang, text)."""
     text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), UPPER, LOWER)
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE))
-    pieces = docs.select(
-        lang.alias("lang"), F.explode(F.split(text, PIECE_ENDS)).alias("piece_text")
-    )
-    split = F.array_remove(F.split("piece_text", WORD_ENDS), "")
-    numbered = pieces.select("lang", F.monotonically_increasing_id().alias("piece"), split.alias("words"))
-    return numbered.select("lang", "piece", F.posexplode("words").alias("pos", "word"))
+    split = docs.select(lang.alias("lang"), F.explode(F.split(text, PIECE_ENDS)).alias("piece_text"))
+    return split.select("lang", F.monotonically_increasing_id().alias("piece"), "piece_text")
+
+
+def words(split: DataFrame) -> DataFrame:
+    """(lang, piece, pos, word) for every word of some pieces."""
+    listed = F.array_remove(F.split("piece_text", WORD_ENDS), "")
+    return split.select("lang", "piece", F.posexplode(listed).alias("pos", "word"))
 
 
 def _bucketed(rows: DataFrame, buckets: int, in_buckets: bool) -> DataFrame:
@@ -76,14 +86,9 @@ def _bucketed(rows: DataFrame, buckets: int, in_buckets: bool) -> DataFrame:
     name = path.rsplit("/", 1)[-1].replace("-", "_")
     if not in_buckets:
         rows = rows.repartition(buckets, "piece")
-    with _by_part_of_keys(spark):
-        (
-            rows.sortWithinPartitions("piece", "pos")
-            .write.bucketBy(buckets, "piece")
-            .sortBy("piece", "pos")
-            .option("path", path)
-            .saveAsTable(name)
-        )
+    with _as_stored(spark):
+        out = rows.write.bucketBy(buckets, "piece").sortBy("piece", "pos")
+        out.option("path", path).saveAsTable(name)
     return spark.table(name)
 
 
@@ -181,11 +186,14 @@ def mine_phrases(
     rows, nor do languages without frequent phrases.
     """
     spark = docs.sparkSession
-    plain = docs.select("lang", "text")
-    every = settle(words(plain).groupBy("lang", "word").agg(F.count("*").alias("a")))
+    split = pieces(docs.select("lang", "text"))
+    counted = words(split).groupBy("lang", "word").agg(F.count("*").alias("a"))
+    # Words that are too rare are one row per language, for its total.
+    kept = F.when(F.col("a") >= least, F.col("word")).alias("word")
+    every = settle(counted.groupBy("lang", kept).agg(F.sum("a").alias("a")))
     totals = every.groupBy("lang").agg(F.sum("a").alias("n"))
     frequent = settle(
-        every.filter(F.col("a") >= least).select(
+        every.filter(F.col("word").isNotNull()).select(
             F.monotonically_increasing_id().alias("phrase"),
             "lang", "word", F.col("word").alias("text"), F.col("word").alias("last"), "a",
             F.array().cast("array<long>").alias("heads"),
@@ -197,13 +205,16 @@ def mine_phrases(
         F.coalesce(F.sum("a"), F.lit(0)),
     ).first()
     buckets = int(min(MOST_BUCKETS, max(1, -(-n_rows // ROWS_PER_BUCKET))))
-    found, _ = _with_number(words(plain), frequent, ["lang", "word"], n_bytes)
-    occurrences = _bucketed(found.select("piece", "pos", "phrase"), buckets, False)
+    in_place = n_bytes <= MOST_BYTES_SENT
+    # Whole pieces are dealt to buckets where their words then stay; it is less to move.
+    dealt = split.repartition(buckets, "piece") if in_place else split
+    found, _ = _with_number(words(dealt), frequent, ["lang", "word"], n_bytes)
+    occurrences = _bucketed(found.select("piece", "pos", "phrase"), buckets, in_place)
 
     levels = [frequent]
     for size in range(2, most_words + 1):
         pairs = _followed(occurrences)
-        with _by_part_of_keys(spark):
+        with _as_stored(spark):
             longer = _longer(pairs, levels[-1], least)
         levels.append(longer)
         if size < most_words:

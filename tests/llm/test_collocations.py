@@ -103,24 +103,24 @@ def test_counts_beyond_64_bits():
 
 
 def test_rounds_join_without_a_shuffle(spark, monkeypatch):
-    """Both sides of a round's join come sorted from their buckets."""
-    monkeypatch.setattr(collocations, "ROWS_PER_BUCKET", 300)
+    """Both sides of a round's join come sorted from their buckets; one is shifted and sorted
+    anew, which costs little."""
     docs = spark.createDataFrame(made(3), "lang string, text string")
-    words = collocations.words(docs).selectExpr("piece", "pos", "xxhash64(word) AS phrase")
+    words = collocations.words(collocations.pieces(docs)).selectExpr("piece", "pos", "xxhash64(word) AS phrase")
     kept = collocations._bucketed(words, 5, False)
-    with collocations._by_part_of_keys(spark):
+    with collocations._as_stored(spark):
         plan = collocations._followed(kept)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan
     assert "Exchange" not in plan
+    assert plan.count("Sort [") == 1
     assert kept.select("piece").distinct().count() > 5
 
 
 def test_options_of_the_session_come_back(spark):
-    name = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(name, None)
-    with collocations._by_part_of_keys(spark):
-        assert spark.conf.get(name) == "false"
-    assert spark.conf.get(name, None) == before
+    before = {name: spark.conf.get(name, None) for name in collocations._PLANNING}
+    with collocations._as_stored(spark):
+        assert {name: spark.conf.get(name) for name in before} == collocations._PLANNING
+    assert {name: spark.conf.get(name, None) for name in before} == before
 
 
 def test_awkward_documents(spark, awkward, nothing):
