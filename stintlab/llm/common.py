@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,6 +14,16 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def worker_memory() -> dict:
+    """What this Python process keeps from task to task.
+
+    Workers are used for many tasks, but each task brings the operators' code anew, so that a
+    variable of a module would not last.
+    """
+    name = "stintlab_worker_memory"
+    return vars(sys.modules.setdefault(name, types.ModuleType(name)))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -9,7 +9,8 @@ piece of every prefix of a text is found:
 - It is the last one if the piece before it, which is the last of the shorter prefix, is
   compatible: merging their joint text gives the same two pieces. This is true of exactly one
   piece for each prefix, as a sequence is what merging gives if all its neighbours are
-  compatible.
+  compatible. So a piece of one character is the last one where no longer one is, and
+  the automaton need not find it.
 
 Ids are then recovered backwards, from the last piece of the whole text to the first. This takes
 time in proportion to the text however long its words are.
@@ -29,21 +30,26 @@ import ahocorasick
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stintlab.llm.common import map_batches
+from stintlab.llm.common import map_batches, worker_memory
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-# Words remembered per task, some 250 bytes each, and pairs of pieces, some 100 bytes each.
-# Once full, the memory stays as it is.
-REMEMBERED_WORDS = 300_000
+_LETTER = r"[\p{L}\p{M}]"
+# Words remembered per Python worker, some 250 bytes each, and pairs of pieces, some 100 bytes
+# each. Once full, the memory stays as it is.
+REMEMBERED_WORDS = 600_000
 REMEMBERED_PAIRS = 500_000
 _LONGEST_REMEMBERED = 48
 # Ids put out at once.
 _AT_ONCE = 1 << 21
+# The automaton's values: a piece's id above its length.
+_LENGTH_BITS = 8
+_LENGTH = (1 << _LENGTH_BITS) - 1
 
 
 class PieceTable:
@@ -90,13 +96,17 @@ class PieceTable:
                     continue
                 self._rank[i] = self._order[piece]
                 self._parts[i] = (pieces[parts[0]], pieces[parts[1]])
-            self._automaton.add_word(piece, (i, len(piece)))
+                # Id and length in one number, which no piece has as 0.
+                self._automaton.add_word(piece, i << _LENGTH_BITS | len(piece))
         self._automaton.make_automaton()
         for i, (left, right) in self._parts.items():
             if self._rank[i] < max(self._rank[left], self._rank[right]):
                 raise ValueError("a piece is merged before its parts")
+        self._single = {p: pieces[p] << _LENGTH_BITS | 1 for p in self.alphabet}
         self._texts = {i: p for p, i in pieces.items()}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        if max(map(len, pieces)) > _LENGTH:
+            raise ValueError("a piece is too long")
+        self._pairs: dict[int, bool] = {}
 
     def _last_merge(self, piece: str) -> tuple[str, str] | None:
         """Merge the characters of ``piece``; the last two parts if it comes out whole."""
@@ -117,66 +127,86 @@ class PieceTable:
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether merging the joint text of two pieces gives these two."""
-        known = self._pairs.get((left, right))
-        if known is None:
-            known = self._stay_apart(left, right)
-            if len(self._pairs) < REMEMBERED_PAIRS:
-                self._pairs[left, right] = known
+        return self._remember(left << _LENGTH_BITS, right << _LENGTH_BITS)
+
+    def _remember(self, left: int, right: int) -> bool:
+        """As :meth:`compatible`, for ids with lengths, as the automaton has them."""
+        known = self._stay_apart(left >> _LENGTH_BITS, right >> _LENGTH_BITS)
+        if len(self._pairs) < REMEMBERED_PAIRS:
+            self._pairs[left << 32 | right] = known
         return known
 
     def _stay_apart(self, left: int, right: int) -> bool:
         # Merges of this rank or later come too late to join the two at the border.
-        too_late = len(self._order) + 1
+        order, rank, texts, parts = self._order, self._rank, self._texts, self._parts
+        too_late = len(order) + 1
         while True:
-            joint = self._ids.get(self._texts[left] + self._texts[right])
             # A joint piece need not be one that merging gives from its own characters.
-            if joint is not None and self._order[self._texts[joint]] < too_late:
+            if order.get(texts[left] + texts[right], too_late) < too_late:
                 return False
-            if self._rank[left] > self._rank[right]:
+            if rank[left] > rank[right]:
                 # Of equal ranks the left one is merged first, before any at the border.
-                too_late, left = self._rank[left], self._parts[left][1]
-            elif self._rank[right] >= 0:
+                too_late, left = rank[left], parts[left][1]
+            elif rank[right] >= 0:
                 # Of equal ranks one at the border is merged before the right one.
-                too_late, right = self._rank[right] + 1, self._parts[right][0]
+                too_late, right = rank[right] + 1, parts[right][0]
             else:
                 return True
 
     def word_ids(self, text: str) -> list[int]:
         """Ids of a text in which spaces are marked already."""
-        last: list[tuple[int, int] | None] = [None] * (len(text) + 1)
+        # The last piece of the prefix of each length, 0 where there is none: at the start
+        # and behind a character that is no piece, with which nothing is merged.
+        single, known, remember = self._single.get, self._pairs.get, self._remember
+        last = [0, *[single(c, 0) for c in text]]
         for end, found in self._automaton.iter(text):
-            if last[end + 1] is None:
-                before = last[end + 1 - found[1]]
-                # Nothing is merged with the start or with a character that is no piece.
-                if before is None or self.compatible(before[0], found[0]):
-                    last[end + 1] = found
+            before = last[end + 1 - (found & _LENGTH)]
+            if before:
+                apart = known(before << 32 | found)
+                if apart is None:
+                    apart = remember(before, found)
+                if not apart:
+                    continue
+            last[end + 1] = found
         backwards: list[int] = []
         at = len(text)
         while at:
             found = last[at]
-            if found is None:
+            if found:
+                backwards.append(found >> _LENGTH_BITS)
+                at -= found & _LENGTH
+            else:
                 at -= 1
                 backwards.extend(self._bytes[b] for b in reversed(text[at].encode()))
-            else:
-                backwards.append(found[0])
-                at -= found[1]
         return backwards[::-1]
 
     @cached_property
-    def _words(self) -> re.Pattern:
-        """Parts of a text that no piece reaches across.
+    def _patterns(self) -> tuple[regex.Pattern, regex.Pattern | None]:
+        """Words, and parts of words, that no piece reaches across.
 
         Line ends and tabs are cut out where they are no pieces. If no piece has a space
-        behind another character, texts are also cut before each run of spaces.
+        behind another character, texts are also cut before each run of spaces; and if no piece
+        has a letter beside anything but letters and spaces, words are cut where letters begin
+        and end.
         """
-        single = "".join(c for c in "\n\t\r" if c not in self.alphabet)
-        alone = f"|[{re.escape(single)}]" if single else ""
-        if any(a != SPACE and b == SPACE for p in self._ids for a, b in zip(p, p[1:], strict=False)):
-            return re.compile(f"[^{re.escape(single)}]+{alone}" if single else r"(?s).+")
-        return re.compile(f"{SPACE}*[^{SPACE}{re.escape(single)}]+|{SPACE}+{alone}")
+        single = "".join(re.escape(c) for c in "\n\t\r" if c not in self.alphabet)
+        alone = f"|[{single}]" if single else ""
+        neighbours = {pair for p in self._ids for pair in zip(p, p[1:], strict=False)}
+        if any(a != SPACE and b == SPACE for a, b in neighbours):
+            return re.compile(f"[^{single}]+{alone}" if single else "(?s:.+)"), None
+        words = re.compile(f"{SPACE}*[^{SPACE}{single}]+|{SPACE}+{alone}")
+        letter = regex.compile(_LETTER)
+        if any(
+            bool(letter.match(a)) != bool(letter.match(b)) for a, b in neighbours if SPACE not in (a, b)
+        ):
+            return words, None
+        return words, regex.compile(f"{SPACE}*(?:{_LETTER}+|[^{SPACE}{_LETTER[1:]}+)|{SPACE}+")
 
     def marked_words(self, text: str) -> list[str]:
-        return self._words.findall(SPACE + text.replace(" ", SPACE)) if text else []
+        return self._patterns[0].findall(SPACE + text.replace(" ", SPACE)) if text else []
+
+    def word_parts(self, word: str) -> list[str]:
+        return self._patterns[1].findall(word) if self._patterns[1] else [word]
 
     def decode(self, ids: list[int]) -> str:
         return self._library.decode(ids)
@@ -189,7 +219,11 @@ class _Remembered(dict):
         self._table = table
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self._table.word_ids(word), "<i4").tobytes()
+        parts = self._table.word_parts(word)
+        if len(parts) > 1:
+            ids = b"".join([self[part] for part in parts])
+        else:
+            ids = np.array(self._table.word_ids(word), "<i4").tobytes()
         if len(word) <= _LONGEST_REMEMBERED and len(self) < REMEMBERED_WORDS:
             self[word] = ids
         return ids
@@ -206,8 +240,11 @@ def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
     """
 
     def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = PieceTable(model)
-        remembered = _Remembered(table)
+        memory, key = worker_memory(), ("pieces", model, REMEMBERED_WORDS, REMEMBERED_PAIRS)
+        if key not in memory:
+            table = PieceTable(model)
+            memory[key] = table, _Remembered(table)
+        table, remembered = memory[key]
 
         def made(doc_ids: list, ids: list[np.ndarray], decoded: list[str]) -> pa.RecordBatch:
             ends = np.cumsum([0, *map(len, ids)])
