@@ -6,8 +6,24 @@ import random
 from zlib import crc32
 
 import numpy as np
-
-from stintlab.llm.licenses import EQUAL, GAP, OTHER, TEMPLATES, TemplateIndex, _WordHashes, align, find_licenses, plain_word, run_hashes, scan_licenses, winnow
+import pytest
+
+from stintlab.llm.license_notices import TEXTS
+from stintlab.llm.licenses import (
+    BAND,
+    EQUAL,
+    GAP,
+    OTHER,
+    TEMPLATES,
+    TemplateIndex,
+    _WordHashes,
+    align,
+    find_licenses,
+    plain_word,
+    run_hashes,
+    scan_licenses,
+    winnow,
+)
 
 INDEX = TemplateIndex(TEMPLATES)
 
@@ -76,3 +92,154 @@ def test_awkward_documents(spark, awkward, nothing):
     assert sorted(r["n_licenses"] for r in got) == [0] * 7 + [1] * 3
     assert all(r["matches"][0]["start"] == 18 for r in got if r["n_licenses"])
     assert scan_licenses(nothing).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("sentence", "expected"),
+    [
+        ("Released under the BSD License.", ["bsd"]),
+        ("Released under the ISC License.", ["isc"]),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", ["lgpl-3.0"]),
+        ("This work is licensed under the GNU General Public License, version 2.", ["gpl-2.0"]),
+        ("This work is licensed under the GNU Affero General Public License, version 3.", ["agpl-3.0"]),
+        ("Licensed under CC BY-SA 4.0.", ["cc-by-sa-4.0"]),
+        ("Licensed under CC BY 4.0.", ["cc-by-4.0"]),
+        ("Licensed under CC BY 2.0.", []),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", ["cc-by-sa-4.0"]),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License.", ["cc-by-4.0"]),
+        ("Licensed under the Apache License, Version 1.1.", ["apache-1.1"]),
+        ("Licensed under the Apache License, Version 3.0.", []),
+        ("Released under the Public License.", []),
+        ("SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-2.0-only WITH Classpath-exception-2.0", ["mit", "apache-2.0", "gpl-2.0-only"]),
+        ("// spdx-license-identifier: AGPL-3.0-or-later and more", ["agpl-3.0-or-later"]),
+        (TEMPLATES["gpl-3.0-header"].replace("version 3", "version 2"), ["gpl-2.0-header"]),
+        (TEMPLATES["gpl-3.0-header"].replace("GNU General", "GNU Affero General"), ["agpl-3.0-header"]),
+        (TEMPLATES["lgpl-2.1-header"], ["lgpl-2.1-header"]),
+        ("This is free and unencumbered software released into the public domain.", ["unlicense"]),
+        (TEMPLATES["epl-2.0-header"] + " https://www.eclipse.org/legal/epl-2.0/", ["epl-2.0-header"]),
+    ],
+)
+def test_relatives_are_told_apart(sentence, expected):
+    found = [m["license"] for m in find_licenses(f"Notes. {sentence} More notes.", INDEX, _WordHashes())]
+    assert found == expected
+
+
+@pytest.mark.parametrize("name", sorted(TEXTS))
+def test_whole_texts_are_found_as_themselves(name):
+    """With the usual edits of a copy: a holder's name, other line breaks, a title in front."""
+    words = TEMPLATES[f"{name}-text"].split(" ")
+    draw = random.Random(4)
+    edited = list(words)
+    for i in range(30, len(words) - 5, 97):
+        if not any(c.isdigit() for c in words[i]) and name not in ("lgpl-2.0", "lgpl-2.1"):
+            edited[i] = f"x{draw.randrange(9)}"
+    text = "Copyright 2024 Somebody\n" + "".join(w + draw.choice([" ", " ", "\n"]) for w in edited) + "The end."
+    found = find_licenses(text, INDEX, _WordHashes())
+    longest = max(found, key=lambda m: m["end"] - m["start"])
+    assert longest["license"] == f"{name}-text"
+    assert longest["coverage"] > 0.9
+    assert longest["end"] - longest["start"] > 0.9 * len(" ".join(edited))
+
+
+def test_the_wrong_version_of_a_whole_text_is_no_find():
+    text = TEMPLATES["gpl-3.0-text"].replace("GNU General Public License", "GNU Affero General Public License")
+    text = text.replace("GNU GENERAL PUBLIC LICENSE", "GNU AFFERO GENERAL PUBLIC LICENSE")
+    assert "gpl-3.0-text" not in [m["license"] for m in find_licenses(text, INDEX, _WordHashes())]
+
+
+def test_long_templates_ask_for_more_than_a_chance_run():
+    """Legal phrases in other texts lead to no alignment of a long template."""
+    at = INDEX.names.index("gpl-3.0-text")
+    assert INDEX.needed[at] > 100 and INDEX.bands[at] > BAND
+    from collections import Counter
+
+    assert INDEX.diagonals(at, Counter({5: 3, 900: 2})) == []
+    met = Counter({d: 1 for d in range(1000, 1000 + INDEX.needed[at] // 2)})
+    met[1050] = INDEX.needed[at]
+    assert INDEX.diagonals(at, met) == [1050]
+
+
+def by_force(text, templates, least):
+    """Every template against the whole text, with the full table of alignments."""
+    spans, start = [], 0
+    for word in text.split():
+        start = text.index(word, start)
+        spans.append((start, start + len(word)))
+        start += len(word)
+    words = [plain_word(w.encode()) for w in text.split()]
+    found = []
+    for name, marked in templates.items():
+        template, telling, inside = [], [], None
+        for w in marked.split():
+            if w.startswith("{"):
+                inside = len(template)
+            template.append(plain_word(w.replace("{", "").replace("}", "").encode()))
+            if "}" in w:
+                telling.append((inside, len(template)))
+        n, m = len(template), len(words)
+        score = [[0] * (m + 1) for _ in range(n + 1)]
+        for i in range(n):
+            for j in range(m):
+                same = template[i] == words[j]
+                score[i + 1][j + 1] = max(0, score[i][j] + (EQUAL if same else OTHER), score[i][j + 1] + GAP, score[i + 1][j] + GAP)
+        ends = [(i, j) for i in range(n) for j in range(m) if template[i] == words[j]]
+        for i, j in ends:  # every place where some alignment ends well enough
+            top, pairs, a, b = score[i + 1][j + 1], [], i + 1, j + 1
+            while score[a][b] > 0:
+                same = template[a - 1] == words[b - 1]
+                if score[a][b] == score[a - 1][b - 1] + (EQUAL if same else OTHER):
+                    if same:
+                        pairs.append((a - 1, b - 1))
+                    a, b = a - 1, b - 1
+                elif score[a][b] == score[a - 1][b] + GAP:
+                    a -= 1
+                else:
+                    b -= 1
+            place = dict(pairs)
+            whole = all(
+                all(q in place and place[q] - q == place[s] - s for q in range(s, e))
+                for s, e in telling
+                if pairs and s <= pairs[0][0] and e > pairs[-1][0]
+            ) if all(s in place or not (pairs and s <= pairs[0][0] and e > pairs[-1][0]) for s, e in telling) else False
+            if len(pairs) >= least * n and whole:
+                found.append((top, name, spans[pairs[-1][1]][0], spans[pairs[0][1]][1]))
+    chosen = []
+    for top, name, start, end in sorted(found, key=lambda f: (-f[0], f[2])):
+        if all(end <= c[1] or start >= c[2] for c in chosen):
+            chosen.append((name, start, end))
+    return sorted(chosen, key=lambda c: c[1])
+
+
+def test_whole_query_by_force(spark):
+    """Edited copies of templates between other words, against every template everywhere."""
+    templates = {
+        "one": "may be used under the {First Public License, version 2} by anyone who asks for it",
+        "two": "may be used under the {Second Public License, version 2} by anyone who asks for it",
+        "three": "all of the work is free of any claim and given to the public as it stands",
+    }
+    draw = random.Random(6)
+    noise = "stone river cloud table green seven paper window".split()
+    docs = []
+    for i in range(150):
+        parts = []
+        for _ in range(draw.randrange(4)):
+            parts += [draw.choice(noise) for _ in range(draw.randrange(20, 30))]
+            copy = draw.choice(list(templates.values())).replace("{", "").replace("}", "").split()
+            kind = draw.randrange(4)
+            if kind == 1:
+                copy[draw.randrange(len(copy))] = "other"
+            elif kind == 2:
+                copy.insert(draw.randrange(len(copy)), "added")
+            elif kind == 3:
+                del copy[draw.randrange(len(copy))]
+            parts += copy
+        parts += [draw.choice(noise) for _ in range(5)]
+        docs.append((i, draw.choice([" ", "\n"]).join(parts)))
+    expected = {i: by_force(text, templates, 0.8) for i, text in docs}
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in scan_licenses(table, templates).collect()}
+    for i, finds in expected.items():
+        assert [(m["license"], m["start"], m["end"]) for m in got[i]["matches"]] == finds, docs[i]
+        assert got[i]["n_licenses"] == len(finds)
+    names = [name for finds in expected.values() for name, *_ in finds]
+    assert set(names) == set(templates) and len(names) < sum(text.count("anyone") + text.count("claim") for _, text in docs)
