@@ -27,8 +27,9 @@ MIN_BYTES = 0
 DATE = "2025-01-01T00:00:00Z"
 # An archive is closed beyond so many bytes.
 ARCHIVE_BYTES = 256 * 2**20
-# One task reads so many bytes of an archive; ranges closer than the gap become one read.
+# One task reads so many bytes or records; ranges closer than the gap become one read.
 RUN_BYTES = 32 * 2**20
+RUN_RECORDS = 8_000
 READ_BYTES = 8 * 2**20
 GAP_BYTES = 64 * 2**10
 
@@ -113,7 +114,8 @@ def with_roles(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
         F.col("url").cast("string"),
         F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "utf-8").alias("payload"),
     ).withColumn("same", F.sha2("payload", 256))
-    repeated = (
+    # Written, as the planner then sends it to the payloads where it is small.
+    repeated = settle(
         rows.filter(F.length("payload") >= min_bytes)
         .groupBy("same")
         .agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
@@ -207,8 +209,8 @@ def read_records(index: DataFrame) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of the records that
     ``index`` selects, read from the archives.
 
-    Entries are dealt out by stretches of an archive and sorted by offset, so a task reads
-    forward and neighbours cost one read. An entry selected twice is read once and comes
+    Each task gets a range of all entries sorted by archive and offset, so it reads forward and
+    neighbours cost one read. An entry selected twice is read once and comes
     back twice. A payload that does not fit its digest is an error.
     """
 
@@ -241,12 +243,13 @@ def read_records(index: DataFrame) -> DataFrame:
         if source is not None:
             source.close()
 
-    stretch = F.floor(F.col("offset") / RUN_BYTES)
+    # The number of tasks follows what is to be read, not the size of the index.
+    n_bytes, n_records = index.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
+    tasks = max(1, -(-n_bytes // RUN_BYTES), -(-n_records // RUN_RECORDS))
     sought = (
-        index.select("archive", "offset", "length", stretch.alias("stretch"))
-        .repartition("archive", "stretch")
-        .sortWithinPartitions("archive", "stretch", "offset")
-        .select("archive", "offset", "length")
+        index.select("archive", "offset", "length")
+        .repartitionByRange(tasks, "archive", "offset")
+        .sortWithinPartitions("archive", "offset")
     )
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
     return map_batches(sought, change, schema)

@@ -9,7 +9,14 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from stintlab.llm.warc import build_record, byte_ranges, parse_record, read_records, write_archives
+from stintlab.llm.warc import (
+    build_record,
+    byte_ranges,
+    parse_record,
+    read_records,
+    with_roles,
+    write_archives,
+)
 from tests.conftest import rows
 
 
@@ -80,3 +87,21 @@ def test_ranges_join_neighbours():
     got = list(byte_ranges(iter(entries), gap=20, most=100))
     assert [(g[0], g[1], g[2], len(g[3])) for g in got] == [("a", 0, 35, 3), ("a", 200, 205, 1), ("b", 0, 3, 2)]
     assert [g[2] - g[1] for g in byte_ranges(iter(entries), gap=1000, most=20)] == [15, 5, 5, 3]
+
+
+def test_many_small_records_are_read_by_several_tasks(spark):
+    small = spark.range(0, 64_000, 1, 2).selectExpr("id AS page_id", "concat('http://a/', id) AS url", "concat('page ', id) AS html")
+    index = write_archives(small)
+    assert index.select("archive").distinct().count() <= 2
+    read = read_records(index)
+    tasks = read.select("page_id", F.spark_partition_id().alias("task")).groupBy("task").count().collect()
+    assert len(tasks) >= 4
+    assert max(r["count"] for r in tasks) < 2 * 64_000 / len(tasks)
+    assert read.select("page_id").distinct().count() == 64_000
+
+
+def test_payloads_stay_where_few_are_repeated(spark):
+    """The list of repeated payloads is written first and then sent; payloads are not shuffled."""
+    plan = with_roles(pages(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "Exchange hashpartitioning" not in plan
