@@ -8,6 +8,7 @@ import random
 import numpy as np
 import pytest
 
+from stintlab.llm import topk
 from stintlab.llm.topk import IndexBlock, search_block, top_k
 
 
@@ -49,22 +50,71 @@ def test_awkward_vectors(spark):
     assert top_k(df, df.limit(0)).count() == 0 and top_k(df.limit(0), df).count() == 0
 
 
-def test_large_components_stay_exact(spark):
-    vectors = [(i, [1e30 if i % 2 else -1e30, float(i), 2.0**17]) for i in range(60)]
-    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+@pytest.mark.parametrize("size", [1e9, 1e15, 1e17])
+def test_large_components_stay_exact(spark, size):
+    """Scores beyond doubles, and beyond longs, are ranked as whole numbers."""
+    draw = random.Random(3)
+    vectors = [(i, [size * draw.uniform(-1, 1), float(i), draw.choice([size, -size, 0.0])]) for i in range(60)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(3)
 
-    def cut(x):
-        return max(-(2**24), min(2**24, math.floor(64 * x)))
+    def whole(v):
+        return [int(math.floor(64 * x)) for x in v]
 
     scored = {}
     for q, v in vectors:
         if q % 20 == 0:
-            order = sorted((-sum(cut(a) * cut(b) for a, b in zip(v, o, strict=True)), i) for i, o in vectors if i != q)
-            scored |= {(q, r + 1): (i, -s) for r, (s, i) in enumerate(order[:5])}
+            order = sorted((-sum(a * b for a, b in zip(whole(v), whole(o), strict=True)), i) for i, o in vectors if i != q)
+            scored |= {(q, r + 1): (i, max(-(2**63), min(2**63 - 1, -s))) for r, (s, i) in enumerate(order[:5])}
     got = top_k(df.filter("vec_id % 20 = 0"), df, 5).collect()
     assert {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in got} == scored
 
 
+def test_the_largest_doubles(spark):
+    """Scores of more than 38 digits count as equal."""
+    vectors = [(20, [1e308, 1.0]), (1, [1.7e308, 0.0]), (2, [1e300, 0.0]), (3, [-1e308, 5.0]), (4, [0.0, 2.0]), (5, [])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = top_k(df.filter("vec_id = 20"), df, 5).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [1, 2, 4, 5, 3]
+    assert [r["score"] for r in got] == [2**63 - 1, 2**63 - 1, 64 * 128, 0, -(2**63)]
+
+
+def test_stored_segments_hold_the_vectors():
+    draw = np.random.default_rng(2)
+    for vectors in (
+        draw.integers(-70, 90, (300, 13)),
+        draw.integers(-(2**61), 2**61, (20, 3)),
+        np.array([[10**30, -5], [3, 10**25]], object),
+        np.zeros((4, 0), np.int64),
+        np.full((5, 2), 7),
+    ):
+        made = IndexBlock(vectors)
+        read = IndexBlock.read(made.stored())
+        assert (read.vectors == vectors).all() and read.vectors.shape == vectors.shape
+        assert list(read.planes) == list(made.planes)
+        for plane in made.planes:
+            assert (read.postings(plane) == made.postings(plane)).all()
+
+
+def test_groups_of_blocks_agree(spark, monkeypatch):
+    """Small blocks and groups: results of several are merged."""
+    monkeypatch.setattr(topk, "BLOCK", 32)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 8)
+    monkeypatch.setattr(topk, "GROUP_BYTES", 40_000)
+    draw = random.Random(9)
+    vectors = [(i, [draw.gauss(0, 1) for _ in range(draw.choice([6, 6, 9]))]) for i in range(600)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").repartition(4)
+    got = sorted(tuple(r) for r in top_k(df.filter("vec_id % 20 = 0"), df, 20).collect())
+    assert got == by_force([v for v in vectors if v[0] % 20 == 0], vectors, 20)
+
+
+def test_the_index_is_not_shuffled(spark):
+    df = spark.createDataFrame([(i, [0.5, float(i)]) for i in range(50)], "vec_id long, embedding array<float>")
+    found = top_k(df.filter("vec_id % 20 = 0"), df, 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert plan.index("Exchange") < plan.index("MapInArrow")  # listed from the result down
+
+
 def test_search_stops_early_on_proof():
     """Most vectors are proved out before the last segments, and none of the best is lost."""
     draw = np.random.default_rng(1)
