@@ -26,15 +26,16 @@ from stintlab.staging import settle
 KINDS = ("email", "ip", "card", "phone")
 # Words in a span at most.
 LONGEST = 6
-# Documents and stretches that are learned from.
+# Documents and stretches that are learned from, and characters of such a stretch.
 MAX_DOCUMENTS = 2_000
 MAX_STRETCHES = 800
+LONGEST_STRETCH = 400
 EXAMPLES = 25
 SEED = 5
 ROUNDS = 80
 RIDGE = 2e-3
 # Words of a stretch in learning; longer ones are passed over there.
-_LEARNED_WORDS = 8
+LEARNED_WORDS = 8
 OUTSIDE = 0
 LABELS = ("outside", *KINDS)
 
@@ -356,10 +357,12 @@ class SemiMarkovField:
         return cls(weights, follow)
 
 
-def _example(text: str, spans: Sequence[tuple[int, int, int]]) -> Iterator[tuple]:
+def _example(
+    text: str, spans: Sequence[tuple[int, int, int]], learned_words: int = LEARNED_WORDS
+) -> Iterator[tuple]:
     """Stretches of a text with its labelled spans in words."""
     for stretch in stretches(text):
-        if not len(stretch.words) <= _LEARNED_WORDS:
+        if len(stretch.words) > learned_words:
             continue
         by_place = {place: key for key, place in stretch.spans.items()}
         gold = {by_place[a, b]: kind + 1 for kind, a, b in spans if (a, b) in by_place}
@@ -372,18 +375,26 @@ def _example(text: str, spans: Sequence[tuple[int, int, int]]) -> Iterator[tuple
         yield stretch, clean
 
 
-def learn_field(docs: DataFrame) -> SemiMarkovField:
+def learn_field(
+    docs: DataFrame,
+    max_documents: int = MAX_DOCUMENTS,
+    max_stretches: int = MAX_STRETCHES,
+    learned_words: int = LEARNED_WORDS,
+    longest_stretch: int = LONGEST_STRETCH,
+) -> SemiMarkovField:
     """Learn from a bounded sample of ``docs`` (doc_id, text) and from made-up examples.
 
-    The sample is those documents with a digit or @ whose id hashes lowest. Of them come
-    short texts around what could be personal data, and of these again a bounded number.
+    The sample is those ``max_documents`` documents with a digit or @ whose id hashes lowest. Of
+    them come texts around what could be personal data, of up to ``learned_words`` words and
+    ``longest_stretch`` characters, and of these ``max_stretches``. The sample only sets the field's
+    weights; finding covers every text whole.
     """
     likely = settle(
         docs.filter(F.col("doc_id").isNotNull() & F.col("text").rlike("[0-9@]")).select(
             F.col("doc_id").cast("long").alias("doc_id")
         )
     )
-    drawn = settle(bounded_sample(likely, MAX_DOCUMENTS, "doc_id").distinct())
+    drawn = settle(bounded_sample(likely, max_documents, "doc_id").distinct())
 
     def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -391,20 +402,20 @@ def learn_field(docs: DataFrame) -> SemiMarkovField:
             for text in batch.column("text"):
                 text = text.as_py() or ""
                 for stretch in stretches(text):
-                    if len(stretch.words) <= _LEARNED_WORDS:
+                    if len(stretch.words) <= learned_words:
                         pieces.append(text[stretch.words[0][0] : stretch.words[-1][1]])
             yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.string())], ["piece"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
     found = map_batches(texts.join(F.broadcast(drawn), "doc_id").select("text"), change, "piece string")
     sample = (
-        found.filter(F.length("piece") <= 400)
+        found.filter(F.length("piece") <= longest_stretch)
         .distinct()
         .orderBy(F.xxhash64("piece"), "piece")
-        .limit(MAX_STRETCHES)
+        .limit(max_stretches)
         .toPandas()["piece"]
     )
-    examples = [e for piece in sample for e in _example(piece, base_spans(piece))]
+    examples = [e for piece in sample for e in _example(piece, base_spans(piece), learned_words)]
     for text, label in made_up_examples():
         spans = [(label - 1, 0, len(text))] if label else []
         examples.extend(_example(text, spans))
@@ -425,7 +436,7 @@ def find_spans(text: str, field: SemiMarkovField) -> tuple[list, list]:
     return sorted(base), sorted([*base, *added])
 
 
-def find_personal_data(docs: DataFrame) -> DataFrame:
+def find_personal_data(docs: DataFrame, **sample: int) -> DataFrame:
     """(doc_id, base, spans) for every row of ``docs`` (doc_id, text).
 
     Both are lists of (kind, start, end), in order of ``KINDS`` and of place, in code points
@@ -433,7 +444,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     field. Null texts are empty and hold nothing. Repeated rows are searched each time.
     Other columns are not looked at. No rows give no rows.
     """
-    field = learn_field(docs)
+    field = learn_field(docs, **sample)
 
     def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(
@@ -465,12 +476,12 @@ def mask(text: str, spans: Sequence[dict]) -> str:
     return "".join([*out, text[at:]])
 
 
-def mask_personal_data(docs: DataFrame) -> DataFrame:
+def mask_personal_data(docs: DataFrame, **sample: int) -> DataFrame:
     """The rows and columns of ``docs`` with personal data in ``text`` replaced by its kind.
 
     ``n_chars``, if there, follows the text. A null text stays null.
     """
-    field = learn_field(docs)
+    field = learn_field(docs, **sample)
     columns = docs.columns
 
     def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
