@@ -1,11 +1,13 @@
 """Phrases that recur, mined set by set from relations of occurrences (SETM).
 
 An occurrence is a piece of text, the position of its first word there and the phrase, by number.
-R(1) holds the occurrences of frequent words, sorted by piece and position, and is kept in
-buckets of pieces. Round k joins R(k) with itself by piece and next position: two
-phrases of k words that follow each other by one word make a phrase of k + 1. As both sides are
-bucketed and sorted alike, this is a merge join without a shuffle. Its rows are counted by
-phrase, and those of frequent phrases (a semi-join) are R(k + 1), kept in the same buckets.
+R(1) holds the occurrences of frequent words, sorted by piece and position. It is kept in
+buckets by the part of the input that the pieces were read from, so that a task writes what it has
+read. Round k joins R(k) with itself by piece and next position: two phrases of k words that
+follow each other by one word make a phrase of k + 1. As both sides lie in the same buckets, this
+is a merge join without a shuffle. Its rows are counted by phrase, and those of frequent
+phrases (a semi-join) are R(k + 1), kept in the same buckets. Occurrences are not
+shuffled at all, unless the frequent phrases are too many to be sent to them.
 
 A phrase is counted where it is, so what a task hands on is one row per phrase it met. No
 task holds a piece's or phrase's occurrences together: a long piece is one bucket's
@@ -30,8 +32,8 @@ TOP = 2000
 COVERED_PERCENT = 80
 SCALE = 2_000_000
 NO_LANGUAGE = "und"
-# Occurrences in a bucket, and the most buckets there are.
-ROWS_PER_BUCKET = 4_000_000
+# Buckets for each part of the input, so that few share one, and the most there are.
+BUCKETS_PER_PART = 2
 MOST_BUCKETS = 20_000
 # Frequent phrases are sent to all tasks up to this many bytes; beyond it both sides are
 # shuffled by phrase.
@@ -44,50 +46,55 @@ PIECE_ENDS = r"[.,;:!?\n\x0B\f\r]"
 WORD_ENDS = r"[ \t]+"
 
 
-# Joins by piece and position may use that both sides lie in buckets of pieces, sorted.
-_PLANNING = {
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
-    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
-}
 
 
 @contextmanager
-def _as_stored(spark: SparkSession) -> Iterator[None]:
-    """Plan joins of relations by how they are stored; the session's options come back."""
-    before = {name: spark.conf.get(name, None) for name in _PLANNING}
-    for name, value in _PLANNING.items():
-        spark.conf.set(name, value)
+def _by_parts(spark: SparkSession) -> Iterator[None]:
+    """Let joins by part, piece and position use that both sides lie in buckets of parts; the
+    session's option comes back."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "false")
     try:
         yield
     finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def pieces(docs: DataFrame) -> DataFrame:
-    """(lang, piece, piece_text) for every piece of ``docs`` (lang, text)."""
+    """(lang, piece, piece_text) for every piece of ``docs`` (lang, text); what a task reads has
+    numbers that begin alike."""
     text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), UPPER, LOWER)
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE))
-    split = docs.select(lang.alias("lang"), F.explode(F.split(text, PIECE_ENDS)).alias("piece_text"))
+    # Explode as outer: else Spark filters for non-empty arrays, which splits each text twice.
+    split = docs.select(lang.alias("lang"), F.explode_outer(F.split(text, PIECE_ENDS)).alias("piece_text"))
     return split.select("lang", F.monotonically_increasing_id().alias("piece"), "piece_text")
 
 
-def words(split: DataFrame) -> DataFrame:
-    """(lang, piece, pos, word) for every word of some pieces."""
+def words(split: DataFrame, least: int = 1) -> DataFrame:
+    """(lang, piece, pos, word) for every word of the pieces of at least so many words."""
     listed = F.array_remove(F.split("piece_text", WORD_ENDS), "")
-    return split.select("lang", "piece", F.posexplode(listed).alias("pos", "word"))
+    if least > 1:
+        listed = F.when(F.size(listed) >= least, listed)
+    found = split.select("lang", "piece", F.posexplode_outer(listed).alias("pos", "word"))
+    return found.filter(F.col("word").isNotNull())
 
 
-def _bucketed(rows: DataFrame, buckets: int, in_buckets: bool) -> DataFrame:
-    """Write (piece, pos, phrase) in ``buckets`` of pieces, sorted; ``in_buckets`` says that the
-    rows are dealt so already."""
+def _part() -> Column:
+    """The part of the input that a piece was read from."""
+    return F.shiftright("piece", 33).cast("int").alias("part")
+
+
+def _bucketed(rows: DataFrame, buckets: int, in_place: bool) -> DataFrame:
+    """Write (part, piece, pos, phrase) in buckets of parts, sorted; ``in_place`` says that each
+    task has whole parts already."""
     spark = rows.sparkSession
     path = new_path(spark)
     name = path.rsplit("/", 1)[-1].replace("-", "_")
-    if not in_buckets:
-        rows = rows.repartition(buckets, "piece")
-    with _as_stored(spark):
-        out = rows.write.bucketBy(buckets, "piece").sortBy("piece", "pos")
+    if not in_place:
+        rows = rows.repartition(buckets, "part")
+    with _by_parts(spark):
+        out = rows.write.bucketBy(buckets, "part").sortBy("piece", "pos")
         out.option("path", path).saveAsTable(name)
     return spark.table(name)
 
@@ -103,10 +110,13 @@ def _with_number(
 
 
 def _followed(occurrences: DataFrame) -> DataFrame:
-    """(piece, pos, first, second): two phrases that begin at neighbouring positions."""
+    """(part, piece, pos, first, second): two phrases that begin at neighbouring positions."""
     first = occurrences.withColumnRenamed("phrase", "first")
-    second = occurrences.select("piece", (F.col("pos") - 1).alias("pos"), F.col("phrase").alias("second"))
-    return first.join(second.hint("merge"), ["piece", "pos"]).select("piece", "pos", "first", "second")
+    second = occurrences.select(
+        "part", "piece", (F.col("pos") - 1).alias("pos"), F.col("phrase").alias("second")
+    )
+    keys = ["piece", "pos", "part"]
+    return first.join(second.hint("merge"), keys).select(*keys, "first", "second")
 
 
 def _longer(pairs: DataFrame, shorter: DataFrame, least: int) -> DataFrame:
@@ -200,27 +210,25 @@ def mine_phrases(
             F.array().cast("array<long>").alias("tails"),
         )
     )
-    n_bytes, n_rows = frequent.agg(
-        F.coalesce(F.sum(F.octet_length("lang") + F.octet_length("word") + _BYTES_OF_NUMBERS), F.lit(0)),
-        F.coalesce(F.sum("a"), F.lit(0)),
-    ).first()
-    buckets = int(min(MOST_BUCKETS, max(1, -(-n_rows // ROWS_PER_BUCKET))))
-    in_place = n_bytes <= MOST_BYTES_SENT
-    # Whole pieces are dealt to buckets where their words then stay; it is less to move.
-    dealt = split.repartition(buckets, "piece") if in_place else split
-    found, _ = _with_number(words(dealt), frequent, ["lang", "word"], n_bytes)
-    occurrences = _bucketed(found.select("piece", "pos", "phrase"), buckets, in_place)
+    n_bytes = frequent.agg(
+        F.sum(F.octet_length("lang") + F.octet_length("word") + _BYTES_OF_NUMBERS)
+    ).first()[0] or 0
+    parts = docs.select(F.spark_partition_id().alias("part")).agg(F.max("part")).first()[0]
+    buckets = int(min(MOST_BUCKETS, BUCKETS_PER_PART * (1 + (parts or 0))))
+    # A word alone in its piece is followed by none.
+    found, in_place = _with_number(words(split, 2), frequent, ["lang", "word"], n_bytes)
+    occurrences = _bucketed(found.select(_part(), "piece", "pos", "phrase"), buckets, in_place)
 
     levels = [frequent]
     for size in range(2, most_words + 1):
         pairs = _followed(occurrences)
-        with _as_stored(spark):
+        with _by_parts(spark):
             longer = _longer(pairs, levels[-1], least)
         levels.append(longer)
         if size < most_words:
             n_bytes = _BYTES_OF_NUMBERS * longer.count()
             kept, in_place = _with_number(pairs, longer, ["first", "second"], n_bytes)
-            occurrences = _bucketed(kept.select("piece", "pos", "phrase"), buckets, in_place)
+            occurrences = _bucketed(kept.select("part", "piece", "pos", "phrase"), buckets, in_place)
 
     results = []
     for size, phrases in enumerate(levels[1:], start=2):

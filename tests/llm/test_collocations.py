@@ -7,9 +7,11 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from stintlab.llm import collocations
 from stintlab.llm.collocations import mine_phrases
+from stintlab.staging import settle
 from tests.conftest import rows
 
 
@@ -61,11 +63,11 @@ def got(df):
     return sorted(tuple(r[c] for c in names) for r in df.collect())
 
 
-@pytest.mark.parametrize("sent, per_bucket", [(32 << 20, 4_000_000), (0, 300), (32 << 20, 300)])
-def test_by_force(spark, monkeypatch, sent, per_bucket):
-    """With one and with many buckets, with frequent phrases sent and shuffled."""
+@pytest.mark.parametrize("sent, most_buckets", [(32 << 20, 20_000), (0, 20_000), (0, 3), (32 << 20, 1), (2000, 5)])
+def test_by_force(spark, monkeypatch, sent, most_buckets):
+    """With a bucket and with many, with frequent phrases sent and shuffled."""
     monkeypatch.setattr(collocations, "MOST_BYTES_SENT", sent)
-    monkeypatch.setattr(collocations, "ROWS_PER_BUCKET", per_bucket)
+    monkeypatch.setattr(collocations, "MOST_BUCKETS", most_buckets)
     table = made(1)
     docs = spark.createDataFrame(table, "lang string, text string").repartition(7)
     expected = by_force(table, 6)
@@ -93,7 +95,6 @@ def test_overlaps_and_a_long_piece(spark):
 
 def test_counts_beyond_64_bits():
     from pyspark.sql import SparkSession
-    from pyspark.sql import functions as F
 
     spark = SparkSession.getActiveSession()
     a, left, right = 4 * 10**18, 5 * 10**18, 6 * 10**18
@@ -102,25 +103,32 @@ def test_counts_beyond_64_bits():
     assert score == 2_000_000 * a // (left + right)
 
 
-def test_rounds_join_without_a_shuffle(spark, monkeypatch):
-    """Both sides of a round's join come sorted from their buckets; one is shifted and sorted
-    anew, which costs little."""
-    docs = spark.createDataFrame(made(3), "lang string, text string")
-    words = collocations.words(collocations.pieces(docs)).selectExpr("piece", "pos", "xxhash64(word) AS phrase")
-    kept = collocations._bucketed(words, 5, False)
-    with collocations._as_stored(spark):
+def test_rounds_join_without_a_shuffle(spark):
+    """Occurrences go from the texts into buckets, and from there into pairs, where they are."""
+    docs = settle(spark.createDataFrame(made(3), "lang string, text string").repartition(6))
+    words = collocations.words(collocations.pieces(docs), 2)
+    rows = words.select(collocations._part(), "piece", "pos", F.xxhash64("word").alias("phrase"))
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    kept = collocations._bucketed(rows, 5, True)
+    with collocations._by_parts(spark):
         plan = collocations._followed(kept)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan
     assert "Exchange" not in plan
-    assert plan.count("Sort [") == 1
-    assert kept.select("piece").distinct().count() > 5
+    assert kept.count() == rows.count()
+
+
+def test_texts_are_split_once(spark):
+    docs = spark.createDataFrame(made(3), "lang string, text string")
+    plan = collocations.words(collocations.pieces(docs))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 2
 
 
-def test_options_of_the_session_come_back(spark):
-    before = {name: spark.conf.get(name, None) for name in collocations._PLANNING}
-    with collocations._as_stored(spark):
-        assert {name: spark.conf.get(name) for name in before} == collocations._PLANNING
-    assert {name: spark.conf.get(name, None) for name in before} == before
+def test_the_sessions_option_comes_back(spark):
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name, None)
+    with collocations._by_parts(spark):
+        assert spark.conf.get(name) == "false"
+    assert spark.conf.get(name, None) == before
 
 
 def test_awkward_documents(spark, awkward, nothing):
