@@ -1,8 +1,9 @@
 """Toxic passages: maximum-scoring segments of token log-odds.
 
-Words fall by hash into a fixed number of buckets. Each bucket's log-odds of toxic against
-clean documents has a Dirichlet prior in proportion to the bucket's documents in the whole
-corpus, and counts only where it is significant; every token also costs a constant. All
+Keys are words and their beginnings. A key's log-odds of toxic against clean documents has a
+Dirichlet prior in proportion to the key's documents in the whole corpus, and counts only where
+it is significant and the key is in some toxic documents that were learned from: those are the
+keys that the corpus is searched for. Every token also costs a constant. All
 maximal segments of positive sum are found in one pass over a text's tokens. Their sums in
 clean text follow an extreme-value law, whose two parameters come from the clean documents'
 token scores, so that a segment's score becomes the number of such segments to expect by
@@ -16,7 +17,8 @@ the share of clean documents that would reach as much.
 from __future__ import annotations
 
 import string
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Mapping
 from zlib import crc32
 
 import numpy as np
@@ -27,11 +29,12 @@ from pyspark.sql import functions as F
 from stintlab.llm.common import bounded_sample, map_batches
 from stintlab.staging import settle
 
-BUCKETS = 2**18
 # Labelled documents that are learned from.
 MAX_SAMPLE = 50_000
-# Standard errors that a bucket's log-odds must exceed to count.
+# Standard errors that a key's log-odds must exceed to count.
 SIGNIFICANT = 2.5
+# Toxic documents of the sample that a key must be in to count.
+LEAST_DOCUMENTS = 3
 # What every token costs, in units of log-odds.
 COST = 0.5
 # Chance segments to expect in a whole document at a passage's score.
@@ -41,10 +44,11 @@ CLEAN_ERRORS = 0.005
 ACCEPT = 0.7
 # Clean documents in the tail without which it is not fitted.
 _LEAST_TAIL = 20
-# Beginnings of a word, in bytes, that have a bucket of their own.
+# Beginnings of a word, in bytes, that are keys of their own.
 STEMS = (8, 7, 6, 5, 4)
 # The least log-odds that count.
 LEAST_ODDS = 2.0
+# Words and keys that a task remembers; once full, a memory stays as it is, counts go out.
 _REMEMBERED = 200_000
 # ASCII marks and digits part words; letters of other scripts are bytes above 127.
 _BREAKS = bytes.maketrans(
@@ -58,94 +62,137 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().translate(_BREAKS).split()
 
 
-def word_buckets(word: bytes, buckets: int = BUCKETS) -> list[int]:
-    """The buckets of a word and of its longer beginnings, the longest first.
+def word_keys(word: bytes) -> list[bytes]:
+    """A word and its longer beginnings, the longest first.
 
-    Where a word is too rare to judge, what it begins with stands in for it.
+    Where a word is too rare to judge, what it begins with stands in for it. Beginnings end
+    with a mark that no word has.
     """
-    cuts = [n for n in STEMS if n < len(word)]
-    return [crc32(word) % buckets, *(crc32(word[:n] + b"*") % buckets for n in cuts)]
+    return [word, *(word[:n] + b"*" for n in STEMS if n < len(word))]
 
 
-def word_score(word: bytes, odds: np.ndarray) -> float:
+def word_score(word: bytes, odds: Mapping[bytes, float]) -> float:
     """The log-odds of a word, or of the longest of its beginnings that has any, less the cost."""
-    own = next((o for b in word_buckets(word, len(odds)) if (o := odds[b]) > 0), 0.0)
-    return float(own) - COST
+    return next((odds[key] for key in word_keys(word) if key in odds), 0.0) - COST
 
 
 class _Remembered(dict):
-    """Values by word, worked out once; forgotten all together when there are too many."""
+    """Values by word, worked out once for as many words as there is room for."""
 
     def __init__(self, work):
         self._work = work
 
     def __missing__(self, word: bytes):
-        if len(self) >= _REMEMBERED:
-            self.clear()
-        value = self[word] = self._work(word)
+        value = self._work(word)
+        if len(self) < _REMEMBERED:
+            self[word] = value
         return value
 
 
-def bucket_counts(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """(bucket, n_all, n_toxic, n_clean): documents of ``docs`` (text, toxic) with the bucket.
-
-    Counted within each task first: what a task hands over is bounded by the buckets.
-    """
+def sample_counts(taught: DataFrame) -> DataFrame:
+    """(key, n_toxic, n_clean, words): documents of ``taught`` (text, toxic) with the key; the row
+    without a key has the distinct words of all toxic documents."""
 
     def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((3, buckets), np.int64)
-        known = _Remembered(lambda word: word_buckets(word, buckets))
+        counts: tuple[Counter, Counter] = (Counter(), Counter())
+        n_words = 0
+
+        def counted() -> pa.RecordBatch:
+            keys = [None, *(counts[0].keys() | counts[1].keys())]
+            columns = [[0, *(c[k] for k in keys[1:])] for c in (counts[1], counts[0])]
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(keys, pa.binary()), *(pa.array(c, pa.int64()) for c in columns),
+                    pa.array([n_words, *[0] * (len(keys) - 1)], pa.int64()),
+                ],
+                ["key", "n_toxic", "n_clean", "words"],
+            )
+
         for batch in batches:
             for text, toxic in zip(batch.column("text"), batch.column("toxic"), strict=True):
                 words = set(tokens(text.as_py()))
-                seen = np.array(list({b for w in words for b in known[w]}), np.int64)
-                counts[0, seen] += 1
-                if (label := toxic.as_py()) in (0, 1):
-                    counts[2 - label, seen] += 1
-        used = np.flatnonzero(counts[0])
+                counts[toxic.as_py()].update({key for w in words for key in word_keys(w)})
+                n_words += len(words) * toxic.as_py()
+            if len(counts[0]) + len(counts[1]) > _REMEMBERED:
+                yield counted()
+                counts, n_words = (Counter(), Counter()), 0
+        yield counted()
+
+    rows = map_batches(taught, change, "key binary, n_toxic long, n_clean long, words long")
+    return rows.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("n_toxic", "n_clean", "words")])
+
+
+def corpus_counts(docs: DataFrame, keys: list[bytes]) -> tuple[np.ndarray, int]:
+    """How many rows of ``docs`` (text) have each key, and the distinct words of all rows."""
+    shared = docs.sparkSession.sparkContext.broadcast({key: i for i, key in enumerate(keys)})
+    n = len(keys)
+
+    def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = shared.value
+        counts, n_words = np.zeros(n, np.int64), 0
+        known = _Remembered(lambda word: [places[k] for k in word_keys(word) if k in places])
+        for batch in batches:
+            for text in batch.column("text"):
+                words = set(tokens(text.as_py()))
+                n_words += len(words)
+                seen = {i for w in words for i in known[w]}
+                counts[np.fromiter(seen, np.int64, len(seen))] += 1
+        used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(used), *(pa.array(c[used]) for c in counts)],
-            ["bucket", "n_all", "n_toxic", "n_clean"],
+            [pa.array([-1, *used.tolist()], pa.int64()), pa.array([n_words, *counts[used].tolist()], pa.int64())],
+            ["place", "n"],
         )
 
-    schema = "bucket long, n_all long, n_toxic long, n_clean long"
-    rows = map_batches(docs.select(F.col("text").cast("string"), F.col("toxic").cast("int")), change, schema)
-    return rows.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ("n_all", "n_toxic", "n_clean")])
+    rows = map_batches(docs.select(F.col("text").cast("string")), change, "place long, n long")
+    # A row per key sought, however large the corpus.
+    summed = {r["place"]: r["n"] for r in rows.groupBy("place").agg(F.sum("n").alias("n")).collect()}
+    return np.array([summed.get(i, 0) for i in range(n)], np.int64), summed.get(-1, 0)
 
 
-class TokenScores:
-    """Scores by bucket and the extreme-value parameters that go with them."""
+def _odds(toxic: np.ndarray, clean: np.ndarray, total_toxic: float, total_clean: float) -> tuple:
+    """Log-odds and their standard errors from counts with their prior. The prior weighs as
+    much as the toxic documents themselves."""
+    others_toxic = np.maximum(2 * total_toxic - toxic, 1e-9)
+    others_clean = np.maximum(total_clean + total_toxic - clean, 1e-9)
+    odds = np.log(toxic / others_toxic) - np.log(clean / others_clean)
+    return odds, np.sqrt(1 / toxic + 1 / clean)
 
-    def __init__(self, counts: np.ndarray):
-        """``counts`` has a row (all, toxic, clean) per bucket."""
-        n_all, n_toxic, n_clean = counts.astype(float).T
-        total_toxic, total_clean = n_toxic.sum(), n_clean.sum()
-        self.odds = np.zeros(len(counts))
+
+class TokenScores:
+    """Log-odds by key and the extreme-value parameters that go with them."""
+
+    def __init__(
+        self, keys: list[bytes], counts: np.ndarray, total_toxic: float, total_clean: float, rate: float
+    ):
+        """``counts`` has a row (all, toxic, clean) per key; the totals are over all keys there
+        are. ``rate`` is what part of all documents' words the toxic ones of the sample have."""
+        self.odds: dict[bytes, float] = {}
         self.slope, self.scale = 1.0, 0.1
-        if not total_toxic or not total_clean:
+        if not total_toxic or not total_clean or not len(keys):
             return
-        # The prior weighs as much as the toxic documents themselves.
-        prior = total_toxic * n_all / n_all.sum()
-        seen = prior > 0
-        t, c, a = n_toxic[seen] + prior[seen], n_clean[seen] + prior[seen], prior.sum()
-        odds = np.log(t / (total_toxic + a - t + 1e-9)) - np.log(c / (total_clean + a - c + 1e-9))
-        error = np.sqrt(1 / t + 1 / c)
-        self.odds[seen] = np.where((odds > SIGNIFICANT * error) & (odds > LEAST_ODDS), odds, 0.0)
-        share = np.zeros(len(counts))
-        share[seen] = c / c.sum()
-        if not (self.odds > 0).any():
+        n_all, n_toxic, n_clean = counts.astype(float).T
+        prior = np.maximum(rate * n_all, 1e-9)
+        odds, error = _odds(n_toxic + prior, n_clean + prior, total_toxic, total_clean)
+        counting = (odds > SIGNIFICANT * error) & (odds > LEAST_ODDS) & (n_toxic >= LEAST_DOCUMENTS)
+        if not counting.any():
             return
-        self.slope = self._slope(share)
+        self.odds = {key: float(o) for key, o, good in zip(keys, odds, counting, strict=True) if good}
+        share = (n_clean + prior)[counting] / (total_clean + total_toxic)
         # Chance of a positive token, a bound of the chance that a segment begins there.
-        self.scale = float(share[self.odds > 0].sum())
+        self.scale = float(share.sum())
+        self.slope = self._slope(odds[counting], share)
 
     def of_word(self, word: bytes) -> float:
         return word_score(word, self.odds)
 
-    def _slope(self, share: np.ndarray) -> float:
-        """The positive root of sum(share * exp(slope * score)) = 1."""
+    def _slope(self, odds: np.ndarray, share: np.ndarray) -> float:
+        """The positive root of sum(share * exp(slope * score)) = 1 over all keys."""
+        rest = max(0.0, 1 - float(share.sum()))
+
+        def excess(x: float) -> float:
+            return float((share * np.exp(x * (odds - COST))).sum() + rest * np.exp(-x * COST)) - 1
+
         low, high = 0.0, 1.0
-        excess = lambda x: float((share * np.exp(x * (self.odds - COST))).sum()) - 1
         while excess(high) < 0 and high < 64:
             low, high = high, high * 2
         for _ in range(60):
@@ -236,17 +283,26 @@ def teaching_sample(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SA
     )
 
 
-def learn(docs: DataFrame, sample: DataFrame, buckets: int = BUCKETS) -> TokenScores:
+def learn(docs: DataFrame, sample: DataFrame) -> TokenScores:
     """Scores from the sample (doc_id, toxic); the prior counts every row of ``docs``.
 
-    What comes to the driver has a row per bucket, whatever the corpus.
+    What comes to the driver has a row per key that enough toxic documents of the sample
+    have, whatever the corpus.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    counted = bucket_counts(texts.join(F.broadcast(sample), "doc_id", "left"), buckets).toPandas()
-    counts = np.zeros((buckets, 3), np.int64)
-    if len(counted):
-        counts[counted["bucket"].to_numpy()] = counted[["n_all", "n_toxic", "n_clean"]].to_numpy()
-    return TokenScores(counts)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
+    seen = settle(sample_counts(texts.join(F.broadcast(sample), "doc_id").select("text", "toxic")))
+    total_toxic, total_clean, n_words = (
+        v or 0 for v in seen.agg(F.sum("n_toxic"), F.sum("n_clean"), F.sum("words")).first()
+    )
+    if not total_toxic or not total_clean:
+        return TokenScores([], np.zeros((0, 3)), total_toxic, total_clean, 0.0)
+    likely = (
+        seen.filter(F.col("key").isNotNull() & (F.col("n_toxic") >= LEAST_DOCUMENTS)).orderBy("key").collect()
+    )
+    keys = [bytes(r["key"]) for r in likely]
+    n_all, all_words = corpus_counts(texts, keys)
+    counts = np.array([(n, r["n_toxic"], r["n_clean"]) for n, r in zip(n_all, likely, strict=True)])
+    return TokenScores(keys, counts.reshape(-1, 3), total_toxic, total_clean, n_words / max(all_words, 1))
 
 
 def tail(clean: np.ndarray) -> tuple[float, float, float]:
@@ -259,9 +315,7 @@ def tail(clean: np.ndarray) -> tuple[float, float, float]:
     return u, len(above) / len(clean), float(1 / above.mean())
 
 
-def find_toxic(
-    docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, max_sample: int = MAX_SAMPLE
-) -> DataFrame:
+def find_toxic(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE) -> DataFrame:
     """(doc_id, score, predicted, n_tokens, passages) for every row of ``docs`` (doc_id, text).
 
     ``passages`` are the significant segments as (from, to, score), counted in tokens.
@@ -272,9 +326,9 @@ def find_toxic(
     rows are scored each time. No rows give no rows.
     """
     sample = teaching_sample(docs, labels, max_sample)
-    model = learn(docs, sample, buckets)
+    model = learn(docs, sample)
     slope, scale = model.slope, model.scale
-    shared = docs.sparkSession.sparkContext.broadcast(model.odds)  # one number per bucket
+    shared = docs.sparkSession.sparkContext.broadcast(model.odds)  # of the keys that count
 
     def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         odds = shared.value

@@ -3,12 +3,25 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 
 from stintlab.llm.queries import QUERIES
-from stintlab.llm.toxicity import BUCKETS, COST, TokenScores, evidence, find_toxic, maximal_segments, tail, tokens, word_buckets
+from stintlab.llm import toxicity
+from stintlab.llm.toxicity import (
+    COST,
+    LEAST_DOCUMENTS,
+    TokenScores,
+    evidence,
+    find_toxic,
+    maximal_segments,
+    tail,
+    tokens,
+    word_keys,
+    word_score,
+)
 from tests.llm.conftest import LONG
 
 
@@ -42,17 +55,85 @@ def test_segments_in_linear_time():
 
 
 def test_slope_solves_its_equation():
-    counts = np.zeros((BUCKETS, 3), np.int64)
-    for word, row in {b"vile": (50, 40, 1), b"the": (900, 90, 700), b"cat": (300, 30, 240)}.items():
-        for b in word_buckets(word):
-            counts[b] += row
-    model = TokenScores(counts)
+    rows = {b"vile": (50, 40, 1), b"the": (900, 90, 700), b"cat": (300, 30, 240), b"vi*": (60, 41, 3)}
+    total_toxic, total_clean, rate = 201, 944, 0.15
+    model = TokenScores(list(rows), np.array(list(rows.values())), total_toxic, total_clean, rate)
     assert model.of_word(b"vile") > 1 > 0 > model.of_word(b"the") == -COST
     assert model.of_word(b"never") == -COST
-    prior = counts[:, 1].sum() * counts[:, 0] / counts[:, 0].sum()
-    share = (counts[:, 2] + prior) * (prior > 0)
-    share = share / share.sum()
-    assert (share * np.exp(model.slope * (model.odds - COST))).sum() == pytest.approx(1, abs=1e-6)
+    total = 0.0
+    for key, (n_all, _, n_clean) in rows.items():
+        share = (n_clean + rate * n_all) / (total_clean + total_toxic)
+        if key in model.odds:
+            total += share * np.exp(model.slope * (model.odds[key] - COST))
+    rest = 1 - sum((rows[k][2] + rate * rows[k][0]) / (total_clean + total_toxic) for k in model.odds)
+    assert total + rest * np.exp(-model.slope * COST) == pytest.approx(1, abs=1e-6)
+
+
+def test_longer_beginnings_come_first():
+    odds = {b"abcd*": 3.0, b"abcdef*": 4.0, b"abcdefgh": 5.0}
+    assert word_score(b"abcdefgh", odds) == 5.0 - COST
+    assert word_score(b"abcdefxy", odds) == 4.0 - COST
+    assert word_score(b"abcdx", odds) == 3.0 - COST
+    assert word_score(b"abcd", odds) == -COST  # a whole word is not its own beginning
+
+
+def test_keys_in_few_toxic_documents_do_not_count():
+    keys = [b"rare", b"frequent"]
+    for n, counting in ((LEAST_DOCUMENTS - 1, []), (30, [b"rare"])):
+        counts = np.array([(n, n, 0), (4000, 400, 3600)])
+        assert list(TokenScores(keys, counts, 5000, 45_000, 0.1).odds) == counting
+
+
+def test_counts_by_force(spark, monkeypatch):
+    """Exact keys over all documents, whether memories are full or not."""
+    draw = random.Random(5)
+    words = ["the", "of", "horrid", "horridly", "horrible", "ünder", "a", "zz9", "abcdefghijkl"]
+    rows = [(i, " ".join(draw.choice(words) for _ in range(draw.randrange(12))), i % 2) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(3)
+    expected, n_words = Counter(), 0
+    by_label = {0: Counter(), 1: Counter()}
+    for _, text, toxic in rows:
+        found = set(tokens(text))
+        n_words += len(found)
+        keys = {k for w in found for k in word_keys(w)}
+        expected.update(keys)
+        by_label[toxic].update(keys)
+    for remembered in (200_000, 3):
+        monkeypatch.setattr(toxicity, "_REMEMBERED", remembered)
+        keys = [*sorted(expected), b"absent"]
+        counts, total = toxicity.corpus_counts(docs, keys)
+        assert dict(zip(keys, counts.tolist(), strict=True)) == {**expected, b"absent": 0}
+        assert total == n_words
+        got = {r["key"] and bytes(r["key"]): r for r in toxicity.sample_counts(docs.select("text", "toxic")).collect()}
+        assert got.pop(None)["words"] == sum(len(set(tokens(t))) for _, t, x in rows if x)
+        assert {k: (r["n_toxic"], r["n_clean"]) for k, r in got.items()} == {
+            k: (by_label[1][k], by_label[0][k]) for k in expected
+        }
+
+
+def test_scores_by_force(spark):
+    """The whole query in plain Python from the words that count: segments, evidence, tail."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    sample = toxicity.teaching_sample(docs, labels)
+    model = toxicity.learn(docs, sample)
+    taught = {r["doc_id"]: r["toxic"] for r in sample.collect()}
+    strength, found = {}, {}
+    for r in docs.select("doc_id", "text").collect():
+        scores = np.array([word_score(w, model.odds) for w in tokens(r["text"])])
+        segments = all_maximal(scores) if len(scores) < 900 else maximal_segments(scores)
+        strength[r["doc_id"]] = evidence(len(scores), [s for *_, s in segments], model.slope, model.scale)
+        lowest = np.log(max(model.scale * len(scores), 1e-9) / toxicity.EXPECTED)
+        found[r["doc_id"]] = [(a, b) for a, b, s in segments if model.slope * s >= lowest]
+    clean = np.array([strength[d] for d, toxic in taught.items() if toxic == 0])
+    u, share, rate = tail(clean)
+    for r in find_toxic(docs, labels).collect():
+        x = strength[r["doc_id"]]
+        rare = x * (-np.log(share) / u if u > 0 else 0.0) if x <= u else (x - u) * rate - np.log(share)
+        score = 1 / (1 + np.exp(-(rare + np.log(toxicity.CLEAN_ERRORS) + np.log(0.7 / 0.3))))
+        assert r["score"] == pytest.approx(score, abs=1e-9)
+        assert [(p["from"], p["to"]) for p in r["passages"]] == found[r["doc_id"]]
 
 
 def test_evidence_and_tail():
