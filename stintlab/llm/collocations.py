@@ -1,11 +1,12 @@
 """Phrases that recur, mined set by set from relations of occurrences (SETM).
 
-An occurrence is a piece of text, the position of its first word there and the phrase, by number.
-R(1) holds the occurrences of frequent words, sorted by piece and position. It is kept in
-buckets by the part of the input that the pieces were read from, so that a task writes what it has
-read. Round k joins R(k) with itself by piece and next position: two phrases of k words that
-follow each other by one word make a phrase of k + 1. As both sides lie in the same buckets, this
-is a merge join without a shuffle. Its rows are counted by phrase, and those of frequent
+An occurrence is a place in the texts and the phrase that begins there, both by number. Places
+count words piece by piece, with one left out behind each piece, so that the next place is the
+next position of the same piece or nothing. R(1) holds the occurrences of frequent words, sorted
+by place. It is kept in buckets by the part of the input that the texts were read from, so
+that a task writes what it has read. Round k joins R(k) with itself by next place: two
+phrases of k words that follow each other by one word make a phrase of k + 1. As both sides lie in
+the same buckets, this is a merge join without a shuffle. Its rows are counted by phrase, and those of frequent
 phrases (a semi-join) are R(k + 1), kept in the same buckets. Occurrences are not
 shuffled at all, unless the frequent phrases are too many to be sent to them.
 
@@ -48,54 +49,69 @@ WORD_ENDS = r"[ \t]+"
 
 
 
+# Joins by part and place may use that both sides lie in buckets of parts, and tasks
+# may write several buckets at once instead of sorting by bucket first.
+_OPTIONS = {
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
+}
+
+
 @contextmanager
 def _by_parts(spark: SparkSession) -> Iterator[None]:
-    """Let joins by part, piece and position use that both sides lie in buckets of parts; the
-    session's option comes back."""
-    name = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "false")
+    """Plan by how relations are stored; the session's options come back."""
+    before = {name: spark.conf.get(name, None) for name in _OPTIONS}
+    for name, value in _OPTIONS.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def pieces(docs: DataFrame) -> DataFrame:
-    """(lang, piece, piece_text) for every piece of ``docs`` (lang, text); what a task reads has
-    numbers that begin alike."""
+    """(lang, words) for every piece of ``docs`` (lang, text): its words in order."""
     text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), UPPER, LOWER)
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE))
     # Explode as outer: else Spark filters for non-empty arrays, which splits each text twice.
-    split = docs.select(lang.alias("lang"), F.explode_outer(F.split(text, PIECE_ENDS)).alias("piece_text"))
-    return split.select("lang", F.monotonically_increasing_id().alias("piece"), "piece_text")
+    split = docs.select(lang.alias("lang"), F.explode_outer(F.split(text, PIECE_ENDS)).alias("piece"))
+    return split.select("lang", F.array_remove(F.split("piece", WORD_ENDS), "").alias("words"))
+
+
+def words(split: DataFrame) -> DataFrame:
+    """(lang, word) for every word of some pieces."""
+    return split.select("lang", F.explode_outer("words").alias("word")).filter(F.col("word").isNotNull())
 
 
-def words(split: DataFrame, least: int = 1) -> DataFrame:
-    """(lang, piece, pos, word) for every word of the pieces of at least so many words."""
-    listed = F.array_remove(F.split("piece_text", WORD_ENDS), "")
-    if least > 1:
-        listed = F.when(F.size(listed) >= least, listed)
-    found = split.select("lang", "piece", F.posexplode_outer(listed).alias("pos", "word"))
-    return found.filter(F.col("word").isNotNull())
+def places(split: DataFrame) -> DataFrame:
+    """(lang, word, at) for every word that has another in its piece, in order.
+
+    An empty word behind each piece takes the place that is left out. A part's places begin
+    alike.
+    """
+    ended = F.when(F.size("words") > 1, F.array_append("words", F.lit("")))
+    numbered = split.select("lang", F.explode_outer(ended).alias("word")).select(
+        "lang", "word", F.monotonically_increasing_id().alias("at")
+    )
+    return numbered.filter(F.col("word").isNotNull() & (F.col("word") != ""))
 
 
 def _part() -> Column:
-    """The part of the input that a piece was read from."""
-    return F.shiftright("piece", 33).cast("int").alias("part")
+    """The part of the input that a place lies in."""
+    return F.shiftright("at", 33).cast("int").alias("part")
 
 
 def _bucketed(rows: DataFrame, buckets: int, in_place: bool) -> DataFrame:
-    """Write (part, piece, pos, phrase) in buckets of parts, sorted; ``in_place`` says that each
-    task has whole parts already."""
+    """Write (part, at, phrase) in buckets of parts; ``in_place`` says that each task has whole
+    parts already, in order of place."""
     spark = rows.sparkSession
     path = new_path(spark)
     name = path.rsplit("/", 1)[-1].replace("-", "_")
     if not in_place:
-        rows = rows.repartition(buckets, "part")
+        rows = rows.repartition(buckets, "part").sortWithinPartitions("at")
     with _by_parts(spark):
-        out = rows.write.bucketBy(buckets, "part").sortBy("piece", "pos")
-        out.option("path", path).saveAsTable(name)
+        rows.write.bucketBy(buckets, "part").option("path", path).saveAsTable(name)
     return spark.table(name)
 
 
@@ -110,12 +126,10 @@ def _with_number(
 
 
 def _followed(occurrences: DataFrame) -> DataFrame:
-    """(part, piece, pos, first, second): two phrases that begin at neighbouring positions."""
+    """(at, part, first, second): two phrases that begin at neighbouring places."""
     first = occurrences.withColumnRenamed("phrase", "first")
-    second = occurrences.select(
-        "part", "piece", (F.col("pos") - 1).alias("pos"), F.col("phrase").alias("second")
-    )
-    keys = ["piece", "pos", "part"]
+    second = occurrences.select("part", (F.col("at") - 1).alias("at"), F.col("phrase").alias("second"))
+    keys = ["at", "part"]
     return first.join(second.hint("merge"), keys).select(*keys, "first", "second")
 
 
@@ -215,9 +229,8 @@ def mine_phrases(
     ).first()[0] or 0
     parts = docs.select(F.spark_partition_id().alias("part")).agg(F.max("part")).first()[0]
     buckets = int(min(MOST_BUCKETS, BUCKETS_PER_PART * (1 + (parts or 0))))
-    # A word alone in its piece is followed by none.
-    found, in_place = _with_number(words(split, 2), frequent, ["lang", "word"], n_bytes)
-    occurrences = _bucketed(found.select(_part(), "piece", "pos", "phrase"), buckets, in_place)
+    found, in_place = _with_number(places(split), frequent, ["lang", "word"], n_bytes)
+    occurrences = _bucketed(found.select(_part(), "at", "phrase"), buckets, in_place)
 
     levels = [frequent]
     for size in range(2, most_words + 1):
@@ -228,7 +241,7 @@ def mine_phrases(
         if size < most_words:
             n_bytes = _BYTES_OF_NUMBERS * longer.count()
             kept, in_place = _with_number(pairs, longer, ["first", "second"], n_bytes)
-            occurrences = _bucketed(kept.select("part", "piece", "pos", "phrase"), buckets, in_place)
+            occurrences = _bucketed(kept.select("part", "at", "phrase"), buckets, in_place)
 
     results = []
     for size, phrases in enumerate(levels[1:], start=2):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import re
 from collections import Counter, defaultdict
@@ -103,12 +104,24 @@ def test_counts_beyond_64_bits():
     assert score == 2_000_000 * a // (left + right)
 
 
+def test_places_leave_one_out_behind_each_piece(spark):
+    docs = spark.createDataFrame([("en", "A b, c. d e f"), (None, ""), ("de", None), ("en", ";g\th")], "lang string, text string")
+    found = collocations.places(collocations.pieces(docs.coalesce(1))).collect()
+    assert [(r["lang"], r["word"]) for r in found] == [
+        ("en", "a"), ("en", "b"), ("en", "d"), ("en", "e"), ("en", "f"), ("en", "g"), ("en", "h"),
+    ]
+    at = [r["at"] for r in found]
+    assert [b - a == 1 for a, b in itertools.pairwise(at)] == [True, False, True, True, False, True]
+
+
 def test_rounds_join_without_a_shuffle(spark):
-    """Occurrences go from the texts into buckets, and from there into pairs, where they are."""
+    """Occurrences go from the texts into buckets, and from there into pairs, where they are;
+    they are written without being sorted by bucket."""
     docs = settle(spark.createDataFrame(made(3), "lang string, text string").repartition(6))
-    words = collocations.words(collocations.pieces(docs), 2)
-    rows = words.select(collocations._part(), "piece", "pos", F.xxhash64("word").alias("phrase"))
-    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    words = collocations.places(collocations.pieces(docs))
+    rows = words.select(collocations._part(), "at", F.xxhash64("word").alias("phrase"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
     kept = collocations._bucketed(rows, 5, True)
     with collocations._by_parts(spark):
         plan = collocations._followed(kept)._jdf.queryExecution().executedPlan().toString()
@@ -119,16 +132,16 @@ def test_rounds_join_without_a_shuffle(spark):
 
 def test_texts_are_split_once(spark):
     docs = spark.createDataFrame(made(3), "lang string, text string")
-    plan = collocations.words(collocations.pieces(docs))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("split(") == 2
+    for made_of in (collocations.words, collocations.places):
+        plan = made_of(collocations.pieces(docs))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("split(") <= 2
 
 
-def test_the_sessions_option_comes_back(spark):
-    name = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(name, None)
+def test_the_sessions_options_come_back(spark):
+    before = {name: spark.conf.get(name, None) for name in collocations._OPTIONS}
     with collocations._by_parts(spark):
-        assert spark.conf.get(name) == "false"
-    assert spark.conf.get(name, None) == before
+        assert {name: spark.conf.get(name) for name in before} == collocations._OPTIONS
+    assert {name: spark.conf.get(name, None) for name in before} == before
 
 
 def test_awkward_documents(spark, awkward, nothing):
