@@ -33,8 +33,9 @@ TOP = 2000
 COVERED_PERCENT = 80
 SCALE = 2_000_000
 NO_LANGUAGE = "und"
-# Buckets for each part of the input, so that few share one, and the most there are.
-BUCKETS_PER_PART = 2
+# Buckets for each part of the input, so that hardly two share one (an empty bucket costs next to
+# nothing, two parts in one may not fit a task's memory), and the most there are.
+BUCKETS_PER_PART = 8
 MOST_BUCKETS = 20_000
 # Frequent phrases are sent to all tasks up to this many bytes; beyond it both sides are
 # shuffled by phrase.
