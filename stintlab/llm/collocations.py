@@ -33,9 +33,8 @@ TOP = 2000
 COVERED_PERCENT = 80
 SCALE = 2_000_000
 NO_LANGUAGE = "und"
-# Buckets for each part of the input, so that hardly two share one (an empty bucket costs next to
-# nothing, two parts in one may not fit a task's memory), and the most there are.
-BUCKETS_PER_PART = 8
+# Buckets for each part of the input, so that few share one, and the most there are.
+BUCKETS_PER_PART = 2
 MOST_BUCKETS = 20_000
 # Frequent phrases are sent to all tasks up to this many bytes; beyond it both sides are
 # shuffled by phrase.
@@ -134,6 +133,12 @@ def _followed(occurrences: DataFrame) -> DataFrame:
     return first.join(second.hint("merge"), keys).select(*keys, "first", "second")
 
 
+def _numbered(phrases: DataFrame, n_bytes: int) -> DataFrame:
+    """Phrases with numbers: small ones, from one task, where they are few enough to be sent."""
+    few = phrases.coalesce(1) if n_bytes <= MOST_BYTES_SENT else phrases
+    return settle(few.select(F.monotonically_increasing_id().alias("phrase"), "*"))
+
+
 def _longer(pairs: DataFrame, shorter: DataFrame, least: int) -> DataFrame:
     """Frequent phrases of one word more, from the pairs (first, second) that make them.
 
@@ -149,14 +154,12 @@ def _longer(pairs: DataFrame, shorter: DataFrame, least: int) -> DataFrame:
         F.col("phrase").alias("second"), "last",
         F.array_append("tails", F.col("a")).alias("tails"),
     )
-    joined = settle(counted).join(one, "first").join(other, "second")
-    return settle(
-        joined.select(
-            F.monotonically_increasing_id().alias("phrase"),
-            "lang", F.concat_ws(" ", "text", "last").alias("text"), "last",
-            F.col("count").alias("a"), "heads", "tails", "first", "second",
-        )
+    found = settle(counted)
+    joined = found.join(one, "first").join(other, "second").select(
+        "lang", F.concat_ws(" ", "text", "last").alias("text"), "last",
+        F.col("count").alias("a"), "heads", "tails", "first", "second",
     )
+    return _numbered(joined, _BYTES_OF_NUMBERS * found.count())
 
 
 def _score(a: Column, left: Column, right: Column, scale: int) -> Column:
@@ -217,17 +220,18 @@ def mine_phrases(
     kept = F.when(F.col("a") >= least, F.col("word")).alias("word")
     every = settle(counted.groupBy("lang", kept).agg(F.sum("a").alias("a")))
     totals = every.groupBy("lang").agg(F.sum("a").alias("n"))
-    frequent = settle(
-        every.filter(F.col("word").isNotNull()).select(
-            F.monotonically_increasing_id().alias("phrase"),
-            "lang", "word", F.col("word").alias("text"), F.col("word").alias("last"), "a",
-            F.array().cast("array<long>").alias("heads"),
-            F.array().cast("array<long>").alias("tails"),
-        )
-    )
-    n_bytes = frequent.agg(
+    listed = every.filter(F.col("word").isNotNull())
+    n_bytes = listed.agg(
         F.sum(F.octet_length("lang") + F.octet_length("word") + _BYTES_OF_NUMBERS)
     ).first()[0] or 0
+    none = F.array().cast("array<long>")
+    frequent = _numbered(
+        listed.select(
+            "lang", "word", F.col("word").alias("text"), F.col("word").alias("last"), "a",
+            none.alias("heads"), none.alias("tails"),
+        ),
+        n_bytes,
+    )
     parts = docs.select(F.spark_partition_id().alias("part")).agg(F.max("part")).first()[0]
     buckets = int(min(MOST_BUCKETS, BUCKETS_PER_PART * (1 + (parts or 0))))
     found, in_place = _with_number(places(split), frequent, ["lang", "word"], n_bytes)
