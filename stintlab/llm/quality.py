@@ -3,29 +3,39 @@
 A document's strength is a linear function of features of its text. From pairs of a
 document labelled good and one labelled bad it is learned that the first wins with
 probability 1 / (1 + exp(-difference of strengths)): logistic loss on feature differences.
-The threshold is a quantile of the strengths of the labelled sample, at the share of bad
-documents in it.
+All labelled documents are learned from. Both kinds are numbered by the hash of their ids and dealt
+evenly to blocks; all pairs inside a block count, so that the work grows with the documents and not
+with their square. Documents of the rarer kind go to several blocks where there are fewer of them
+than blocks. The threshold is the quantile of all labelled documents' strengths at the share of
+bad ones among them. What is added up are whole numbers, so that the order does not matter.
 """
 
 from __future__ import annotations
 
+import math
 import string
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stintlab.llm.common import bounded_sample, map_batches
+from stintlab.llm.common import map_batches
+from stintlab.operators.ranking import with_rows_before
 from stintlab.staging import settle
 
-# Labelled documents that are learned from, and the pairs drawn from them.
-MAX_SAMPLE = 20_000
-PAIRS = 40_000
-SEED = 11
+# Pairs in a block, at most.
+PAIRS = 1 << 16
 RIDGE = 1e-3
+# Steps of the fit, at most, and the step that ends it.
+STEPS, SMALL_STEP = 30, 1e-6
+# Bins that values are counted by to find one by its rank.
+BINS = 4096
+# Units in which pairs' sums and a value's place between the least and the greatest are added up.
+_SUM_UNIT, _PLACE_UNIT = float(1 << 32), float(1 << 53)
 ACCEPT = 0.7
 FEATURES = 16
 _WORDS_AT_ONCE = 100_000
@@ -98,67 +108,212 @@ def features(docs: DataFrame) -> DataFrame:
     return map_batches(rows, change, "doc_id long, features array<double>")
 
 
+def _pair_sums(better: np.ndarray, worse: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Slope and, behind it, curvature of the log-likelihood, summed over all pairs of rows."""
+    ahead = (better @ weights)[:, None] - (worse @ weights)[None, :]
+    p = 1 / (1 + np.exp(np.minimum(ahead, 30)))
+    q = p * (1 - p)
+    slope = better.T @ p.sum(axis=1) - worse.T @ p.sum(axis=0)
+    across = better.T @ q @ worse
+    curve = (better.T * q.sum(axis=1)) @ better + (worse.T * q.sum(axis=0)) @ worse
+    return np.concatenate([slope, (curve - across - across.T).ravel()])
+
+
+def _whole(sums: np.ndarray) -> np.ndarray:
+    """Whole numbers of any size, to be added up in any order."""
+    return np.rint(sums * _SUM_UNIT).astype(np.int64).astype(object)
+
+
+def _fit(total: Callable[[np.ndarray], list[int]], pairs: int) -> np.ndarray:
+    """The weights by Newton's method; ``total`` gives all blocks' sums at some weights."""
+    weights = np.zeros(FEATURES)
+    for _ in range(STEPS):
+        sums = np.array([int(v) / (pairs * int(_SUM_UNIT)) for v in total(weights)])
+        slope, curve = sums[:FEATURES], sums[FEATURES:].reshape(FEATURES, FEATURES)
+        step = np.linalg.solve(curve + RIDGE * np.eye(FEATURES), slope - RIDGE * weights)
+        weights = weights + step
+        if np.abs(step).max() < SMALL_STEP:
+            break
+    return weights
+
+
+def _n_blocks(good: int, bad: int, pairs: int) -> int:
+    return -(-max(good, bad) // max(1, math.isqrt(pairs)))
+
+
+def _dealt(block: int, n: int, blocks: int) -> range:
+    """Which of ``n`` documents of a kind are in a block, one at least."""
+    first = block * n // blocks
+    return range(first, max(first + 1, (block + 1) * n // blocks))
+
+
 class Ranking:
-    """Weights over standardised features and the threshold of acceptance."""
+    """Weights over standardised features and the threshold of acceptance.
+
+    Learned from arrays here, and from tables by ``learn``. Blocks have ``pairs`` pairs at most.
+    """
 
-    def __init__(self, x: np.ndarray, good: np.ndarray, pairs: int = PAIRS, seed: int = SEED):
+    def __init__(self, x: np.ndarray, good: np.ndarray, pairs: int = PAIRS):
         x = x.reshape(-1, FEATURES)
-        self.mean = x.mean(axis=0) if len(x) else np.zeros(FEATURES)
-        spread = x.std(axis=0) if len(x) else np.ones(FEATURES)
-        self.spread = np.where(spread > 1e-12, spread, 1.0)
-        z = np.clip((x - self.mean) / self.spread, -8, 8)
-        better, worse = np.flatnonzero(good), np.flatnonzero(~good)
+        self.mean, self.spread = np.zeros(FEATURES), np.ones(FEATURES)
         self.weights = np.zeros(FEATURES)
         self.threshold, self.unit = 0.0, 1.0
         # With one kind of label there is no pair; its share decides for all.
         self.share = float(good.mean()) if len(x) else 1.0
-        if not len(better) or not len(worse):
+        if good.all() or not good.any():
             return
-        draw = np.random.default_rng(seed)
-        differences = z[draw.choice(better, pairs)] - z[draw.choice(worse, pairs)]
-        for _ in range(30):
-            p = 1 / (1 + np.exp(np.minimum(differences @ self.weights, 30)))
-            gradient = differences.T @ p / pairs - RIDGE * self.weights
-            curve = (differences * (p * (1 - p))[:, None]).T @ differences / pairs
-            step = np.linalg.solve(curve + RIDGE * np.eye(FEATURES), gradient)
-            self.weights += step
-            if np.abs(step).max() < 1e-6:
-                break
+        self.standardise(x.mean(axis=0), x.std(axis=0))
+        z = np.clip((x - self.mean) / self.spread, -8, 8)
+        better, worse = z[good], z[~good]
+        blocks = _n_blocks(len(better), len(worse), pairs)
+        parts = [
+            (better[list(_dealt(k, len(better), blocks))], worse[list(_dealt(k, len(worse), blocks))])
+            for k in range(blocks)
+        ]
+        self.weights = _fit(
+            lambda weights: sum(_whole(_pair_sums(b, w, weights)) for b, w in parts),
+            sum(len(b) * len(w) for b, w in parts),
+        )
         strength = np.sort(z @ self.weights)
         cut = len(worse)
-        self.threshold = float((strength[cut - 1] + strength[min(cut, len(strength) - 1)]) / 2)
-        self.unit = float(max(np.std(strength), 1e-9))
+        self.decide(strength[cut - 1], strength[cut], np.std(strength))
+
+    def standardise(self, mean: np.ndarray, spread: np.ndarray) -> None:
+        self.mean, self.spread = mean, np.where(spread > 1e-12, spread, 1.0)
+
+    def decide(self, below: float, above: float, unit: float) -> None:
+        """Set the threshold between two strengths and the unit that strengths are measured in."""
+        self.threshold, self.unit = float((below + above) / 2), float(max(unit, 1e-9))
         self.share = float("nan")
 
-    def score(self, values: Column) -> Column:
-        """0 to 1, and ``ACCEPT`` at the threshold."""
-        if not np.isnan(self.share):
-            return F.when(values.isNotNull(), F.lit(self.share)).otherwise(self.share)
-        terms = [
+    def standardised(self, values: Column) -> list[Column]:
+        return [
             F.greatest(
                 F.lit(-8.0),
                 F.least(F.lit(8.0), (values[i] - F.lit(float(m))) / F.lit(float(s))),
             )
-            * F.lit(float(w))
-            for i, (m, s, w) in enumerate(zip(self.mean, self.spread, self.weights, strict=True))
+            for i, (m, s) in enumerate(zip(self.mean, self.spread, strict=True))
         ]
-        strength = sum(terms[1:], terms[0])
+
+    def strength(self, values: Column) -> Column:
+        terms = [z * F.lit(float(w)) for z, w in zip(self.standardised(values), self.weights, strict=True)]
+        return sum(terms[1:], terms[0])
+
+    def score(self, values: Column) -> Column:
+        """0 to 1, and ``ACCEPT`` at the threshold."""
+        if not np.isnan(self.share):
+            return F.when(values.isNotNull(), F.lit(self.share)).otherwise(self.share)
         at_threshold = float(np.log(ACCEPT / (1 - ACCEPT)))
-        raised = (strength - self.threshold) / self.unit + at_threshold
+        raised = (self.strength(values) - self.threshold) / self.unit + at_threshold
         return 1 / (1 + F.exp(-raised))
 
 
-def learn(rows: DataFrame, max_sample: int = MAX_SAMPLE) -> Ranking:
-    """Fit on at most ``max_sample`` rows (doc_id, features, quality), those whose id hashes
-    lowest."""
-    marked = rows.filter(F.col("quality").isin(0, 1))
-    sample = bounded_sample(marked, max_sample, "doc_id", "features", "quality")
-    drawn = sample.select("features", "quality").toPandas()
-    x = np.array(drawn["features"].tolist(), float)
-    return Ranking(x, drawn["quality"].to_numpy() == 1)
+def _mean_and_spread(rows: DataFrame, values: list[Column]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each value over all rows, the same in whatever order they are added."""
+    ends = rows.agg(*[F.min(v) for v in values], *[F.max(v) for v in values]).first()
+    least, most = np.array(ends, float).reshape(2, -1)
+    wide = np.where(most > least, most - least, 1.0)
+    places = [(v - F.lit(float(a))) / F.lit(float(w)) for v, a, w in zip(values, least, wide, strict=True)]
+    sums = [
+        F.sum(F.rint(p * F.lit(_PLACE_UNIT)).cast("decimal(20,0)"))
+        for p in [*places, *[p * p for p in places]]
+    ]
+    found = rows.agg(F.count("*"), *sums).first()
+    means = np.array([int(v) / (found[0] * int(_PLACE_UNIT)) for v in found[1:]])
+    first, second = means[: len(values)], means[len(values) :]
+    return least + first * wide, np.sqrt(np.maximum(second - first**2, 0)) * wide
+
+
+def _ranked_pair(values: DataFrame, n: int) -> tuple[float, float]:
+    """The ``n``-th smallest ``v``, counted from 1, and the one after it (itself, if it is last).
+
+    Values are counted by bin between bounds, which then close in on the bin that has the rank.
+    """
+    least, most = values.agg(F.min("v"), F.max("v")).first()
+    before = 0
+    while least < most:
+        place = (F.col("v") - F.lit(least)) / F.lit(most - least)
+        # The greatest has a bin of its own, so that bounds close in with every round.
+        bin_ = F.when(F.col("v") == F.lit(most), BINS).otherwise(
+            F.least(F.lit(BINS - 1), F.floor(place * BINS)).cast("int")
+        )
+        inside = values.filter(F.col("v").between(least, most))
+        counts = inside.groupBy(bin_.alias("bin")).agg(F.count("*"), F.min("v"), F.max("v"))
+        for _, count, low, high in sorted(map(tuple, counts.collect())):
+            if before + count >= n:
+                least, most = low, high
+                break
+            before += count
+    upto, following = values.agg(
+        F.count(F.when(F.col("v") <= F.lit(least), 1)), F.min(F.when(F.col("v") > F.lit(least), F.col("v")))
+    ).first()
+    return least, least if upto > n or following is None else following
+
+
+def _in_blocks(marked: DataFrame, ranking: Ranking, good: int, bad: int, pairs: int) -> DataFrame:
+    """(better, worse): the standardised features of each block's documents, one after another."""
+    placed = marked.withColumns({"_hash": F.xxhash64("doc_id"), "_one": F.lit(1)})
+    numbered = with_rows_before(placed, ["good"], ["_hash", "doc_id", "features"], "_one", "_nth")
+    n, blocks = F.when(F.col("good"), good).otherwise(bad).cast("long"), _n_blocks(good, bad, pairs)
+    # The same blocks as ``_dealt`` gives, by document.
+    last = F.call_function("div", (F.col("_nth") + 1) * blocks - 1, n)
+    first = F.least(F.call_function("div", F.col("_nth") * blocks + n - 1, n), last)
+    dealt = numbered.select(
+        F.explode(F.sequence(first, last)).alias("block"), "good", "_nth",
+        F.array(*ranking.standardised(F.col("features"))).alias("z"),
+    )
+
+    def side(kind: Column) -> Column:
+        listed = F.sort_array(F.collect_list(F.when(kind, F.struct("_nth", "z"))))
+        return F.flatten(F.transform(listed, lambda row: row["z"]))
+
+    return dealt.groupBy("block").agg(
+        side(F.col("good")).alias("better"), side(~F.col("good")).alias("worse")
+    ).drop("block")
+
+
+def _block_total(blocks: DataFrame, weights: np.ndarray) -> list[int]:
+    """The sums of all pairs of all blocks."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = _whole(np.zeros(FEATURES * (FEATURES + 1)))
+        for batch in batches:
+            for better, worse in zip(batch.column("better"), batch.column("worse"), strict=True):
+                sides = [np.asarray(v.values).reshape(-1, FEATURES) for v in (better, worse)]
+                total = total + _whole(_pair_sums(*sides, weights))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(len(total)), pa.int32()),
+             pa.array([Decimal(int(v)) for v in total], pa.decimal128(38, 0))],
+            ["place", "part"],
+        )
+
+    parts = map_batches(blocks, add, "place int, part decimal(38,0)")
+    sums = parts.groupBy("place").agg(F.sum("part").alias("sum")).collect()
+    return [int(r["sum"]) for r in sorted(sums)]
+
+
+def learn(rows: DataFrame, pairs: int = PAIRS) -> Ranking:
+    """Fit on all rows (doc_id, features, quality) with a quality of 0 or 1."""
+    marked = settle(
+        rows.filter(F.col("quality").isin(0, 1)).select("doc_id", "features", (F.col("quality") == 1).alias("good"))
+    )
+    n, good = marked.agg(F.count("*"), F.count(F.when(F.col("good"), 1))).first()
+    ranking = Ranking(np.empty(0), np.ones(0, bool))
+    if not 0 < good < n:
+        ranking.share = 1.0 if good == n else 0.0
+        return ranking
+    ranking.standardise(*_mean_and_spread(marked, [F.col("features")[i] for i in range(FEATURES)]))
+    blocks = settle(_in_blocks(marked, ranking, good, n - good, pairs))
+    sides = [F.size(c).cast("long") / FEATURES for c in ("better", "worse")]
+    n_pairs = int(blocks.agg(F.sum((sides[0] * sides[1]).cast("long"))).first()[0])
+    ranking.weights = _fit(lambda weights: _block_total(blocks, weights), n_pairs)
+    strengths = settle(marked.select(ranking.strength(F.col("features")).alias("v")))
+    spread = _mean_and_spread(strengths, [F.col("v")])[1][0]
+    ranking.decide(*_ranked_pair(strengths, n - good), spread)
+    return ranking
 
 
-def rank_quality(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE) -> DataFrame:
+def rank_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, score, predicted) for every row of ``docs`` (doc_id, text).
 
     ``labels`` (doc_id, quality) are those to learn from; a null or other label than 0 and
@@ -170,7 +325,7 @@ def rank_quality(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPL
     """
     known = settle(features(docs))
     marked = labels.select(F.col("doc_id").cast("long"), "quality")
-    ranking = learn(known.join(marked, "doc_id"), max_sample)
+    ranking = learn(known.join(marked, "doc_id"))
     score = ranking.score(F.col("features"))
     return known.select("doc_id", score.alias("score")).withColumn(
         "predicted", (F.col("score") >= ACCEPT).cast("int")

@@ -12,6 +12,10 @@ from stintlab.llm.quality import (
     ACCEPT,
     FEATURES,
     Ranking,
+    _dealt,
+    _n_blocks,
+    _pair_sums,
+    _ranked_pair,
     features,
     keep_accepted,
     learn,
@@ -80,6 +84,67 @@ def test_strength_maximises_the_pairs_likelihood():
     assert abs((strength < model.threshold).mean() - (~good).mean()) < 0.01
 
 
+def _made(spark, n: int, bad: str):
+    """Labelled rows whose features are numbers made from their ids."""
+    number = "(xxhash64(id, {0}) % 1000) / 1000.0D + IF(quality = 1, {0} / 8.0D, 0)"
+    some = ", ".join(number.format(i) for i in range(FEATURES))
+    rows = spark.range(n).selectExpr("id", f"IF({bad}, 0, 1) AS quality")
+    return rows.selectExpr("id AS doc_id", f"array({some}) AS features", "quality")
+
+
+def test_every_labelled_document_is_learned_from(spark):
+    """Beyond 20,000 documents too, and the same in whatever order they come."""
+    made = _made(spark, 21_000, "id % 3 = 0")
+    model = learn(made)
+    drawn = made.toPandas()
+    x, good = np.array(drawn["features"].tolist()), drawn["quality"].to_numpy() == 1
+    assert model.mean == pytest.approx(x.mean(axis=0), abs=1e-12)
+    assert model.spread == pytest.approx(x.std(axis=0), abs=1e-9)
+    strength = np.sort(np.clip((x - model.mean) / model.spread, -8, 8) @ model.weights)
+    assert model.threshold == pytest.approx(strength[6_999:7_001].mean(), abs=1e-12)
+    assert model.unit == pytest.approx(strength.std(), abs=1e-9)
+    again = learn(made.repartition(7, F.rand(3)))
+    assert (again.weights == model.weights).all() and again.threshold == model.threshold
+
+
+@pytest.mark.parametrize("bad", ["id % 3 = 0", "id <> 17"])
+def test_blocks_of_a_table(spark, bad):
+    """As from arrays, in which every document is in a pair, however rare a label is."""
+    made = _made(spark, 700, bad)
+    ordered = made.orderBy(F.xxhash64("doc_id"), "doc_id").toPandas()
+    x, good = np.array(ordered["features"].tolist()), ordered["quality"].to_numpy() == 1
+    assert learn(made, 2500).weights == pytest.approx(Ranking(x, good, pairs=2500).weights, abs=1e-6)
+
+
+@pytest.mark.parametrize("good, bad", [(1, 1), (1, 699), (350, 350), (610, 90), (20, 680)])
+def test_every_document_is_in_a_block(good, bad):
+    for pairs in (1, 100, 2500):
+        blocks = _n_blocks(good, bad, pairs)
+        for n in (good, bad):
+            assert {j for k in range(blocks) for j in _dealt(k, n, blocks)} == set(range(n))
+            assert max(len(_dealt(k, n, blocks)) for k in range(blocks)) ** 2 <= pairs
+
+
+def test_pairs_are_all_pairs_of_a_block():
+    draw = np.random.default_rng(2)
+    b, w, weights = draw.normal(size=(5, FEATURES)), draw.normal(size=(3, FEATURES)), draw.normal(size=FEATURES)
+    slope, curve = np.zeros(FEATURES), np.zeros((FEATURES, FEATURES))
+    for one in b:
+        for other in w:
+            d = one - other
+            p = 1 / (1 + np.exp(d @ weights))
+            slope, curve = slope + p * d, curve + p * (1 - p) * np.outer(d, d)
+    assert _pair_sums(b, w, weights) == pytest.approx(np.concatenate([slope, curve.ravel()]))
+
+
+@pytest.mark.parametrize("values", [[2.0], [0.0, 1e-300, 1.0], [0.5] * 3 + [3.0]])
+def test_a_value_by_its_rank(spark, values):
+    held = spark.createDataFrame([(v,) for v in values], "v double")
+    ordered = sorted(values)
+    for n in range(1, len(values) + 1):
+        assert _ranked_pair(held, n) == (ordered[n - 1], ordered[min(n, len(values) - 1)])
+
+
 def test_one_kind_of_label(spark):
     docs = spark.createDataFrame([(1, "a b c"), (2, "d")], "doc_id long, text string")
     good = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
