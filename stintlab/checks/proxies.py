@@ -11,6 +11,8 @@ decimals: their sums are the same in whatever order they are added.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -237,11 +239,14 @@ def write_array_files(
     order: list[str],
     path: str,
     documents_per_file: int = DOCUMENTS_PER_FILE,
+    fields: Sequence[str] = (),
+    compression: str = "none",
 ) -> None:
     """Write documents as multi-line files, each an array of them, by ``folders`` and part.
 
     ``docs`` has the folder columns, those of ``order``, which tell its rows apart, and the
-    document's own. A hash of the latter deals each folder's documents to as many parts as its
+    document's own, or those that its ``fields``, as SQL, are worked out from. That is done once rows
+    are in their places, so that only what the fields are made of is shuffled and sorted. A hash of the latter deals each folder's documents to as many parts as its
     largest folder needs to have ``documents_per_file`` in a file on average, so a file
     stays as small at any scale. Lines are put out one by one in order: nothing is gathered.
     """
@@ -250,48 +255,48 @@ def write_array_files(
     dealt = docs.withColumn("part", part)
     places = [*folders, "part"]
     inside = Window.partitionBy(*places).orderBy(*order)
-    own = [c for c in docs.columns if c not in {*folders, *order}]
+    own = [F.expr(f) for f in fields] or [c for c in docs.columns if c not in {*folders, *order}]
     text = F.to_json(F.struct(*own), {"pretty": "true"})
     opening = F.when(F.row_number().over(inside) == 1, "[").otherwise("")
     last = F.lead(F.lit(1)).over(inside).isNull()
     closing = F.when(last, "]").otherwise(",")
     lines = dealt.select(*places, F.concat(opening, text, closing).alias("value"))
-    lines.write.partitionBy(*places).text(path)
+    lines.write.partitionBy(*places).option("compression", compression).text(path)
+
+
+_RACE_FOLDERS = {
+    "event": "concat('Grand Prix ', year(l_shipdate))",
+    "session": "IF(l_linestatus = 'F', 'Race', 'Practice 1')",
+}
+
+
+def _write_item_files(spark: SparkSession, sf_dir: str, fields: Sequence[str], path: str) -> str:
+    """A document per line item in compressed files by event, session and part; returns their glob."""
+    items = table(spark, sf_dir, "lineitem").withColumns({c: F.expr(e) for c, e in _RACE_FOLDERS.items()})
+    write_array_files(
+        items, list(_RACE_FOLDERS), ["l_orderkey", "l_linenumber"], path, fields=fields, compression="gzip"
+    )
+    return f"{path}/*/*/*/*.txt.gz"
 
 
 def telemetry_files(spark: SparkSession, sf_dir: str, path: str) -> str:
     """The telemetry documents in files by event, session and part; returns their glob."""
-    items = table(spark, sf_dir, "lineitem")
-    docs = items.selectExpr(
-        "concat('Grand Prix ', year(l_shipdate)) AS event",
-        "IF(l_linestatus = 'F', 'Race', 'Practice 1') AS session",
-        "l_orderkey AS a", "l_linenumber AS b",
-        f"named_struct({_TELEMETRY_FIELDS}, {_MORE_TELEMETRY_FIELDS}) AS tel",
-    )
-    write_array_files(docs, ["event", "session"], ["a", "b"], path)
-    return f"{path}/*/*/*/*.txt"
+    tel = f"named_struct({_TELEMETRY_FIELDS}, {_MORE_TELEMETRY_FIELDS}) AS tel"
+    return _write_item_files(spark, sf_dir, [tel], path)
 
 
 def lap_files(spark: SparkSession, sf_dir: str, path: str) -> str:
     """The lap documents in files by event, session and part; returns their glob."""
-    items = table(spark, sf_dir, "lineitem")
-    docs = items.selectExpr(
-        "concat('Grand Prix ', year(l_shipdate)) AS event",
-        "IF(l_linestatus = 'F', 'Race', 'Practice 1') AS session",
-        "l_orderkey AS a", "l_linenumber AS b",
-        *LAP_DOCUMENT,
-    )
-    write_array_files(docs, ["event", "session"], ["a", "b"], path)
-    return f"{path}/*/*/*/*.txt"
+    return _write_item_files(spark, sf_dir, LAP_DOCUMENT, path)
 
 
 def driver_files(spark: SparkSession, sf_dir: str, path: str) -> str:
     """The driver lists in files by market segment and part; returns their glob."""
-    docs = table(spark, sf_dir, "customer").selectExpr(
-        "c_mktsegment AS segment", "c_custkey AS a", f"{DRIVER_DOCUMENT} AS drivers"
+    customers = table(spark, sf_dir, "customer").withColumn("segment", F.col("c_mktsegment"))
+    write_array_files(
+        customers, ["segment"], ["c_custkey"], path, fields=[f"{DRIVER_DOCUMENT} AS drivers"], compression="gzip"
     )
-    write_array_files(docs, ["segment"], ["a"], path)
-    return f"{path}/*/*/*.txt"
+    return f"{path}/*/*/*.txt.gz"
 
 
 # Columns that the laps of odd years are written without.

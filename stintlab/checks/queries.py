@@ -281,21 +281,21 @@ def _drivers_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _converted_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Telemetry documents to files, to a text table and back."""
     source, target = proxies.telemetry_files(spark, sf_dir, new_path(spark)), new_path(spark)
-    convert_telemetry(spark, source, target)
+    convert_telemetry(spark, source, target, compression="gzip")
     return read_telemetry(spark, target)
 
 
 def _converted_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lap documents to files, to a text table and back."""
     source, target = proxies.lap_files(spark, sf_dir, new_path(spark)), new_path(spark)
-    convert_laps(spark, source, target)
+    convert_laps(spark, source, target, compression="gzip")
     return read_laps(spark, target)
 
 
 def _converted_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Driver lists to files, to a text table and back."""
     source, target = proxies.driver_files(spark, sf_dir, new_path(spark)), new_path(spark)
-    convert_drivers(spark, source, target)
+    convert_drivers(spark, source, target, compression="gzip")
     return read_drivers(spark, target)
 
 

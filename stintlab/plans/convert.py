@@ -4,7 +4,7 @@ Documents are parsed once. The arrays are those that the documents have, or thos
 a document that lacks one of them gives no rows, as the arrays are zipped, unless
 ``pad_missing`` keeps it. ``layout`` is ``"csv"`` (text, with a header) or ``"parquet"`` (typed, by
 event and session; see ``sources.typed``). Of the latter, ``mode="refresh"`` replaces the sessions
-that the documents are of and no others.
+that the documents are of and no others. ``compression`` is that of text tables.
 """
 
 from __future__ import annotations
@@ -69,6 +69,7 @@ def convert_telemetry(
     pad_missing: bool = False,
     mode: str = "errorifexists",
     layout: str = "csv",
+    compression: str = "none",
 ) -> None:
     """Telemetry documents (``<event>/<session>/<driver>/<lap>_tel.json``) to a table.
 
@@ -79,7 +80,7 @@ def convert_telemetry(
     if layout == "parquet":
         write_typed(typed_telemetry(rows), target, mode)
     else:
-        write_csv(rows, target, mode)
+        write_csv(rows, target, mode, compression=compression)
 
 
 def convert_laps(
@@ -90,6 +91,7 @@ def convert_laps(
     pad_missing: bool = False,
     mode: str = "errorifexists",
     layout: str = "csv",
+    compression: str = "none",
 ) -> None:
     """Lap documents (``<event>/<session>/<driver>/laptimes.json``) to a table.
 
@@ -100,12 +102,16 @@ def convert_laps(
     if layout == "parquet":
         write_typed(typed_laps(rows), target, mode)
     else:
-        write_csv(rows, target, mode)
+        write_csv(rows, target, mode, compression=compression)
 
 
 def convert_drivers(
-    spark: SparkSession, source: str, target: str, mode: str = "errorifexists"
+    spark: SparkSession,
+    source: str,
+    target: str,
+    mode: str = "errorifexists",
+    compression: str = "none",
 ) -> None:
     """A session's driver list to a table; teams are those of that session."""
     docs = read_documents(spark, source, schemas.driver_document())
-    write_csv(driver_rows(docs), target, mode)
+    write_csv(driver_rows(docs), target, mode, compression=compression)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import gzip
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from stintlab.checks import proxies
+from stintlab.plans.convert import convert_laps
 
 
 @pytest.mark.parametrize("rows", [300, 6000])
@@ -30,3 +32,30 @@ def test_no_documents_give_no_files(spark, tmp_path):
     docs = spark.range(0).selectExpr("'f' AS folder", "id AS a", "id AS value")
     proxies.write_array_files(docs, ["folder"], ["a"], str(tmp_path / "out"))
     assert not list((tmp_path / "out").glob("*/*/*.txt"))
+
+
+def test_documents_are_made_where_they_are_written(spark, tmp_path):
+    """Large documents of small columns: the columns are shuffled, the files compressed."""
+    rows = spark.range(2000, numPartitions=3).selectExpr("id % 3 AS folder", "id AS a", "id % 7 AS b")
+    path = tmp_path / "out"
+    long = "repeat(concat(b, 'long '), 200) AS long"
+    proxies.write_array_files(rows, ["folder"], ["a"], str(path), 50, ["a", long], "gzip")
+    files = list(path.glob("*/*/*.txt.gz"))
+    found = [d for p in files for d in json.loads(gzip.decompress(p.read_bytes()))]
+    assert sorted(d["a"] for d in found) == list(range(2000))
+    assert all(d == {"a": d["a"], "long": f"{d['a'] % 7}long " * 200} for d in found)
+    assert sum(p.stat().st_size for p in files) < 2000 * 1000 / 10
+
+
+def test_racing_files_and_tables_are_compressed(spark, tmp_path):
+    sf = "/root/testdata/sf0.001"
+    n = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    for name, write in (("tel", proxies.telemetry_files), ("laps", proxies.lap_files)):
+        glob = write(spark, sf, str(tmp_path / name))
+        assert glob.endswith(".txt.gz")
+        docs = [
+            d for p in (tmp_path / name).glob("*/*/*/*.gz") for d in json.loads(gzip.decompress(p.read_bytes()))
+        ]
+        assert len(docs) == n
+    convert_laps(spark, glob, str(tmp_path / "out"), compression="gzip")
+    assert list((tmp_path / "out").glob("*.csv.gz")) and not list((tmp_path / "out").glob("*.csv"))
