@@ -5,8 +5,11 @@ from __future__ import annotations
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from stintlab import schemas
+from stintlab.functions import text
+from stintlab.functions.text import number
 from stintlab.operators.filters import timed_race_laps, valid_telemetry, worn_laps
 from stintlab.sources.cleaning import (
     clean_results,
@@ -130,3 +133,28 @@ def test_results(spark):
     assert tuple(got) == ("E1", "Race", "VER", 1, 5400.25)
     retired = one(spark, schemas.RESULT_COLUMNS, base, finalPosition="R")
     assert clean_results(retired).count() == 0
+
+
+ODD_NUMBERS = [
+    "1", "+1", "-1", " 7 ", "\t7\n", "\x007\x1f", "7\x7f", "7\u00a0", "\u20037", "1.5", "1.", ".5", ".", "", " ", "+", "-", "--1",
+    "1e3", "1E-3", "1d", "1f", "2147483647", "2147483648", "-2147483648", "99999999999999999999", "0x10", "0x1p3", "0xAp1",
+    "NaN", "nan", "-NaN", "Infinity", "-infinity", "inf", "+INF", " nan ", "None", "none", "n/a", "x", "fast", "1 2", "1,5",
+    "\u0661", "1\n", "\u00851", "1\u2028", "1L", "007", "1_000", "true", None,
+]
+
+
+@pytest.mark.parametrize("kind", ["int", "double"])
+def test_numbers_are_what_casts_make_of_them(spark, kind):
+    texts = spark.createDataFrame([(i, t) for i, t in enumerate(ODD_NUMBERS)], "i int, t string")
+    plain = F.col("t").try_cast(kind)
+    got = texts.select("i", "t", number("t", kind).alias("got"), plain.alias("plain"))
+    assert [tuple(r) for r in got.filter("NOT (got <=> plain)").collect()] == []
+    assert got.filter("got IS NOT NULL").count() >= 9
+
+
+@pytest.mark.parametrize("kind, texts", [("int", ["n/a", "1.5", "None", ""]), ("double", ["fast", "x", "None", ""])])
+def test_texts_that_are_no_numbers_are_not_cast(spark, kind, texts):
+    held = spark.createDataFrame([(t,) for t in texts], "t string")
+    plan = held.select(number("t", kind).alias("v"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" in plan.upper()
+    assert held.filter(F.col("t").rlike(text._NUMBER_LIKE[kind])).count() == 0
