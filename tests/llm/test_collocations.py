@@ -6,13 +6,14 @@ import itertools
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from stintlab.llm import collocations
 from stintlab.llm.collocations import mine_phrases
-from stintlab.staging import settle
+from stintlab.staging import settle, shared_folder
 from tests.conftest import rows
 
 
@@ -149,3 +150,40 @@ def test_awkward_documents(spark, awkward, nothing):
         table = [(r["lang"], r["text"]) for r in docs.select("lang", "text").collect()]
         assert got(mine_phrases(docs, least=2)) == by_force(table, 2)
     assert rows(mine_phrases(nothing.withColumnRenamed("source", "lang"))) == []
+
+
+def test_neighbours_are_read_in_order(spark, monkeypatch):
+    """The first round needs no join of places: words come with the one behind them, as places have it."""
+    docs = settle(spark.createDataFrame(made(4), "lang string, text string").repartition(3))
+    found = collocations.neighbours(collocations.pieces(docs))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan and "Join" not in plan
+    assert plan.count("split(") <= 2
+    at = {(r["at"]): (r["lang"], r["word"]) for r in collocations.places(collocations.pieces(docs)).collect()}
+    expected = sorted((*word, at[place + 1][1]) for place, word in at.items() if place + 1 in at)
+    assert sorted((r["lang"], r["word"], r["next"]) for r in found.collect()) == expected
+    joined = []
+    followed = collocations._followed
+    monkeypatch.setattr(collocations, "_followed", lambda rows: joined.append(1) or followed(rows))
+    mine_phrases(docs, least=4)
+    assert len(joined) == collocations.MOST_WORDS - 2
+
+
+def test_relations_go_when_they_are_read(spark):
+    """What is left are tables of phrases, none of places, in the folder and in the catalog."""
+    folder = Path(shared_folder(spark))
+    files, tables = set(folder.iterdir()), {t.name for t in spark.catalog.listTables()}
+    assert got(mine_phrases(spark.createDataFrame(made(5), "lang string, text string"), least=4))
+    left = set(folder.iterdir()) - files
+    assert left
+    for path in left:
+        assert "at" not in spark.read.parquet(str(path)).columns
+    assert {t.name for t in spark.catalog.listTables()} == tables
+
+
+def test_only_ascii_letters_are_lowered(spark):
+    """Not those that lower() changes as well, in a piece with others or alone."""
+    text = "ABC Zz, ÀB\u0130 \u212aX \u1e9e \u01c5 \u2160 \u24b6 \u03a3C \U00010400 XYZ. \u212a; É"
+    found = collocations.words(collocations.pieces(spark.createDataFrame([("en", text)], "lang string, text string")))
+    expected = re.sub("[A-Z]", lambda m: m.group().lower(), text)
+    assert [r["word"] for r in found.collect()] == re.findall(r"[^ .,;]+", expected)
