@@ -187,3 +187,10 @@ def test_only_ascii_letters_are_lowered(spark):
     found = collocations.words(collocations.pieces(spark.createDataFrame([("en", text)], "lang string, text string")))
     expected = re.sub("[A-Z]", lambda m: m.group().lower(), text)
     assert [r["word"] for r in found.collect()] == re.findall(r"[^ .,;]+", expected)
+
+
+def test_words_of_one_hash_stay_apart(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "_hash", lambda lang, word: (F.length(word) % 3).cast("long"))
+    table = made(6, 100)
+    docs = spark.createDataFrame(table, "lang string, text string")
+    assert got(mine_phrases(docs, least=4)) == by_force(table, 4)
