@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stintlab.sinks import GZIP_LEVEL
+
 EVENT = "concat('GP ', year(l_shipdate)) AS event"
 SESSION = "CASE WHEN l_linestatus = 'F' THEN 'Race' ELSE 'Practice 1' END AS session"
 DRIVER = "concat('D', l_suppkey) AS driver"
@@ -261,7 +263,7 @@ def write_array_files(
     last = F.lead(F.lit(1)).over(inside).isNull()
     closing = F.when(last, "]").otherwise(",")
     lines = dealt.select(*places, F.concat(opening, text, closing).alias("value"))
-    lines.write.partitionBy(*places).option("compression", compression).text(path)
+    lines.write.partitionBy(*places).options(compression=compression, **GZIP_LEVEL).text(path)
 
 
 _RACE_FOLDERS = {

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 
 from stintlab.staging import settle
 
+# How hard gzip files are compressed: a sixth to a third larger than by default, and faster written.
+GZIP_LEVEL = {"zlib.compress.level": "THREE"}
+
 
 def write_csv(
     df: DataFrame,
@@ -31,4 +34,4 @@ def write_csv(
         df = settle(df).coalesce(1)
     if order_by:
         df = df.orderBy(*order_by)
-    df.write.option("header", True).option("compression", compression).mode(mode).csv(path)
+    df.write.option("header", True).options(compression=compression, **GZIP_LEVEL).mode(mode).csv(path)

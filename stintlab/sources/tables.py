@@ -39,6 +39,11 @@ def read_table(
     )
 
 
+def plain_path(file: str) -> str:
+    """A path for the reader: spelled out, and without the characters of patterns."""
+    return re.sub(r"([*?{}\[\]\\])", r"\\\1", unquote(file))
+
+
 def files_by_header(spark: SparkSession, path: str | list[str]) -> Mapping[tuple[str, ...], list[str]]:
     """The files under ``path`` by the names in their header line; empty files have none.
 
@@ -57,9 +62,7 @@ def files_by_header(spark: SparkSession, path: str | list[str]) -> Mapping[tuple
     found: dict[tuple[str, ...], list[str]] = {}
     for row in first.groupBy("header").agg(F.collect_list("file").alias("files")).collect():
         names = tuple(next(csv.reader([row["header"]]), ()))
-        # A path for the reader: spelled out, and without the characters of patterns.
-        files = [re.sub(r"([*?{}\[\]\\])", r"\\\1", unquote(file)) for file in row["files"]]
-        found.setdefault(names, []).extend(files)
+        found.setdefault(names, []).extend(plain_path(file) for file in row["files"])
     return {names: sorted(files) for names, files in sorted(found.items())}
 
 
