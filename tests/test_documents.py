@@ -98,3 +98,10 @@ def test_a_field_listed_twice_costs_no_other_document(spark, tmp_path):
     save(tmp_path / "a.json", ['{"lap": [1], "lap": [2]}', '{"lap": [3]}'], False)
     kept = keep_documents(spark, f"{tmp_path}/a.json", names=["lap"])
     assert [r[1] for r in texts(kept, ["lap"])] == [["2"], ["3"]]
+
+
+def test_a_channel_listed_twice_costs_no_other_sample(spark, tmp_path):
+    docs = ['{"tel": {"dataKey": "a", "rpm": [1], "rpm": [2]}}', '{"tel": {"dataKey": "b", "rpm": [3]}}']
+    save(tmp_path / "1_tel.json.gz", docs, True)
+    kept = keep_documents(spark, f"{tmp_path}/*.json.gz", "tel", ["dataKey"])
+    assert texts(kept, ["rpm"], "dataKey") == [("1_tel.json.gz", "a", ["2"]), ("1_tel.json.gz", "b", ["3"])]
